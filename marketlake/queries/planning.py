@@ -34,8 +34,8 @@ def sql_minus(date: str, days: str) -> str:
 # --- text and number scalars -----------------------------------------------------------
 
 
-@query("""SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR))), '0') AS code6,
-  lpad(CAST(c_custkey AS VARCHAR), greatest(2, length(CAST(c_custkey AS VARCHAR))), '0') AS code2 FROM customer""")
+@query("""SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') AS code6,
+  lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(2, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') AS code2 FROM customer""")
 def str_pad_code(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     return t.customer.select(
@@ -94,13 +94,14 @@ def str_truncate_bytes(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.truncate_bytes(F.col("text"), 32).alias("short"))
 
 
-@query("""SELECT doc_id, TRY_CAST(CASE WHEN doc_id % 3 = 0 THEN lang ELSE CAST(n_chars AS VARCHAR) END AS BIGINT) AS n,
+@query("""SELECT doc_id, coalesce(TRY_CAST(CASE WHEN doc_id % 3 = 0 THEN lang ELSE CAST(n_chars AS VARCHAR) END AS BIGINT), -1) AS n,
   TRY_CAST(CASE WHEN doc_id % 2 = 0 THEN '-' ELSE CAST(n_chars AS VARCHAR) END AS DOUBLE) AS x FROM documents""")
 def num_try_cast(t: Tables) -> DataFrame:
     chars = F.col("n_chars").cast("string")
+    code = F.when(F.col("doc_id") % 3 == 0, F.col("lang")).otherwise(chars)
     return t.documents.select(
         "doc_id",
-        numbers.to_number(F.when(F.col("doc_id") % 3 == 0, F.col("lang")).otherwise(chars), "bigint").alias("n"),
+        F.coalesce(numbers.to_number(code, "bigint"), F.lit(-1)).alias("n"),
         numbers.to_number(F.when(F.col("doc_id") % 2 == 0, "-").otherwise(chars)).alias("x"),
     )
 
@@ -281,11 +282,11 @@ def _sql_intraday(opening: str) -> str:
        ELSE strftime(now, '%Y-%m-%d %H:') || CASE WHEN minute(now) < 30 THEN '00' ELSE '30' END || ':00' END"""
 
 
-@query(f"""WITH {SQL_EVENTS_2000}, {SQL_CALENDAR}, asof AS (
+@query(f"""WITH {SQL_EVENTS_2000}, {SQL_CALENDAR}, dated AS (
   SELECT event_id, now, strftime(now, '%H:%M:%S') AS tm,
     {SQL_ASOF.format(op='<=', day='CAST(now AS DATE)')} AS last_day_,
     {SQL_ASOF.format(op='<=', day='CAST(now AS DATE) - 1')} AS prev_day_ FROM clocks)
-SELECT event_id, {_sql_intraday('09:30:00')} AS cutoff, {_sql_intraday('9:30:00')} AS compat_cutoff FROM asof""")
+SELECT event_id, {_sql_intraday('09:30:00')} AS cutoff, {_sql_intraday('9:30:00')} AS compat_cutoff FROM dated""")
 def cal_intraday_cutoff(t: Tables) -> DataFrame:
     """The day before today and "strictly before today" name the same trading date."""
     clocks = t.events_2000().withColumn("day", F.to_date("now"))
