@@ -16,10 +16,15 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
+def count_where(df: DataFrame, conditions: Mapping[str, Column], name: str, count: str) -> DataFrame:
+    """One row per named condition with the number of rows that meet it, from one pass."""
+    counts = df.agg(*[F.count_if(c).alias(label) for label, c in conditions.items()])
+    return counts.unpivot([], list(conditions), name, count)
+
+
 def column_misfits(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """One row per column with the number of values that break its rule, from one pass."""
-    counts = df.agg(*[F.count_if(~ok).alias(name) for name, ok in rules.items()])
-    return counts.unpivot([], list(rules), "column_name", "n_misfits")
+    return count_where(df, {name: ~ok for name, ok in rules.items()}, "column_name", "n_misfits")
 
 
 def fit_rules(schema: StructType) -> dict[str, Column]:

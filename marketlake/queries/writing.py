@@ -283,9 +283,5 @@ def guard_nonempty(t: Tables) -> DataFrame:
         "incoming": when >= day(SPLIT),
         "future": when >= day("2030-01-01"),
     }
-    counts = checks.column_misfits(t.orders_by_day(), {name: ~inside for name, inside in slices.items()})
-    return counts.select(
-        F.col("column_name").alias("batch"),
-        F.col("n_misfits").alias("n_rows"),
-        (F.col("n_misfits") == 0).alias("is_empty"),
-    )
+    counts = checks.count_where(t.orders_by_day(), slices, "batch", "n_rows")
+    return counts.withColumn("is_empty", F.col("n_rows") == 0)
