@@ -98,11 +98,16 @@ def explode_payload(df: DataFrame, body: str, fields: dict[str, str]) -> DataFra
 
 
 def valuation_rows(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """Valuation payloads as typed rows: exchange from the full code, measures rounded to 2."""
+    """Valuation payloads as typed rows: exchange from the full code, measures rounded to 2.
+
+    Other columns of the payload table, such as its arrival order, are kept.
+    """
     rows = explode_payload(payloads, body, VALUATION_FIELDS)
+    kept = [c for c in payloads.columns if c != body]
     measures = list(VALUATION_FIELDS.values())[6:]
     rounded = [F.bround(numbers.to_number(F.col(c)), 2).alias(c) for c in measures]
     return rows.select(
+        *kept,
         rows.trade_date.try_cast("date").alias("trade_date"),
         "symbol",
         "symbol_name",
