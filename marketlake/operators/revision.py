@@ -50,6 +50,19 @@ def classify(
     return overlap.withColumn("action", action)
 
 
+def news(incoming: DataFrame, actions: DataFrame, key: str = "symbol", date: str = "trade_date") -> DataFrame:
+    """Incoming bars of unrevised keys, without the overlap bar."""
+    grown = actions.filter(F.col("action") == APPEND).select(key, "last_date")
+    fresh = incoming.join(grown, key).filter(
+        F.col("last_date").isNull() | (F.col(date) != F.col("last_date"))
+    )
+    return fresh.select(*incoming.columns)
+
+
+def revised(actions: DataFrame, key: str = "symbol") -> DataFrame:
+    return actions.filter(F.col("action") == RELOAD).select(key)
+
+
 def apply(
     stored: DataFrame,
     incoming: DataFrame,
@@ -60,13 +73,9 @@ def apply(
 ) -> DataFrame:
     """The table after the load: revised keys come from ``history``, the others grow by the
     incoming bars other than the overlap bar."""
-    revised = actions.filter(F.col("action") == RELOAD).select(key)
-    grown = actions.filter(F.col("action") == APPEND).select(key, "last_date")
-    news = incoming.join(grown, key).filter(
-        F.col("last_date").isNull() | (F.col(date) != F.col("last_date"))
-    )
+    replaced = revised(actions, key)
     return (
-        stored.join(revised, key, "left_anti")
-        .unionByName(news.select(*stored.columns))
-        .unionByName(history.join(revised, key, "left_semi").select(*stored.columns))
+        stored.join(replaced, key, "left_anti")
+        .unionByName(news(incoming, actions, key, date).select(*stored.columns))
+        .unionByName(history.join(replaced, key, "left_semi").select(*stored.columns))
     )

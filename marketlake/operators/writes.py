@@ -48,6 +48,14 @@ def replace_where(existing: DataFrame, incoming: DataFrame, slice_filter: Column
     return kept.unionByName(incoming)
 
 
+def replace_like(existing: DataFrame, incoming: DataFrame, equal: str, like: str) -> DataFrame:
+    """Slices are equal in one column and contained in the other: an incoming board replaces all
+    stored boards whose name contains it. The slices are few; the equal column drives the join."""
+    slices = incoming.select(F.col(equal).alias("_equal"), F.col(like).alias("_like")).distinct()
+    inside = (F.col(equal) == F.col("_equal")) & F.col(like).contains(F.col("_like"))
+    return existing.join(slices, inside, "left_anti").unionByName(incoming)
+
+
 def replace_range(
     existing: DataFrame,
     incoming: DataFrame,

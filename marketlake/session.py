@@ -17,6 +17,7 @@ def build_session(master: str = "local[8]", app: str = "marketlake", **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     builder = SparkSession.builder.master(master).appName(app)
