@@ -31,7 +31,10 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def fits_decimal(value: Column, precision: int, scale: int) -> Column:
-    return value.isNull() | value.try_cast(f"decimal({precision},{scale})").isNotNull()
+    """Whether a number, rounded to ``scale``, has at most ``precision`` digits. A comparison
+    with the first number that does not fit, so no cast has to fail for every misfit."""
+    first_misfit = 10.0 ** (precision - scale) - 0.5 * 10.0**-scale
+    return value.isNull() | F.coalesce(F.abs(value.try_cast("double")) < first_misfit, F.lit(False))
 
 
 def fits_bytes(text: Column, limit: int) -> Column:

@@ -208,7 +208,8 @@ def maintain_bars(t: Tables) -> DataFrame:
     )
     universe = t.supplier.select(F.col("s_suppkey").cast("string").alias("symbol"))
     missing = {c: F.lit(None).cast("double") for c in spec.landed_columns if c not in bars.columns}
-    bars = bars.withColumns(missing)
+    # bars land as files; every step below reads those, not the trades
+    bars = LakeTable(lake, "landing", spec.schema).stage(bars.withColumns(missing), "bars")
     for now, factor in ((datetime(1999, 1, 4, 17), 1), (datetime(2001, 6, 15, 17), 2)):
         revised = F.when(F.col("code") % 7 == 0, factor).otherwise(1)
         landed = bars.withColumn("close", F.col("close") * revised).drop("code")

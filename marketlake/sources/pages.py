@@ -1,16 +1,11 @@
 """Landed HTML pages as tables.
 
-Simple fields are cut out with built-in regular expressions, which stay in generated code.
-Pages whose structure nests (custody records, interface catalogue) go through the standard
-HTML parser inside ``mapInPandas``, one page at a time, so no task holds more than a batch.
+The pages are machine-made from fixed templates, so their fields are cut out with built-in
+regular expressions: parsing stays in generated JVM code, and no page crosses into Python.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,15 +71,14 @@ def short_turnover(pages: DataFrame, page: str = "page_id", html: str = "html")
     )
 
 
-# --- pages with nested structure -------------------------------------------------------
-
-VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# --- custody pages: two tables in one page ---------------------------------------------
 
 # Class names that mark the parts of a custody page.
 DATE_BLOCK = "search-bar__selectedItem-filter searchDate"
 STOCK_BLOCK = "search-bar__selectedItem-filter searchStock"
 SUMMARY_BLOCK = "ccass-search-datarow"
-SUMMARY_CELLS = ("summary-category", "shareholding", "number-of-participants", "percent-of-participants")
+CATEGORY = "summary-category"
+SUMMARY_VALUES = ("shareholding", "number-of-participants", "percent-of-participants")
 DETAIL_CELLS = (
     "col-participant-id",
     "col-participant-name",
@@ -93,107 +87,45 @@ DETAIL_CELLS = (
 )
 VALUE_BLOCK, BODY_BLOCK = "value", "mobile-list-body"
 
-# Leading labels of a catalogue section, in order; the first also fixes the prefix.
-CATALOGUE_PREFIX = "接口: stock"
-CATALOGUE_LABELS = ("接口: ", "目标地址: ", "描述: ", "限量: ")
-
-
-class _Node:
-    """One element: tag, class attribute, children and text pieces in document order."""
-
-    def __init__(self, tag: str, css: str):
-        self.tag, self.css, self.parts = tag, css, []
-
-    def walk(self) -> Iterator["_Node"]:
-        for part in self.parts:
-            if isinstance(part, _Node):
-                yield part
-                yield from part.walk()
-
-    def text(self) -> str:
-        return "".join(p if isinstance(p, str) else p.text() for p in self.parts)
-
-    def find(self, css: str) -> "_Node | None":
-        """First descendant whose class attribute is ``css`` or contains it as one class."""
-        return next((n for n in self.walk() if n.css == css or css in n.css.split()), None)
-
-
-class _TreeBuilder(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = _Node("", "")
-        self.open = [self.root]
-
-    def handle_starttag(self, tag, attrs):
-        node = _Node(tag, dict(attrs).get("class") or "")
-        self.open[-1].parts.append(node)
-        if tag not in VOID_TAGS:
-            self.open.append(node)
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                break
-
-    def handle_data(self, data):
-        self.open[-1].parts.append(data)
-
 
-def _parse(html: str | None) -> _Node:
-    builder = _TreeBuilder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+def _block(css: str, tag: str = "div") -> str:
+    """Pattern of the content of the first ``tag`` with exactly this class attribute."""
+    return rf"""(?is)<{tag}\b[^>]*\bclass=["']{css}["'][^>]*>(.*?)</{tag}>"""
 
 
-def _cell(node: _Node, css: str, inner: str | None) -> str | None:
-    found = node.find(css)
-    if found is not None and inner is not None:
-        found = found.find(inner)
-    return None if found is None else found.text().strip()
+def _inner(css: str, inner: str) -> str:
+    """Pattern of the content of a block of class ``inner`` that follows a block of class ``css``."""
+    return rf"""(?is)\bclass=["']{css}["'][^>]*>.*?\bclass=["']{inner}["'][^>]*>(.*?)</div>"""
 
 
-def _custody_rows(html: str | None) -> Iterator[tuple]:
-    """(kind, page date, stock, name, four raw cells) of one custody page."""
-    root = _parse(html)
-    shown, stock = root.find(DATE_BLOCK), root.find(STOCK_BLOCK)
-    if shown is None or stock is None:
-        return
-    code, _, name = stock.text().strip().partition(" ")
-    head = (shown.text().strip()[-10:], code, name.split(" ")[0])
-    for node in root.walk():
-        if SUMMARY_BLOCK in node.css.split():
-            category, *rest = SUMMARY_CELLS
-            yield ("summary", *head, _cell(node, category, None), *[_cell(node, c, VALUE_BLOCK) for c in rest])
-    body = next((n for n in root.walk() if n.tag == "tbody"), None)
-    for node in body.walk() if body is not None else ():
-        if node.tag == "tr":
-            yield ("detail", *head, *[_cell(node, c, BODY_BLOCK) for c in DETAIL_CELLS])
-
-
-CUSTODY_SCHEMA = (
-    "asked_date date, kind string, page_date string, symbol string, symbol_name string, "
-    "c1 string, c2 string, c3 string, c4 string"
-)
-
-
-def _custody_batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [part.split()[0] for part in CUSTODY_SCHEMA.split(", ")]
-    for batch in batches:
-        rows = [
-            (asked, *row)
-            for asked, html in zip(batch["asked_date"], batch["html"])
-            for row in _custody_rows(html)
-        ]
-        yield pd.DataFrame(rows, columns=columns)
+def _cut(html: Column, pattern: str) -> Column:
+    """First match as text, null when there is none."""
+    return plain_text(F.get(all_matches(html, pattern), F.lit(0)))
 
 
 def custody_parts(pages: DataFrame) -> DataFrame:
-    """Raw rows of both custody tables, from pages(asked_date, html). Pages that answer
-    another date than the asked one are left out."""
-    parts = pages.select("asked_date", "html").mapInPandas(_custody_batches, CUSTODY_SCHEMA)
-    return parts.filter(dates.parse_date(F.col("page_date"), "yyyy/MM/dd") == F.col("asked_date"))
+    """Fragments of both custody tables, from pages(asked_date, html), in one pass per page.
+    Pages that answer another date than the asked one are left out."""
+    shown = F.right(_cut(F.col("html"), _block(DATE_BLOCK)), F.lit(10))
+    stock = _cut(F.col("html"), _block(STOCK_BLOCK))
+    marker = rf"""(?i)<div\b[^>]*\bclass=["'](?:[^"']* )?{SUMMARY_BLOCK}(?: [^"']*)?["']"""
+    blocks = F.split("html", marker)
+    blocks = F.slice(blocks, F.lit(2), F.greatest(F.size(blocks) - 1, F.lit(0)))
+    rows = all_matches(F.regexp_extract("html", TABLE_BODY, 1), TABLE_ROW)
+    tagged = lambda kind: lambda f: F.struct(F.lit(kind).alias("kind"), f.alias("fragment"))
+    both = F.concat(F.transform(blocks, tagged("summary")), F.transform(rows, tagged("detail")))
+    return (
+        pages.filter(dates.parse_date(shown, "yyyy/MM/dd") == F.col("asked_date"))
+        .withColumn("stock", stock)
+        .select("asked_date", "stock", F.inline(both))
+        .select(
+            F.col("asked_date").alias("trade_date"),
+            text.split_part(F.col("stock"), 0).alias("symbol"),
+            text.split_part(F.col("stock"), 1).alias("symbol_name"),
+            "kind",
+            "fragment",
+        )
+    )
 
 
 def _percent(cell: Column) -> Column:
@@ -204,49 +136,60 @@ def _count(cell: Column) -> Column:
     return numbers.to_number(text.strip_chars(cell, ","), "bigint")
 
 
+CUSTODY_HEAD = ("trade_date", "symbol", "symbol_name")
+
+
 def custody_summary(parts: DataFrame) -> DataFrame:
+    value = lambda css: _cut(F.col("fragment"), _inner(css, VALUE_BLOCK))
+    holding, participants, percent = (value(css) for css in SUMMARY_VALUES)
     return parts.filter("kind = 'summary'").select(
-        F.col("asked_date").alias("trade_date"),
-        "symbol",
-        "symbol_name",
-        F.col("c1").alias("holder_type"),
-        _count(F.col("c2")).alias("holding"),
-        _count(F.col("c3")).alias("participants"),
-        _percent(F.col("c4")).alias("pct"),
+        *CUSTODY_HEAD,
+        _cut(F.col("fragment"), _block(CATEGORY)).alias("holder_type"),
+        _count(holding).alias("holding"),
+        _count(participants).alias("participants"),
+        _percent(percent).alias("pct"),
     )
 
 
 def custody_detail(parts: DataFrame) -> DataFrame:
     """A row without a percentage cell counts as 0 percent."""
-    pct = F.when(F.col("c4").isNull(), 0.0).otherwise(_percent(F.col("c4")))
+    value = lambda css: _cut(F.col("fragment"), _inner(css, BODY_BLOCK))
+    code, name, holding, percent = (value(css) for css in DETAIL_CELLS)
     return parts.filter("kind = 'detail'").select(
-        F.col("asked_date").alias("trade_date"),
-        "symbol",
-        "symbol_name",
-        F.col("c1").alias("participant_id"),
-        F.col("c2").alias("participant_name"),
-        _count(F.col("c3")).alias("holding"),
-        pct.alias("pct"),
+        *CUSTODY_HEAD,
+        code.alias("participant_id"),
+        name.alias("participant_name"),
+        _count(holding).alias("holding"),
+        F.when(percent.isNull(), 0.0).otherwise(_percent(percent)).alias("pct"),
     )
 
 
-def _catalogue_rows(html: str | None) -> Iterator[tuple]:
-    """Labelled lines of every section whose first lines name an interface and an address."""
-    for section in _parse(html).walk():
-        if section.tag != "section":
-            continue
-        lines = [n.text() for n in section.walk()]
-        if len(lines) > 6 and lines[2].startswith(CATALOGUE_PREFIX) and lines[3].startswith(CATALOGUE_LABELS[1]):
-            yield tuple(line.split(label)[-1] for line, label in zip(lines[2:6], CATALOGUE_LABELS))
+# --- interface catalogue ---------------------------------------------------------------
 
-
-def _catalogue_batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = [row for html in batch["html"] for row in _catalogue_rows(html)]
-        yield pd.DataFrame(rows, columns=["interface", "url", "description", "note"])
-
-
-def interface_catalogue(pages: DataFrame) -> DataFrame:
-    """Interface catalogue of pages(html)."""
-    schema = "interface string, url string, description string, note string"
-    return pages.select("html").mapInPandas(_catalogue_batches, schema)
+# Leading labels of a catalogue section, in order; the first also fixes the prefix.
+CATALOGUE_PREFIX = "接口: stock"
+CATALOGUE_LABELS = ("接口: ", "目标地址: ", "描述: ", "限量: ")
+FIRST_LABELLED, FEWEST_TAGS = 2, 6
+
+
+def interface_catalogue(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Interfaces described in pages(html): sections with more than six tags, of which the third
+    and fourth carry the fixed labels.
+
+    A section is read up to the next section start, which is all that its labelled lines need.
+    """
+    starts = F.split(html, r"(?i)<section\b")
+    sections = pages.select(F.explode(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0)))).alias("s"))
+    own = F.regexp_replace("s", r"(?is)</section\b.*", "")
+    tags = sections.select(F.split(own, r"<(?=[a-zA-Z])").alias("tags"))
+    # tags[0] is the rest of the section tag; the text of a tag runs to its closing tag
+    rest = lambda i: F.concat(F.lit("<"), F.array_join(F.slice("tags", F.lit(i + 2), F.size("tags")), "<"))
+    content = lambda i: F.regexp_replace(
+        F.regexp_extract(rest(i), r"(?s)^<(\w+)\b[^>]*>(.*?)</\1>", 2), ANY_TAG, ""
+    )
+    lines = [content(FIRST_LABELLED + i) for i in range(4)]
+    wanted = lines[0].startswith(CATALOGUE_PREFIX) & lines[1].startswith(CATALOGUE_LABELS[1])
+    names = ("interface", "url", "description", "note")
+    return tags.filter((F.size("tags") - 1 > FEWEST_TAGS) & wanted).select(
+        *[text.strip_label(v, label).alias(n) for v, label, n in zip(lines, CATALOGUE_LABELS, names)]
+    )
