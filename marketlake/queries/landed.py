@@ -184,18 +184,16 @@ def html_two_outputs(t: Tables) -> DataFrame:
         _body("col-shareholding-percent text-right", F.lit("0.01%")),
         F.lit("</tr></tbody></table>"),
     )
-    parts = pages.custody_parts(t.part.select(asked.alias("asked_date"), html.alias("html")))
-    head = ["trade_date", "symbol", "symbol_name"]
-    summary = pages.custody_summary(parts).select(
-        F.lit("summary").alias("kind"), *head, F.col("holder_type").alias("label"),
-        "holding", F.col("participants").cast("double").alias("participants"), "pct",
+    rows = pages.custody_rows(t.part.select(asked.alias("asked_date"), html.alias("html")))
+    participant = F.concat_ws(" ", "participant_id", "participant_name")
+    return rows.select(
+        "kind",
+        *pages.CUSTODY_HEAD,
+        F.coalesce("holder_type", participant).alias("label"),
+        "holding",
+        F.coalesce(F.col("participants").cast("double"), F.lit(-1.0)).alias("participants"),
+        "pct",
     )
-    detail = pages.custody_detail(parts).select(
-        F.lit("detail").alias("kind"), *head,
-        F.concat_ws(" ", "participant_id", "participant_name").alias("label"),
-        "holding", F.lit(-1.0).alias("participants"), "pct",
-    )
-    return summary.unionByName(detail)
 
 
 def _value(css: str, value):

@@ -32,6 +32,11 @@ def plain_text(fragment: Column) -> Column:
     return bare
 
 
+def after_first(pieces: Column) -> Column:
+    """All elements but the first, such as the pieces that follow a marker."""
+    return F.slice(pieces, 2, 2**31 - 1)
+
+
 def fragments(pages: DataFrame, page: str, html: str, pattern: str, group: int = 1) -> DataFrame:
     """(page, position, fragment) for every match of the pattern, in page order."""
     return pages.select(page, F.posexplode(all_matches(F.col(html), pattern, group)).alias("pos", "fragment"))
@@ -88,29 +93,28 @@ DETAIL_CELLS = (
 VALUE_BLOCK, BODY_BLOCK = "value", "mobile-list-body"
 
 
-def _block(css: str, tag: str = "div") -> str:
-    """Pattern of the content of the first ``tag`` with exactly this class attribute."""
-    return rf"""(?is)<{tag}\b[^>]*\bclass=["']{css}["'][^>]*>(.*?)</{tag}>"""
+def _block(css: str) -> str:
+    """Pattern of the content of the first block with exactly this class attribute."""
+    return rf"""(?s)\bclass=["']{css}["'][^>]*>(.*?)</div>"""
 
 
 def _inner(css: str, inner: str) -> str:
     """Pattern of the content of a block of class ``inner`` that follows a block of class ``css``."""
-    return rf"""(?is)\bclass=["']{css}["'][^>]*>.*?\bclass=["']{inner}["'][^>]*>(.*?)</div>"""
+    return rf"""(?s)\bclass=["']{css}["'][^>]*>.*?\bclass=["']{inner}["'][^>]*>(.*?)</div>"""
 
 
-def _cut(html: Column, pattern: str) -> Column:
-    """First match as text, null when there is none."""
-    return plain_text(F.get(all_matches(html, pattern), F.lit(0)))
+def _cut(html: Column | str, pattern: str) -> Column:
+    """First match as text, empty when there is none."""
+    return plain_text(F.regexp_extract(html, pattern, 1))
 
 
-def custody_parts(pages: DataFrame) -> DataFrame:
-    """Fragments of both custody tables, from pages(asked_date, html), in one pass per page.
-    Pages that answer another date than the asked one are left out."""
-    shown = F.right(_cut(F.col("html"), _block(DATE_BLOCK)), F.lit(10))
-    stock = _cut(F.col("html"), _block(STOCK_BLOCK))
-    marker = rf"""(?i)<div\b[^>]*\bclass=["'](?:[^"']* )?{SUMMARY_BLOCK}(?: [^"']*)?["']"""
-    blocks = F.split("html", marker)
-    blocks = F.slice(blocks, F.lit(2), F.greatest(F.size(blocks) - 1, F.lit(0)))
+def _custody_fragments(pages: DataFrame) -> DataFrame:
+    """Fragments of both custody tables. Pages that answer another date than the asked one are
+    left out."""
+    shown = F.right(_cut("html", _block(DATE_BLOCK)), F.lit(10))
+    stock = _cut("html", _block(STOCK_BLOCK))
+    marker = rf"""<div\b[^>]*\bclass=["'](?:[^"']* )?{SUMMARY_BLOCK}(?: [^"']*)?["']"""
+    blocks = after_first(F.split("html", marker))
     rows = all_matches(F.regexp_extract("html", TABLE_BODY, 1), TABLE_ROW)
     tagged = lambda kind: lambda f: F.struct(F.lit(kind).alias("kind"), f.alias("fragment"))
     both = F.concat(F.transform(blocks, tagged("summary")), F.transform(rows, tagged("detail")))
@@ -139,28 +143,38 @@ def _count(cell: Column) -> Column:
 CUSTODY_HEAD = ("trade_date", "symbol", "symbol_name")
 
 
-def custody_summary(parts: DataFrame) -> DataFrame:
-    value = lambda css: _cut(F.col("fragment"), _inner(css, VALUE_BLOCK))
-    holding, participants, percent = (value(css) for css in SUMMARY_VALUES)
-    return parts.filter("kind = 'summary'").select(
+def custody_rows(pages: DataFrame) -> DataFrame:
+    """Rows of both custody tables, told apart by ``kind``, from pages(asked_date, html). Each
+    page is read once. A detail row without a percentage cell counts as 0 percent."""
+    summed = F.col("kind") == "summary"
+    in_summary = lambda css: _cut("fragment", _inner(css, VALUE_BLOCK))
+    in_detail = lambda css: _cut("fragment", _inner(css, BODY_BLOCK))
+    code, name, held, percent = DETAIL_CELLS
+    sum_held, sum_count, sum_percent = SUMMARY_VALUES
+    has_percent = summed | F.col("fragment").contains(percent)
+    holding = F.when(summed, in_summary(sum_held)).otherwise(in_detail(held))
+    share = F.when(summed, in_summary(sum_percent)).otherwise(in_detail(percent))
+    return _custody_fragments(pages).select(
         *CUSTODY_HEAD,
-        _cut(F.col("fragment"), _block(CATEGORY)).alias("holder_type"),
+        "kind",
+        F.when(summed, _cut("fragment", _block(CATEGORY))).alias("holder_type"),
+        F.when(~summed, in_detail(code)).alias("participant_id"),
+        F.when(~summed, in_detail(name)).alias("participant_name"),
         _count(holding).alias("holding"),
-        _count(participants).alias("participants"),
-        _percent(percent).alias("pct"),
+        F.when(summed, _count(in_summary(sum_count))).alias("participants"),
+        F.when(has_percent, _percent(share)).otherwise(0.0).alias("pct"),
     )
 
 
-def custody_detail(parts: DataFrame) -> DataFrame:
-    """A row without a percentage cell counts as 0 percent."""
-    value = lambda css: _cut(F.col("fragment"), _inner(css, BODY_BLOCK))
-    code, name, holding, percent = (value(css) for css in DETAIL_CELLS)
-    return parts.filter("kind = 'detail'").select(
-        *CUSTODY_HEAD,
-        code.alias("participant_id"),
-        name.alias("participant_name"),
-        _count(holding).alias("holding"),
-        F.when(percent.isNull(), 0.0).otherwise(_percent(percent)).alias("pct"),
+def custody_summary(rows: DataFrame) -> DataFrame:
+    return rows.filter("kind = 'summary'").select(
+        *CUSTODY_HEAD, "holder_type", "holding", "participants", "pct"
+    )
+
+
+def custody_detail(rows: DataFrame) -> DataFrame:
+    return rows.filter("kind = 'detail'").select(
+        *CUSTODY_HEAD, "participant_id", "participant_name", "holding", "pct"
     )
 
 
@@ -178,8 +192,7 @@ def interface_catalogue(pages: DataFrame, html: str = "html") -> DataFrame:
 
     A section is read up to the next section start, which is all that its labelled lines need.
     """
-    starts = F.split(html, r"(?i)<section\b")
-    sections = pages.select(F.explode(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0)))).alias("s"))
+    sections = pages.select(F.explode(after_first(F.split(html, r"(?i)<section\b"))).alias("s"))
     own = F.regexp_replace("s", r"(?is)</section\b.*", "")
     tags = sections.select(F.split(own, r"<(?=[a-zA-Z])").alias("tags"))
     # tags[0] is the rest of the section tag; the text of a tag runs to its closing tag
