@@ -33,8 +33,9 @@ def plain_text(fragment: Column) -> Column:
 
 
 def after_first(pieces: Column) -> Column:
-    """All elements but the first, such as the pieces that follow a marker."""
-    return F.slice(pieces, 2, 2**31 - 1)
+    """All elements but the first, such as the pieces that follow a marker. A text is shorter than
+    2^31 bytes, so it cannot hold 2^30 markers."""
+    return F.slice(pieces, 2, 2**30)
 
 
 def fragments(pages: DataFrame, page: str, html: str, pattern: str, group: int = 1) -> DataFrame:
