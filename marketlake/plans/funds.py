@@ -11,13 +11,21 @@ from marketlake.functions import numbers
 from marketlake.operators import aggregates
 
 
-def weights(holdings: DataFrame, unit: Sequence[str], value: str = "holding_value") -> DataFrame:
+def weights(
+    holdings: DataFrame,
+    unit: Sequence[str],
+    value: str = "holding_value",
+    totals: DataFrame | None = None,
+) -> DataFrame:
     """Percentage of each holding in its unit (fund and quarter).
 
     Totals come from an aggregation and a join, not from a window: a fund with a third of all
     holdings would put them into one window partition, while a join can be split or broadcast.
+    ``totals`` (unit, total_value) can be handed in where a cheaper source than the holdings has
+    them.
     """
-    totals = holdings.groupBy(*unit).agg(F.sum(value).alias("total_value"))
+    if totals is None:
+        totals = holdings.groupBy(*unit).agg(F.sum(value).alias("total_value"))
     joined = holdings.join(totals, list(unit))
     return joined.withColumn("nav_pct", numbers.percent(F.col(value), F.col("total_value")))
 

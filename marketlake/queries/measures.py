@@ -409,7 +409,11 @@ def board_daily_summary(t: Tables) -> DataFrame:
 SELECT fund_code, report_date, symbol, shares, {sql_doubles('holding_value', 'total_value')}, {sql_pct('holding_value', 'total_value')} AS nav_pct
 FROM holdings JOIN t USING (fund_code, report_date)""")
 def fund_weights(t: Tables) -> DataFrame:
-    return doubles(funds.weights(t.holdings(), ["fund_code", "report_date"]), "holding_value", "total_value")
+    totals = t.lineitem.groupBy(
+        F.col("l_suppkey").alias("fund_code"), quarter_end("l_shipdate").alias("report_date")
+    ).agg(F.sum(money(F.col("l_extendedprice"))).alias("total_value"))
+    weighted = funds.weights(t.holdings(), ["fund_code", "report_date"], totals=totals)
+    return doubles(weighted, "holding_value", "total_value")
 
 
 @query(f"""WITH {SQL_HOLDINGS}, r AS (SELECT fund_code, symbol, report_date, shares, CAST(holding_value AS DOUBLE) AS holding_value,
