@@ -14,23 +14,40 @@ def append(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.unionByName(incoming)
 
 
+def _range_of(df: DataFrame, column: str, bound) -> Column:
+    return df.agg(bound(column)).scalar()
+
+
 def absent_rows(
-    existing: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str]
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    within: str | None = None,
 ) -> DataFrame:
     """Incoming rows with a complete key that the table does not hold, last arrival per key.
 
-    Only key columns of the table are read. The anti join comes first, since most re-delivered
-    rows fall out there and need not be ranked.
+    Duplicates go first: a key that came very often is cut to one row per task before anything
+    is shuffled, and the anti join then reuses that partitioning. Only key columns of the table
+    are read, and with ``within`` (a key column by which the files are clustered, such as the
+    date) only row groups in the incoming range.
     """
-    candidates = joins.without(filters.complete_keys(incoming, key), existing, key)
-    return aggregates.keep_last(candidates, key, order)
+    candidates = aggregates.keep_last(filters.complete_keys(incoming, key), key, order)
+    if within is not None:
+        low, high = (_range_of(incoming, within, f) for f in (F.min, F.max))
+        existing = existing.filter((F.col(within) >= low) & (F.col(within) <= high))
+    return joins.without(candidates, existing, key)
 
 
 def insert_if_absent(
-    existing: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str]
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    within: str | None = None,
 ) -> DataFrame:
     """Existing rows never change; keys that are not there yet are added."""
-    return existing.unionByName(absent_rows(existing, incoming, key, order))
+    return existing.unionByName(absent_rows(existing, incoming, key, order, within))
 
 
 def replace_slices(existing: DataFrame, incoming: DataFrame, slice_columns: Sequence[str]) -> DataFrame:

@@ -47,7 +47,9 @@ class Context:
         schema = spec.schema
         if spec.write == spec_rules.RANGE:
             schema = StructType([*schema.fields, YEAR])
-        return LakeTable(self.lake, spec.name, schema)
+        by_scope = (spec.scope, spec.date) if spec.scope else (spec.date,)
+        sort = by_scope + tuple(c for c in spec.key if c not in by_scope)
+        return LakeTable(self.lake, spec.name, schema, sort)
 
 
 def _slices(spec: DatasetSpec) -> list[str]:
@@ -63,7 +65,7 @@ def stored_rows(context: Context, spec: DatasetSpec) -> DataFrame:
     if spec.write in (spec_rules.LIKE, spec_rules.SNAPSHOT):
         return table.read_version()
     if spec.write == spec_rules.SLICES:
-        return table.read_partitions()
+        return table.read_partitions(spec.slices)
     return table.read_marked(_slices(spec)).select(*spec.schema.fieldNames())
 
 
@@ -267,7 +269,9 @@ def publish(context: Context, spec: DatasetSpec, rows: DataFrame, history: DataF
     match spec.write:
         case spec_rules.APPEND | spec_rules.INSERT:
             key = [spec.key[0]] if spec.write == spec_rules.INSERT else list(spec.key)
-            table.write_batch(writes.absent_rows(table.read_batches(), rows, key, ["_batch", "_pos"]), batch)
+            within = spec.date if spec.date in key else None
+            new = writes.absent_rows(table.read_batches(), rows, key, ["_batch", "_pos"], within)
+            table.write_batch(new, batch)
         case spec_rules.SLICES:
             table.replace_partitions(rows, spec.slices, batch)
         case spec_rules.LIKE:

@@ -65,8 +65,7 @@ SQL_CUSTODY = """p AS (SELECT l_suppkey AS symbol, CAST(date_trunc('month', l_sh
 SELECT 'detail' AS kind, symbol, month, holder_type, participant_id AS n, holding FROM p
 UNION ALL SELECT 'summary', symbol, month, holder_type, count(*), CAST(sum(holding) AS BIGINT) FROM p GROUP BY 2, 3, 4""")
 def write_two_tables(t: Tables) -> DataFrame:
-    """Custody detail and its summary appear together; a pair with an empty side is not written,
-    and a batch whose unit was never committed is not read."""
+    """Custody detail and its summary appear together; a pair with an empty side is not written."""
     lake = _lake(t, "pair")
     detail = (
         t.trades()
@@ -84,7 +83,6 @@ def write_two_tables(t: Tables) -> DataFrame:
     summary_table = LakeTable(lake, "summary", summary.schema)
     publish_pair("b1", (summary_table, summary), (detail_table, detail))
     publish_pair("b2", (summary_table, summary), (detail_table, detail.filter("holding < 0")))
-    detail_table.write_batch(detail.limit(10), "b3", unit="b3")
     columns = ["symbol", "month", "holder_type"]
     read_detail = detail_table.read_batches().select(
         F.lit("detail").alias("kind"), *columns, F.col("participant_id").alias("n"), "holding"

@@ -55,7 +55,8 @@ fresh AS (SELECT * FROM orders_d i WHERE o_orderdate >= DATE '{OVERLAP}' AND NOT
 SELECT * FROM stored UNION ALL SELECT * FROM fresh""")
 def write_insert_if_absent(t: Tables) -> DataFrame:
     order = ["o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
-    return writes.insert_if_absent(_stored(t), _incoming(t, OVERLAP), ["o_custkey", "o_orderdate"], order)
+    key = ["o_custkey", "o_orderdate"]
+    return writes.insert_if_absent(_stored(t), _incoming(t, OVERLAP), key, order, within="o_orderdate")
 
 
 # --- replace a slice -------------------------------------------------------------------

@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,14 +30,10 @@ from marketlake.operators import reshape
 ROWS_PER_FILE = 5_000_000
 
 
-def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Parquet files with a declared schema; no rows when nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return reshape.typed_empty(spark, schema)
+def read_or_create(spark: SparkSession, path: str, schema: StructType, partition: Sequence[str]) -> DataFrame:
+    """Files of a partitioned table with its declared schema; the table is created if missing."""
+    reshape.typed_empty(spark, schema).write.mode("ignore").partitionBy(*partition).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _text_fields(*names: str) -> list[StructField]:
@@ -53,8 +48,8 @@ class Lake:
     root: str
 
     def commits(self, table: str) -> DataFrame:
-        schema = StructType(_text_fields("batch", "unit"))
-        return read_parquet(self.spark, f"{self.root}/commits/table={table}", schema).select("batch", "unit")
+        path, schema = f"{self.root}/commits/table={table}", StructType(_text_fields("batch", "unit", "id"))
+        return read_or_create(self.spark, path, schema, ["id"]).select("batch", "unit")
 
     def commit(self, table: str, batch: str, unit: str | None = None) -> None:
         """Make a batch visible: at once, or when its unit is committed."""
@@ -75,6 +70,7 @@ class LakeTable:
     lake: Lake
     name: str
     schema: StructType
+    sort: tuple[str, ...] = ()
 
     @property
     def spark(self) -> SparkSession:
@@ -91,14 +87,18 @@ class LakeTable:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _write(self, df: DataFrame, folder: str) -> None:
-        out = df.select(*self.schema.fieldNames()).hint("rebalance")
+        """Files of even size, sorted so that row groups can be skipped by their bounds."""
+        out = df.select(*self.schema.fieldNames()).hint("rebalance", *[F.col(c) for c in self.sort[:1]])
+        if self.sort:
+            out = out.sortWithinPartitions(*self.sort)
         out.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{self.path}/{folder}")
 
     # --- batches ---
 
     def _batch_rows(self, exclude: str | None = None) -> DataFrame:
         """Committed rows with their batch; the batch folders are pruned by the join at run time."""
-        rows = read_parquet(self.spark, self.path, StructType([*self.schema.fields, *_text_fields("_batch")]))
+        schema = StructType([*self.schema.fields, *_text_fields("_batch")])
+        rows = read_or_create(self.spark, self.path, schema, ["_batch"])
         done = self.lake.committed(self.name).select(F.col("batch").alias("_batch"))
         if exclude is not None:
             rows, done = rows.filter(F.col("_batch") != exclude), done.filter(F.col("_batch") != exclude)
@@ -140,7 +140,7 @@ class LakeTable:
         newest = self._newest()
         if newest is None:
             return reshape.typed_empty(self.spark, self.schema)
-        return read_parquet(self.spark, f"{self.path}/_version={newest}", self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/_version={newest}")
 
     def write_version(self, df: DataFrame) -> None:
         version = f"{int(self._newest() or 0) + 1:010d}"
@@ -149,8 +149,9 @@ class LakeTable:
 
     # --- partitions ---
 
-    def read_partitions(self) -> DataFrame:
-        return read_parquet(self.spark, self.path, self.schema).select(*self.schema.fieldNames())
+    def read_partitions(self, columns: Sequence[str]) -> DataFrame:
+        rows = read_or_create(self.spark, self.path, self.schema, columns)
+        return rows.select(*self.schema.fieldNames())
 
     def replace_partitions(self, df: DataFrame, columns: Sequence[str], batch: str) -> None:
         """Replace every partition that occurs in ``df``; others stay.
@@ -159,7 +160,8 @@ class LakeTable:
         that holds most of the rows is split over many tasks.
         """
         staged = self.stage(df.select(*self.schema.fieldNames()), batch)
-        staged.hint("rebalance", *[F.col(c) for c in columns]).write.mode("overwrite").option(
+        ordered = staged.hint("rebalance", *[F.col(c) for c in columns])
+        ordered.sortWithinPartitions(*columns, *self.sort).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*columns).parquet(self.path)
 
