@@ -16,7 +16,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, StringType, St
 
 from marketlake import schema as spec_rules
 from marketlake.functions import dates, text
-from marketlake.operators import aggregates, revision, synclog, writes
+from marketlake.operators import aggregates, filters, revision, synclog, writes
 from marketlake.plans import windows
 from marketlake.schema import DatasetSpec
 from marketlake.sources.tables import Lake, LakeTable, publish_pair
@@ -86,6 +86,10 @@ def cutoff(context: Context, spec: DatasetSpec) -> Column:
             return today
         case "yesterday":
             return yesterday
+        case "day":
+            return dates.day_cutoff(now)
+        case "day_closing":
+            return dates.day_cutoff(now, closing_counts=True)
         case "day_close":
             return _last_trading(context, dates.day_cutoff(now))
         case "board_close_strict":
@@ -138,6 +142,8 @@ def plan(
         year_ago = F.add_months(F.to_date(context.clock), -12)
         start = dates.start_floor(start, year_ago if spec.floor == "-1y" else F.lit(spec.floor).cast("date"))
     planned = marks.withColumns({"start": start, "end": end})
+    if spec.excluded:
+        planned = filters.not_in(planned, spec.scope, spec.excluded)
     return planned.filter(_due(context, spec))
 
 
@@ -197,9 +203,11 @@ def pick(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFr
     if keys:
         joined = landed.join(ranges, keys)
         return joined.filter(F.col(spec.date).between(F.col("start"), F.col("end"))).drop("start", "end")
-    row = ranges.first()
+    row = planned.first()
     if row is None:
         return landed.limit(0)
+    if spec.windows == "after":
+        return landed.filter(F.col(spec.date) > F.lit(row["watermark"]))
     return landed.filter(F.col(spec.date).between(F.lit(row["start"]), F.lit(row["end"])))
 
 

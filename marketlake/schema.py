@@ -74,7 +74,7 @@ class DatasetSpec:
     ``scope`` is the column a watermark is kept per, or None for one watermark per table.
     ``step`` is the number of days from the watermark to the first day to load, ``cutoff``
     the rule that ends the load, ``windows`` how the range is cut up. ``constants`` are
-    columns that the run adds to the landed ones.
+    columns that the run adds to the landed ones, ``excluded`` scope values that are not loaded.
     """
 
     name: str
@@ -95,6 +95,7 @@ class DatasetSpec:
     keep_last: bool = False
     complete: bool = False
     cut_text: tuple[str, ...] = ()
+    excluded: tuple[str, ...] = ()
     lenient: bool = False
 
     @cached_property
@@ -163,18 +164,21 @@ def _statement(name: str, comment: str, columns: str, default: str, **rule) -> D
 
 ANNOUNCED = ("report_date", "symbol", "announce_date")
 
+# Concept boards whose history the source cannot deliver.
+BROKEN_BOARDS = ("BK1631", "BK1632", "BK1633", "BK1634")
+
 # --- the datasets ----------------------------------------------------------------------
 
 SPECS: tuple[DatasetSpec, ...] = (
     DatasetSpec(
         "stock_trade_date", "trading calendar per exchange",
         "exchange trade_date load_date", ("trade_date", "exchange"), APPEND,
-        "trade_date", "1990-01-01", constants=(TODAY_DATE,),
+        "trade_date", "1990-01-01", step=0, inclusive=False, windows="after", constants=(TODAY_DATE,),
     ),
     DatasetSpec(
         "stock_basic_info", "listed securities",
         "symbol symbol_name exchange board=string(24) list_date load_date", ("symbol", "exchange"), LIKE,
-        "load_date", "1990-01-01", inclusive=False, cutoff="friday", windows="snapshot",
+        "load_date", "1990-01-01", step=0, inclusive=False, cutoff="friday", windows="snapshot",
         constants=(("load_date", "cutoff"),), complete=True,
     ),
     DatasetSpec(
@@ -204,15 +208,15 @@ SPECS: tuple[DatasetSpec, ...] = (
     *[
         DatasetSpec(
             f"stock_board_{kind}_hist_em", f"daily bars of {kind} boards", BOARD_BARS, ("board_name", "trade_date"), APPEND,
-            "trade_date", default, scope="board_code", cutoff="board_close_strict",
+            "trade_date", default, scope="board_code", cutoff="board_close_strict", excluded=excluded,
         )
-        for kind, default in (("concept", "2020-01-01"), ("industry", "1970-01-01"))
+        for kind, default, excluded in (("concept", "2020-01-01", BROKEN_BOARDS), ("industry", "1970-01-01", ()))
     ],
     DatasetSpec(
         "fund_name_em", "funds",
         "fund_code pinyin_short=string(32) fund_name=string(128) fund_type=string(24) pinyin_full=string(256) "
         "load_date latest_holding_date", ("fund_code", "fund_type"), INSERT,
-        "load_date", "1990-01-01", inclusive=False, cutoff="friday", windows="snapshot",
+        "load_date", "1990-01-01", step=0, inclusive=False, cutoff="friday", windows="snapshot",
         constants=(("load_date", "cutoff"), ("latest_holding_date", "null")),
     ),
     DatasetSpec(
@@ -249,7 +253,7 @@ SPECS: tuple[DatasetSpec, ...] = (
         "total_shares=long float_shares=long "
         + " ".join(f"{m}=dec(16,2)" for m in ("pe_ttm", "pe_lar", "pb", "pcf_ttm", "pcf_lar", "ps_ttm", "peg")),
         ("symbol", "trade_date", "board_code"), APPEND,
-        "trade_date", "2018-01-01", cutoff="day_close", windows="trading_days",
+        "trade_date", "2018-01-01", cutoff="day_closing", windows="trading_days",
     ),
     _statement(
         "stock_yjbb_em", "earnings reports",
@@ -297,25 +301,25 @@ SPECS: tuple[DatasetSpec, ...] = (
         "stock_sse_deal_daily", "daily deals of the Shanghai exchange",
         "trade_date board=string(16) listed_count=int market_cap=dec(10,2) float_cap=dec(10,2) amount=dec(10,2) volume=dec(10,2) "
         "avg_pe=dec(6,2) turnover_pct=dec(5,2) float_turnover_pct=dec(5,2)", ("trade_date", "board"), APPEND,
-        "trade_date", "1990-01-01", floor="2022-01-01", cutoff="day_close", windows="trading_days",
+        "trade_date", "1990-01-01", floor="2022-01-01", cutoff="day", windows="trading_days",
     ),
     DatasetSpec(
         "stock_szse_summary", "categories of the Shenzhen exchange",
         "trade_date category=string(24) count=long amount=dec(24,5) market_cap=dec(24,5) float_cap=dec(24,5)",
         ("trade_date", "category"), APPEND,
-        "trade_date", "1990-01-01", floor="2010-01-02", cutoff="day_close", windows="trading_days",
+        "trade_date", "1990-01-01", floor="2010-01-02", windows="trading_days",
     ),
     DatasetSpec(
         "stock_szse_area_summary", "areas of the Shenzhen exchange",
         "month area=string(16) total_amount market_pct=dec(4,2) stock_amount fund_amount bond_amount",
         ("month", "area"), APPEND,
-        "month", "1990-01-01", floor="2020-01-01", cutoff="month_end", windows="months",
+        "month", "1990-01-01", step=31, floor="2020-01-01", cutoff="month_end", windows="months",
     ),
     DatasetSpec(
         "stock_szse_sector_summary", "sectors of the Shenzhen exchange",
         "month name=string(16) name_en=string(32) trade_days=int amount=long amount_pct=dec(5,2) volume volume_pct=dec(5,2) "
         "deals=long deals_pct=dec(5,2)", ("month", "name"), APPEND,
-        "month", "1990-01-01", floor="2019-01-01", cutoff="month_end", windows="months_until_gap",
+        "month", "1990-01-01", step=31, floor="2019-01-01", cutoff="month_end", windows="months_until_gap",
     ),
     DatasetSpec(
         "stock_margin_sse", "margin totals, Shanghai", MARGIN_TOTALS, ("trade_date",), APPEND,
@@ -345,7 +349,7 @@ SPECS: tuple[DatasetSpec, ...] = (
         "stock_hk_short_sale_em", "short turnover, Hong Kong",
         "trade_date symbol symbol_name last_price short_shares=long short_avg_price=dec(10,2) short_amount_10k=long "
         "amount_10k=long short_pct=dec(5,2)", ("symbol", "trade_date"), APPEND,
-        "trade_date", "1970-01-01", scope="symbol", floor="-1y", cutoff="day_close", windows="split:50",
+        "trade_date", "1970-01-01", scope="symbol", floor="-1y", cutoff="day", windows="split:50",
     ),
     DatasetSpec(
         "stock_hk_ccass_records", "custody by participant, Hong Kong",

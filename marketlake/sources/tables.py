@@ -134,7 +134,8 @@ class LakeTable:
     # --- versions ---
 
     def _newest(self) -> str | None:
-        return self.lake.committed(self.name).agg(F.max("batch")).first()[0]
+        """Newest version; versions are committed one by one, never as part of a unit."""
+        return self.lake.commits(self.name).agg(F.max("batch")).first()[0]
 
     def read_version(self) -> DataFrame:
         newest = self._newest()

@@ -71,6 +71,26 @@ def test_keyed_append_plans_every_symbol(spark, lake, calendar):
     assert len(rows(runner.stored_rows(ctx, spec))) == 3
 
 
+def test_calendar_table_takes_all_new_dates(spark, lake, calendar):
+    spec = schema.REGISTRY["stock_trade_date"]
+    source = landed(spark, spec, [{"exchange": "SSE", "trade_date": d} for d in ("20240102", "20240103", "20241231")])
+    for clock in ((2024, 1, 3, 9), (2024, 1, 4, 9)):
+        ctx = context(lake, calendar, *clock)
+        runner.run(ctx, spec, source)
+    got = rows(runner.stored_rows(ctx, spec), "trade_date", "load_date")
+    assert got == [(date(2024, m, d), date(2024, 1, 3)) for m, d in ((1, 2), (1, 3), (12, 31))]
+
+
+def test_excluded_boards(spark, lake, calendar):
+    spec = schema.REGISTRY["stock_board_concept_hist_em"]
+    universe = spark.createDataFrame([("BK1631",), ("BK0001",)], "board_code string")
+    record = lambda b, d: {"board_code": b, "board_name": b, "trade_date": d}
+    source = landed(spark, spec, [record(b, d) for b in ("BK1631", "BK0001") for d in ("20240104", "20240105", "20240108")])
+    ctx = context(lake, calendar, 2024, 1, 8, 16)  # strictly before the 8th: the 5th is the last one
+    runner.run(ctx, spec, source, universe)
+    assert rows(runner.stored_rows(ctx, spec), "board_code", "trade_date") == [("BK0001", date(2024, 1, 4)), ("BK0001", date(2024, 1, 5))]
+
+
 def test_quarters_are_replaced_whole(spark, lake, calendar):
     spec = schema.REGISTRY["stock_yjyg_em"]
     one = {"report_date": "20231231", "symbol": "000001", "metric": "m", "announce_date": "20240201", "reason_text": "a"}
