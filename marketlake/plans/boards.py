@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def with_caps(bars: DataFrame, shares: DataFrame, key: str = "symbol") -> DataFrame:
-    """Market cap and float cap = close x shares."""
-    joined = bars.join(shares.select(key, "total_shares", "float_shares"), key)
-    return joined.withColumns(
+    """Market cap and float cap = close x shares. Other columns of ``shares``, such as the
+    board of each security, come along in the same join."""
+    return bars.join(shares, key).withColumns(
         {
             "market_cap": F.col("close") * F.col("total_shares"),
             "float_cap": F.col("close") * F.col("float_shares"),
@@ -18,6 +18,7 @@ def with_caps(bars: DataFrame, shares: DataFrame, key: str = "symbol") -> DataFr
 
 
 def members(bars: DataFrame, constituents: DataFrame, key: str = "symbol") -> DataFrame:
+    """Bars of board members; a security in several boards counts in each."""
     return bars.join(constituents, key)
 
 

@@ -142,9 +142,7 @@ def _stocks(t: Tables) -> DataFrame:
 
 
 def _members(t: Tables) -> DataFrame:
-    stocks = _stocks(t)
-    changed = bars.with_change(t.daily_bars("l_partkey"))
-    return boards.members(boards.with_caps(changed, stocks), stocks.select("symbol", "board"))
+    return boards.with_caps(bars.with_change(t.daily_bars("l_partkey")), _stocks(t))
 
 
 @query(f"""WITH {SQL_MEMBERS} SELECT symbol, trade_date, CAST(close AS DOUBLE) AS close, CAST(market_cap AS DOUBLE) AS market_cap,
