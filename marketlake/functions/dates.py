@@ -19,8 +19,9 @@ QUARTER_LABEL = r"(\d{4}).*?([1-4])季度"
 
 
 def clock(now: Column) -> Column:
-    """Time of day as HH:mm:ss text."""
-    return F.date_format(now, "HH:mm:ss")
+    """Time of day as HH:mm:ss text. Cut from the timestamp's own text, so that a timestamp
+    without time zone is never moved through the session's zone."""
+    return F.substring(now.cast("string"), 12, 8)
 
 
 def day_cutoff(now: Column, close: str = MARKET_CLOSE, closing_counts: bool = False) -> Column:
@@ -65,9 +66,8 @@ def snapshot_gate(last_loaded: Column, now: Column, compat: bool = False) -> Col
 def floor_minutes(now: Column, minutes: int = 30) -> Column:
     """Clock value floored to a whole number of minutes, as yyyy-MM-dd HH:mm:ss text."""
     slot = F.floor(F.minute(now) / minutes) * minutes
-    return F.concat(
-        F.date_format(now, "yyyy-MM-dd HH:"), F.lpad(slot.cast("string"), 2, "0"), F.lit(":00")
-    )
+    hour = F.substring(now.cast("string"), 1, 14)
+    return F.concat(hour, F.lpad(slot.cast("string"), 2, "0"), F.lit(":00"))
 
 
 def intraday_cutoff(now: Column, last_day: Column, prev_day: Column, compat: bool = False) -> Column:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from marketlake.functions import numbers
 
 
+BAR_COLUMNS = ("high", "low", "volume", "amount")
+
+
 def from_trades(
     trades: DataFrame,
     keys: Sequence[Column | str],
@@ -18,20 +21,27 @@ def from_trades(
     volume: str = "volume",
     amount: str = "amount",
 ) -> DataFrame:
-    """Bars per key: first and last price in ``order`` (which must be total), extremes, sums.
+    """Bars per key: first and last price in ``order`` (ties go by price), extremes, sums.
 
     One aggregation with map-side combine; a symbol with a third of all trades still reaches
     the reducers as one partial row per bar and task.
     """
-    sequence = F.struct(*order)
-    return trades.groupBy(*keys).agg(
-        F.min_by(price, sequence).alias("open"),
-        F.max_by(price, sequence).alias("close"),
+    tick = F.struct(*order, F.col(price).alias("_price"))
+    grouped = trades.groupBy(*keys).agg(
+        F.min(tick).alias("_first"),
+        F.max(tick).alias("_last"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
         F.sum(volume).alias("volume"),
         F.sum(amount).alias("amount"),
     )
+    names = [c for c in grouped.columns if c not in ("_first", "_last", *BAR_COLUMNS)]
+    return grouped.select(
+        *names,
+        F.col("_first._price").alias("open"),
+        F.col("_last._price").alias("close"),
+        *BAR_COLUMNS,
+    )
 
 
 def rollup(bars: DataFrame, keys: Sequence[Column | str], date: str = "trade_date") -> DataFrame:

@@ -80,7 +80,7 @@ class Tables:
         )
 
     def daily_bars(self, symbol: str = "l_suppkey") -> DataFrame:
-        order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "volume", "price"]
+        order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "volume"]
         return bar_plans.from_trades(self.trades(symbol), ["symbol", "trade_date"], order)
 
     def orders_by_day(self) -> DataFrame:

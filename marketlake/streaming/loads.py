@@ -26,8 +26,16 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_ba
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def load_available(stream: DataFrame, table: LakeTable, checkpoint: str, key: Sequence[str], order: Sequence[str]) -> None:
-    """Insert-if-absent of everything that has landed since the last run.
+def load_available(
+    stream: DataFrame,
+    table: LakeTable,
+    checkpoint: str,
+    key: Sequence[str],
+    order: Sequence[str],
+    within: str | None = None,
+) -> None:
+    """Insert-if-absent of everything that has landed since the last run. ``within`` names the
+    key column, such as the date, by which stored files can be skipped.
 
     A micro-batch that is repeated after a failure writes the same batch folder again, and
     ignores its own earlier rows, so it neither doubles nor loses any.
@@ -36,7 +44,7 @@ def load_available(stream: DataFrame, table: LakeTable, checkpoint: str, key: Se
     def publish(rows: DataFrame, batch_id: int) -> None:
         batch = f"stream-{batch_id:010d}"
         stored = table.read_batches(exclude=batch)
-        table.write_batch(writes.absent_rows(stored, rows, key, order), batch)
+        table.write_batch(writes.absent_rows(stored, rows, key, order, within), batch)
 
     query = (
         stream.writeStream.foreachBatch(publish)

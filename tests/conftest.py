@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         "tests",
         **{
             "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

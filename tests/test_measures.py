@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import aggregates, reshape
 from marketlake.plans import bars, boards, funds, markets, statements
-from marketlake.queries import REGISTRY, Tables
 from tests.conftest import rows
 
 # Eight forward-adjusted bars with negative prices
@@ -108,16 +107,3 @@ def test_leader_tie_goes_to_the_lowest_symbol(spark):
     df = spark.createDataFrame([(2, "b", 5.0), (1, "b", 5.0), (3, "b", None)], "symbol int, board string, change_pct double")
     got = boards.leaders(df.withColumn("trade_date", F.lit("2024-01-02"))).first()
     assert (got.leader, got.leader_change_pct) == (1, 5.0)
-
-
-# --- plans -----------------------------------------------------------------------------
-
-EAGER = {"metric_rows_written", "write_two_tables", "maintain_quarterly", "maintain_bars"}
-
-
-@pytest.mark.parametrize("name", [n for n in REGISTRY if n not in EAGER and not n.startswith("stream_")])
-def test_plan_has_no_pairwise_join_and_no_python(name, spark):
-    df = REGISTRY[name].run(Tables(spark, "/root/testdata/sf0.001"))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "InPandas", "PythonUDF", "BatchEvalPython"):
-        assert operator not in plan

@@ -3,6 +3,7 @@
 from dataclasses import replace
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,9 +15,10 @@ from tests.conftest import rows
 
 def landed(spark, spec, records):
     """Landed text columns; what a record does not name is null."""
-    kinds = ", ".join(f"{c} string" for c in spec.landed_columns)
-    data = [tuple(r.get(c) for c in spec.landed_columns) + (r.get("_batch", "b"), i) for i, r in enumerate(records)]
-    return spark.createDataFrame(data, f"{kinds}, _batch string, _pos int")
+    columns = {c: pa.array([r.get(c) for r in records], pa.string()) for c in spec.landed_columns}
+    columns["_batch"] = pa.array(["b"] * len(records), pa.string())
+    columns["_pos"] = pa.array(range(len(records)), pa.int32())
+    return spark.createDataFrame(pa.table(columns))
 
 
 @pytest.fixture()
