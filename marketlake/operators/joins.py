@@ -29,8 +29,8 @@ def per_exchange(calendar: DataFrame, exchanges: Sequence[str]) -> DataFrame:
     return calendar.withColumn("exchange", F.explode(F.array(*[F.lit(e) for e in exchanges])))
 
 
-def asof_dates(days: DataFrame, calendar: DataFrame, strict: bool = False) -> DataFrame:
-    """(day, last trading date at or before it; strictly before it when ``strict``).
+def asof_dates(days: DataFrame, calendar: DataFrame) -> DataFrame:
+    """(day, last trading date at or before it, last trading date strictly before it).
 
     Both sides are reduced to distinct dates first, so the one window below runs over at
     most one row per calendar day, however many rows the callers hold.
@@ -41,15 +41,19 @@ def asof_dates(days: DataFrame, calendar: DataFrame, strict: bool = False) -> Da
         .groupBy("day")
         .agg(F.max("trade_date").alias("trade_date"))
     )
-    upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    return spine.select("day", F.last("trade_date", ignorenulls=True).over(upto).alias("asof_date"))
+    ordered = Window.orderBy("day")
+    last = F.last("trade_date", ignorenulls=True)
+    return spine.select(
+        "day",
+        last.over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("asof_date"),
+        last.over(ordered.rowsBetween(Window.unboundedPreceding, -1)).alias("before_date"),
+    )
 
 
-def asof_join(df: DataFrame, day: str, calendar: DataFrame, strict: bool = False, out: str = "asof_date") -> DataFrame:
-    """Attach the last trading date of each row's day through an equi-join on the day."""
-    lookup = asof_dates(df.select(F.col(day).alias("day")).distinct(), calendar, strict)
-    lookup = lookup.select(F.col("day").alias(day), F.col("asof_date").alias(out))
-    return df.join(lookup, day, "left")
+def asof_join(df: DataFrame, day: str, calendar: DataFrame) -> DataFrame:
+    """Attach ``asof_date`` and ``before_date`` of each row's day through an equi-join on the day."""
+    lookup = asof_dates(df.select(F.col(day).alias("day")).distinct(), calendar)
+    return df.join(lookup.withColumnRenamed("day", day), day, "left")
 
 
 def calendar_days(windows: DataFrame, calendar: DataFrame, start: Column, end: Column) -> DataFrame:

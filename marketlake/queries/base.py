@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import text
 from marketlake.functions.numbers import money
 from marketlake.plans import bars as bar_plans
+from marketlake.session import scratch_dir
 
 # Where stored rows end and the clock value of a run, for all queries.
 SPLIT = "1999-01-01"
@@ -52,6 +53,12 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def staged(self, df: DataFrame, label: str) -> DataFrame:
+        """The frame as a written table, for inputs that several steps read."""
+        path = scratch_dir(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     # --- roles ---
 
     def securities(self) -> DataFrame:

@@ -273,7 +273,8 @@ def join_asof_calendar(t: Tables) -> DataFrame:
 SELECT event_id, {SQL_ASOF.format(op='<', day='CAST(now AS DATE)')} AS asof_date FROM clocks""")
 def join_asof_calendar_strict(t: Tables) -> DataFrame:
     clocks = t.events_2000().withColumn("day", F.to_date("now"))
-    return joins.asof_join(clocks, "day", t.calendar(), strict=True).select("event_id", "asof_date")
+    dated = joins.asof_join(clocks, "day", t.calendar())
+    return dated.select("event_id", F.col("before_date").alias("asof_date"))
 
 
 def _sql_intraday(opening: str) -> str:
@@ -290,10 +291,8 @@ SELECT event_id, {_sql_intraday('09:30:00')} AS cutoff, {_sql_intraday('9:30:00'
 def cal_intraday_cutoff(t: Tables) -> DataFrame:
     """The day before today and "strictly before today" name the same trading date."""
     clocks = t.events_2000().withColumn("day", F.to_date("now"))
-    calendar = t.calendar()
-    clocks = joins.asof_join(clocks, "day", calendar, out="last_day")
-    clocks = joins.asof_join(clocks, "day", calendar, strict=True, out="prev_day")
-    args = (F.col("now"), F.col("last_day"), F.col("prev_day"))
+    clocks = joins.asof_join(clocks, "day", t.calendar())
+    args = (F.col("now"), F.col("asof_date"), F.col("before_date"))
     return clocks.select(
         "event_id",
         dates.intraday_cutoff(*args).alias("cutoff"),

@@ -147,9 +147,10 @@ def update_parent_watermark(t: Tables) -> DataFrame:
 def _revision_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stored bars, the bars that arrive from each last stored date on, and the full history.
 
-    Every seventh symbol was recalculated; every eleventh lost its overlap bar.
+    Every seventh symbol was recalculated; every eleventh lost its overlap bar. The bars are
+    written once, as the tables they stand for would be.
     """
-    bars = t.daily_bars()
+    bars = t.staged(t.daily_bars(), "bars")
     stored = bars.filter(F.col("trade_date") < day(SPLIT)).filter(F.col("symbol") % 13 != 0)
     revised = F.when(F.col("symbol") % 7 == 0, 2).otherwise(1)
     history = bars.withColumn("close", (F.col("close") * revised).cast("decimal(18,2)"))
@@ -200,7 +201,7 @@ def detect_revisions_lenient(t: Tables) -> DataFrame:
 SELECT {SQL_BAR_COLUMNS} FROM after""")
 def apply_revisions(t: Tables) -> DataFrame:
     stored, incoming, history = _revision_inputs(t)
-    actions = revision.classify(stored, incoming)
+    actions = t.staged(revision.classify(stored, incoming), "actions")
     return doubles(revision.apply(stored, incoming, history, actions), *BAR_VALUES)
 
 
