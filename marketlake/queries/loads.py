@@ -9,17 +9,18 @@ from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake import schema
 from marketlake.functions import text
 from marketlake.operators import aggregates, checks, dictionary
-from marketlake.plans import markets, runner
+from marketlake.plans import bars, markets, runner
 from marketlake.queries.base import (
     BAR_VALUES,
     SPLIT,
     SQL_CALENDAR,
+    SQL_HOLDINGS,
     SQL_QUARTERS,
     Tables,
     doubles,
@@ -146,11 +147,12 @@ def stream_incremental(t: Tables) -> DataFrame:
 
 @query(SQL_EVENTS)
 def stream_resume(t: Tables) -> DataFrame:
-    """Half of the events land, are loaded, then all of them land again: the second run picks up
-    the new files only, and drops what it re-delivers."""
+    """The first half of the month lands and is loaded, then all of it lands again: the second run
+    picks up the new files only, and drops what they re-deliver."""
     lake = _lake(t, "resume")
     table, landing = _events_table(lake, t), f"{lake.root}/landing"
-    for delivery in (t.events.filter("event_id % 2 = 0"), t.events):
+    first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for delivery in (t.events.filter(first_half), t.events):
         delivery.write.mode("append").parquet(landing)
         stream = loads.file_stream(t.spark, landing, t.events.schema)
         loads.load_available(stream, table, f"{lake.root}/checkpoint", ["event_id"], ["ts"])
@@ -160,6 +162,110 @@ def stream_resume(t: Tables) -> DataFrame:
 # --- dataset runs ----------------------------------------------------------------------
 
 
+def _landed(spec: schema.DatasetSpec, df: DataFrame, **values: Column) -> DataFrame:
+    """Landed rows of a dataset: given values, columns of the same name, else nulls."""
+    source = {c: F.col(c) for c in df.columns} | values
+    nothing = F.lit(None).cast("string")
+    columns = [source.get(c, nothing).alias(c) for c in spec.landed_columns]
+    return df.select(*columns, F.lit("b").alias("_batch"), F.lit(0).alias("_pos"))
+
+
+SQL_DUE = "trade_date IN (SELECT trade_date FROM calendar) AND trade_date > DATE '1995-01-01' AND trade_date <= DATE '2001-06-14'"
+
+
+@query(f"""WITH {SQL_CALENDAR}, d AS (SELECT CAST(l_shipdate AS DATE) AS trade_date, CAST(l_suppkey AS VARCHAR) AS symbol,
+  sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS margin_balance FROM lineitem GROUP BY 1, 2)
+SELECT trade_date, symbol, CAST(margin_balance AS DOUBLE) AS margin_balance FROM d WHERE {SQL_DUE}""")
+def maintain_margin(t: Tables) -> DataFrame:
+    """Three runs of the margin detail, trading day by trading day; the last finds nothing new."""
+    lake = _lake(t, "margin")
+    spec = replace(schema.REGISTRY["stock_margin_detail_sse"], default="1995-01-01")
+    detail = t.trades().groupBy("trade_date", "symbol").agg(F.sum("amount").alias("margin_balance"))
+    landed = t.staged(_landed(spec, detail, symbol=F.col("symbol").cast("string")), "landing")
+    for now in (datetime(1999, 1, 5, 9), datetime(2001, 6, 15, 17), datetime(2001, 6, 15, 18)):
+        context = runner.Context(lake, t.calendar(), now)
+        runner.run(context, spec, landed)
+    return doubles(runner.stored_rows(context, spec).select("trade_date", "symbol", "margin_balance"), "margin_balance")
+
+
+@query(f"""WITH {SQL_HOLDINGS} SELECT CAST(fund_code AS VARCHAR) AS fund_code, CAST(symbol AS VARCHAR) AS symbol, report_date,
+  CAST(holding_value + CASE WHEN year(report_date) >= 1999 THEN 1 ELSE 0 END AS DOUBLE) AS holding_value
+FROM holdings WHERE year(report_date) BETWEEN 1996 AND 2001""")
+def maintain_funds(t: Tables) -> DataFrame:
+    """Two runs of the fund holdings, planned from a watermark in the parent table. The second
+    starts after 1998 and replaces the years since then, in which every value was corrected."""
+    lake, spec = _lake(t, "funds"), schema.REGISTRY["fund_portfolio_hold_em"]
+    holdings = t.staged(t.holdings(), "landing")
+    code = F.col("fund_code").cast("string")
+    parents = t.supplier.select(F.col("s_suppkey").cast("string").alias("fund_code"))
+    runs = ((datetime(1999, 2, 10, 9), "1995-12-31", 0), (datetime(2001, 6, 15, 9), "1998-12-31", 1))
+    for now, loaded, correction in runs:
+        landed = _landed(
+            spec, holdings, fund_code=code, symbol=F.col("symbol").cast("string"),
+            holding_value=F.col("holding_value") + correction,
+        )
+        context = runner.Context(lake, t.calendar(), now)
+        runner.run(context, spec, landed, marks=parents.withColumn("watermark", day(loaded)))
+    table = runner.stored_rows(context, spec).select("fund_code", "symbol", "report_date", "holding_value")
+    return doubles(table, "holding_value")
+
+
+@query("""WITH c AS (SELECT max(CAST(ts AS DATE)) AS last FROM events WHERE isodow(ts) < 6),
+b AS (SELECT event_type AS symbol, time_bucket(INTERVAL 30 MINUTE, ts) AS slot, max(CAST(value AS DECIMAL(10,2))) AS high FROM events GROUP BY 1, 2)
+SELECT symbol, strftime(slot, '%Y-%m-%d %H:%M:%S') AS bar_time, CAST(high AS DOUBLE) AS high FROM b, c
+WHERE slot <= last + INTERVAL 15 HOUR""")
+def maintain_intraday(t: Tables) -> DataFrame:
+    """Two runs of the 30-minute bars. The second landing starts after the overlap bar, which counts
+    as unchanged at this frequency."""
+    lake, spec = _lake(t, "intraday"), schema.REGISTRY["stock_zh_a_hist_30min_qfq"]
+    slots = ticks(t.events).groupBy("symbol", bars.slots(F.col("ts")).alias("bar_time"))
+    landing = t.staged(_landed(spec, slots.agg(F.max("price").alias("high"))), "landing")
+    days = t.events.select(F.to_date("ts").alias("trade_date")).distinct().filter("weekday(trade_date) < 5")
+    symbols = landing.select("symbol").distinct()
+    later = landing.filter(F.col("bar_time") > F.lit("2024-01-15 15:00:00").cast("timestamp_ntz"))
+    for now, landed in ((datetime(2024, 1, 15, 17), landing), (datetime(2024, 2, 1, 17), later)):
+        context = runner.Context(lake, days, now)
+        runner.run(context, spec, landed, symbols)
+    table = runner.stored_rows(context, spec).select("symbol", "bar_time", "high")
+    table = table.withColumn("bar_time", F.substring(F.col("bar_time").cast("string"), 1, 19))
+    return doubles(table, "high")
+
+
+SQL_CUSTODY_DAYS = """d AS (SELECT CAST(l_shipdate AS DATE) AS trade_date, CAST(l_suppkey AS VARCHAR) AS symbol, l_linestatus AS holder_type,
+  CAST(l_partkey AS VARCHAR) AS participant_id, sum(CAST(l_quantity AS BIGINT)) AS holding FROM lineitem
+  WHERE isodow(l_shipdate) < 6 AND l_shipdate BETWEEN TIMESTAMP '1998-06-15' AND TIMESTAMP '2000-03-14' GROUP BY 1, 2, 3, 4)"""
+
+
+@query(f"""WITH {SQL_CUSTODY_DAYS}
+SELECT 'detail' AS kind, trade_date, symbol, participant_id AS label, CAST(sum(holding) AS BIGINT) AS holding FROM d GROUP BY 2, 3, 4
+UNION ALL SELECT 'summary', trade_date, symbol, holder_type, CAST(sum(holding) AS BIGINT) FROM d GROUP BY 2, 3, 4""")
+def maintain_custody(t: Tables) -> DataFrame:
+    """Two runs of both custody tables: business days since a year before the first run."""
+    lake = _lake(t, "custody")
+    summary_spec, detail_spec = (schema.REGISTRY[f"stock_hk_ccass_records{n}"] for n in ("_summary", ""))
+    code = F.col("symbol").cast("string")
+
+    def landed(spec: schema.DatasetSpec, label: str, column: str) -> DataFrame:
+        rows = t.trades().groupBy("trade_date", code.alias("symbol"), F.col(column).cast("string").alias(label))
+        return t.staged(_landed(spec, rows.agg(F.sum("volume").alias("holding"))), "landing")
+
+    summary = landed(summary_spec, "holder_type", "l_linestatus")
+    detail = landed(detail_spec, "participant_id", "l_partkey")
+    symbols = t.supplier.select(F.col("s_suppkey").cast("string").alias("symbol"))
+    for now in (datetime(1999, 6, 15, 9), datetime(2000, 3, 15, 9)):
+        context = runner.Context(lake, t.calendar(), now)
+        runner.run_pair(context, (summary_spec, summary), (detail_spec, detail), symbols)
+    head = ["trade_date", "symbol"]
+    return runner.stored_rows(context, detail_spec).select(
+        F.lit("detail").alias("kind"), *head, F.col("participant_id").alias("label"), "holding"
+    ).unionByName(
+        runner.stored_rows(context, summary_spec).select(
+            F.lit("summary").alias("kind"), *head, F.col("holder_type").alias("label"), "holding"
+        )
+    )
+
+
+
 @query(f"""WITH {SQL_QUARTERS} SELECT report_date, lpad(CAST(symbol AS VARCHAR), CAST(greatest(6, length(CAST(symbol AS VARCHAR))) AS INTEGER), '0') AS symbol,
   CAST(revenue + CASE WHEN report_date >= DATE '1998-09-30' THEN 1 ELSE 0 END AS DOUBLE) AS net_cash_flow
 FROM company_quarters WHERE report_date <= DATE '2001-03-31'""")
@@ -171,19 +277,15 @@ def maintain_quarterly(t: Tables) -> DataFrame:
     reports = t.company_quarters()
 
     def landed(correction: int) -> DataFrame:
-        values = {
-            "report_date": F.col("report_date"),
-            "symbol": text.pad_code(F.col("symbol"), 6),
-            "net_cash_flow": F.col("revenue") + correction,
-            "announce_date": F.date_format(F.add_months("report_date", 1), "yyyyMMdd"),
-        }
-        raw = reports.select(
-            *[values.get(c, F.lit(None).cast("double")).alias(c) for c in spec.landed_columns],
-            F.lit("b").alias("_batch"),
-            F.lit(0).alias("_pos"),
+        right = _landed(
+            spec,
+            reports,
+            symbol=text.pad_code(F.col("symbol"), 6),
+            net_cash_flow=F.col("revenue") + correction,
+            announce_date=F.date_format(F.add_months("report_date", 1), "yyyyMMdd"),
         )
-        first = raw.withColumns({"_batch": F.lit("a"), "net_cash_flow": F.col("net_cash_flow") - 5})
-        return raw.unionByName(first)
+        early = right.withColumns({"_batch": F.lit("a"), "net_cash_flow": F.col("net_cash_flow") - 5})
+        return right.unionByName(early)
 
     for now, correction in ((datetime(1999, 3, 15, 17), 0), (datetime(2001, 6, 15, 17), 1)):
         context = runner.Context(lake, t.calendar(), now)
@@ -201,16 +303,12 @@ def maintain_bars(t: Tables) -> DataFrame:
     recalculated at the source, so its history is loaded again; the others only grow."""
     lake = _lake(t, "bars")
     spec = schema.REGISTRY["stock_zh_a_hist_daily_qfq"]
-    bars = t.daily_bars().withColumns(
-        {"code": F.col("symbol"), "symbol": F.col("symbol").cast("string"), "_batch": F.lit("a"), "_pos": F.lit(0)}
-    )
-    universe = t.supplier.select(F.col("s_suppkey").cast("string").alias("symbol"))
-    missing = {c: F.lit(None).cast("double") for c in spec.landed_columns if c not in bars.columns}
     # bars land as files; every step below reads those, not the trades
-    bars = LakeTable(lake, "landing", spec.schema).stage(bars.withColumns(missing), "bars")
+    daily = t.staged(t.daily_bars(), "landing")
+    universe = t.supplier.select(F.col("s_suppkey").cast("string").alias("symbol"))
     for now, factor in ((datetime(1999, 1, 4, 17), 1), (datetime(2001, 6, 15, 17), 2)):
-        revised = F.when(F.col("code") % 7 == 0, factor).otherwise(1)
-        landed = bars.withColumn("close", F.col("close") * revised).drop("code")
+        revised = F.when(F.col("symbol") % 7 == 0, factor).otherwise(1)
+        landed = _landed(spec, daily, symbol=F.col("symbol").cast("string"), close=F.col("close") * revised)
         context = runner.Context(lake, t.calendar(), now)
         runner.run(context, spec, landed, universe)
     table = runner.stored_rows(context, spec).select("symbol", "trade_date", "volume", *BAR_VALUES)

@@ -336,16 +336,14 @@ def agg_watermark_relative(t: Tables) -> DataFrame:
 
 @query("""SELECT s_suppkey AS fund_code, coalesce(last, DATE '2010-03-31') AS watermark
 FROM supplier LEFT JOIN (SELECT l_suppkey, max(last_day(CAST(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH AS DATE))) AS last
-  FROM lineitem WHERE l_suppkey % 3 <> 0 GROUP BY 1) ON l_suppkey = s_suppkey""")
+  FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey AND s_acctbal > 5000""")
 def agg_watermark_parent(t: Tables) -> DataFrame:
-    """The watermark is a column of the parent table; here the parent is put together first."""
-    last = t.holdings().filter(F.col("fund_code") % 3 != 0).groupBy("fund_code")
-    parent = t.supplier.select(F.col("s_suppkey").alias("fund_code")).join(
-        last.agg(F.max("report_date").alias("latest_holding_date")), "fund_code", "left"
-    )
-    return parent.select(
-        "fund_code", F.coalesce("latest_holding_date", day("2010-03-31")).alias("watermark")
-    )
+    """The watermark is a column of the parent table; here the parent is put together first, and
+    funds with a low balance have no date yet."""
+    last = t.holdings().groupBy("fund_code").agg(F.max("report_date").alias("last"))
+    parent = t.supplier.select(F.col("s_suppkey").alias("fund_code"), "s_acctbal").join(last, "fund_code", "left")
+    latest = F.when(F.col("s_acctbal") > 5000, F.col("last"))
+    return parent.select("fund_code", F.coalesce(latest, day("2010-03-31")).alias("watermark"))
 
 
 @query(f"""WITH {SQL_CALENDAR}, starts AS (
@@ -371,7 +369,7 @@ SELECT symbol, trade_date FROM universe JOIN calendar
   ON trade_date >= greatest(watermark + 1, DATE '2000-06-15') AND trade_date <= DATE '{TODAY}'""")
 def join_plan_symbol_dates(t: Tables) -> DataFrame:
     universe = t.supplier.select(F.col("s_suppkey").alias("symbol"))
-    known = t.supplier_marks().filter(F.col("symbol") % 9 != 0).withColumnRenamed("watermark", "d")
+    known = t.supplier_marks().select("symbol", F.when(F.col("symbol") % 9 != 0, F.col("watermark")).alias("d"))
     marks = aggregates.keyed_watermark(universe, known, "symbol", "d", day("1970-01-01"))
     floor = F.add_months(today(), -12)
     return windows.symbol_dates(marks, t.calendar(), today(), floor).select("symbol", "trade_date")

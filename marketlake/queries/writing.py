@@ -130,12 +130,12 @@ def write_snapshot_replace(t: Tables) -> DataFrame:
 
 @query(f"""WITH {SQL_HOLDINGS}
 SELECT s_suppkey AS fund_code, s_name AS fund_name, coalesce(last, DATE '2000-12-31') AS latest_holding_date
-FROM supplier LEFT JOIN (SELECT fund_code, max(report_date) AS last FROM holdings WHERE fund_code % 10 <> 0 GROUP BY 1)
+FROM supplier LEFT JOIN (SELECT fund_code, max(report_date) AS last FROM holdings WHERE report_date > DATE '2001-09-30' GROUP BY 1)
   ON fund_code = s_suppkey""")
 def update_parent_watermark(t: Tables) -> DataFrame:
     parent = t.supplier.select(F.col("s_suppkey").alias("fund_code"), F.col("s_name").alias("fund_name"))
     parent = writes.reset_parent_date(parent, "latest_holding_date")
-    child = t.holdings().filter(F.col("fund_code") % 10 != 0)
+    child = t.holdings().filter(F.col("report_date") > day("2001-09-30"))
     return writes.update_parent_date(
         parent, child, "fund_code", "report_date", "latest_holding_date", day("2000-12-31")
     )
