@@ -51,7 +51,9 @@ def keep_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFr
 
 
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
-    """First k rows per group, with the same group limit before the shuffle."""
+    """First k rows per group, with the same group limit before the shuffle (Spark plans it for
+    k up to ``spark.sql.optimizer.windowGroupLimitThreshold``; beyond that the result is the
+    same, without the early cut)."""
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
 
