@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import simhash, suffixes, toxicity
+from marketlake.llm import contamination, packing, simhash, suffixes, toxicity
 from marketlake.llm.common import read, staged
 
 
@@ -27,10 +27,22 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item: below 0.8 of each item's five-word shingles."""
+    return contamination.without_leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as token pieces, placed in sequences of at most 1024 tokens."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", clean),
     ("simhash_dedup", distinct),
     ("suffix_dedup", unrepeated),
+    ("decontamination", unleaked),
+    ("packing", packed),
 ]
 
 #: Trained weights and hash searches have no SQL form.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import simhash, suffixes, toxicity
+from marketlake.llm import contamination, packing, simhash, suffixes, toxicity
 from marketlake.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,36 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without the 100-byte strings that also start earlier."""
     return suffixes.repeat_digests(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds at least 0.8 of a benchmark item's five-word shingles, with the item."""
+    return contamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def sql_words(text: str) -> str:
+    """DuckDB: lower-cased words of ASCII letters and digits and all non-ASCII characters."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _sql_shingles(table: str, key: str) -> str:
+    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS shingle
+    FROM (SELECT {key}, {sql_words('text')} AS w FROM {table})"""
+
+
+SQL["op3_decontamination"] = f"""
+WITH item AS ({_sql_shingles("benchmark", "item_id")}), doc AS ({_sql_shingles("documents", "doc_id")}),
+sizes AS (SELECT item_id, count(*) AS n_item FROM item GROUP BY item_id),
+found AS (SELECT doc_id, item_id, count(*) AS n_found FROM doc JOIN item USING (shingle) GROUP BY ALL)
+SELECT doc_id, item_id, n_item, n_found, n_found / n_item AS containment
+FROM found JOIN sizes USING (item_id) WHERE n_found / n_item >= 0.8"""
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token piece of the documents with its place in a sequence of at most 1024 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"))

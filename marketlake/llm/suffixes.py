@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,73 +133,70 @@ def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     schema = ["d", "p", "h", "kind"]
     last_h, last_c = None, None
-    held: list[np.ndarray] = []  # requests of the open group: (d, p)
-    count, large = 0, False
+    held: list[np.ndarray] = []  # requests of the group that is still open
+    count = 0
 
-    def out(d, p, h, kind):
-        kinds = np.full(len(d), kind, np.int8)
-        return pa.RecordBatch.from_arrays([pa.array(np.asarray(x)) for x in (d, p, h, kinds)], schema)
+    def out(rows: np.ndarray, kinds: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (*rows.T, kinds.astype(np.int8))], schema)
 
-    def close():
+    def close() -> Iterator[pa.RecordBatch]:
         if count > 1 and held:
-            both = np.concatenate(held)
-            yield out(both[:, 0], both[:, 1], np.full(len(both), last_h, np.int64), 2 if large else 1)
+            rows = np.concatenate(held)
+            yield out(rows, np.full(len(rows), 2 if count > GROUP else 1))
 
     for batch in batches:
-        h, c, d, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        if not len(h):
+        if not batch.num_rows:
             continue
-        before_h = np.concatenate([[last_h if last_h is not None else ~h[0]], h[:-1]])
-        before_c = np.concatenate([[last_c if last_c is not None else 0], c[:-1]])
-        new_h = h != before_h
-        new = new_h | (c != before_c)
-        if (~new).any():
-            yield out(d[~new], p[~new], h[~new], 0)
-        first = np.flatnonzero(new)
-        heads = np.flatnonzero(new_h)
-        # requests before the first new group belong to the open one
-        bounds = [0, *np.searchsorted(first, heads), len(first)]
-        singles = np.diff(bounds) == 1
-        # groups that start and end inside this batch: those of one context need nothing
-        for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
-            if i:
-                yield from close()
-                held, count, large = [], 0, False
-                last_h = h[heads[i - 1]]
-            if a == b:
-                continue
-            if i and singles[i] and i < len(bounds) - 2:
-                continue
-            rows = first[a:b]
-            held.append(np.stack([d[rows], p[rows]], 1))
-            count += len(rows)
-            if count > GROUP:
-                large = True
-                yield from close()
-                held = []
+        h, c, d, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        new_h = h != np.concatenate([[~h[0] if last_h is None else last_h], h[:-1]])
+        new = new_h | (c != np.concatenate([[0 if last_c is None else last_c], c[:-1]]))
         last_h, last_c = h[-1], c[-1]
+        rows = np.stack([d, p, h], 1)
+        if not new.all():
+            yield out(rows[~new], np.zeros((~new).sum()))
+        group, rows = np.cumsum(new_h)[new], rows[new]
+        sizes = np.bincount(group, minlength=int(new_h.sum()) + 1)
+        held.append(rows[group == 0])
+        count += int(sizes[0])
+        if len(sizes) > 1:
+            yield from close()
+            whole = (group > 0) & (group < len(sizes) - 1) & (sizes[group] > 1)
+            if whole.any():
+                yield out(rows[whole], np.where(sizes[group[whole]] > GROUP, 2, 1))
+            held, count = [rows[group == len(sizes) - 1]], int(sizes[-1])
+        if count > GROUP:
+            yield from close()
+            held = []
     yield from close()
 
 
+def _lists(column: pa.ListArray) -> tuple[list[int], list[np.ndarray]]:
+    """Bounds of each row's list in the flat values, and the fields of these."""
+    bounds = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)]))
+    return bounds.tolist(), [f.to_numpy(zero_copy_only=False) for f in column.flatten().flatten()]
+
+
 def _context_rows(text: str, names: list[str]):
     d, tag, parts, marks = names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in table_batches(batches, 4 << 20):
             rows: list[tuple] = []
-            columns = (batch.column(c).to_pylist() for c in (d, tag, parts, marks))
-            for body, doc, key, own, asked in zip(utf8(batch.column(text)), *columns):
+            bounds, (places, grams, kinds) = _lists(batch.column(marks))
+            columns = (batch.column(c).to_pylist() for c in (d, tag, parts))
+            for i, (body, doc, key, own) in enumerate(zip(utf8(batch.column(text)), *columns)):
                 part = _own_part(own, key)
                 base, n = part["base"], len(body)
-                if not part["first"]:
+                if not part["first"] or bounds[i] == bounds[i + 1]:
                     continue
-                for mark in asked or ():
-                    at = mark["p"] - base
-                    if not mark["kind"] or not 0 <= at < n:
+                mine = slice(bounds[i], bounds[i + 1])
+                asked = kinds[mine] > 0
+                for at, gram, kind in zip((places[mine][asked] - base).tolist(), grams[mine][asked].tolist(), kinds[mine][asked].tolist()):
+                    if not 0 <= at < n:
                         continue
                     low, high = max(0, at - (LENGTH - GRAM)), min(n, at + LENGTH)
-                    if mark["kind"] == 1:
-                        rows.append((mark["h"], body[low:at][::-1], body[at:high], doc, mark["p"]))
+                    if kind == 1:
+                        rows.append((gram, body[low:at][::-1], body[at:high], doc, base + at))
                     else:
                         for start in range(low, high - LENGTH + 1):
                             string = body[start : start + LENGTH]
@@ -325,15 +323,15 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def united(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of the covered bytes."""
-    runs: list[list[int]] = []
-    for start, end in sorted(ranges):
-        if runs and start <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], end)
-        else:
-            runs.append([start, end])
-    return [tuple(r) for r in runs]
+    if not len(starts):
+        return []
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], np.maximum.accumulate(ends[order])
+    first = np.concatenate([[True], starts[1:] > ends[:-1]])
+    last = np.concatenate([first[1:], [True]])
+    return list(zip(starts[first].tolist(), ends[last].tolist()))
 
 
 def kept_bytes(body: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -350,7 +348,7 @@ def kept_text(body: bytes, spans: list[tuple[int, int]]) -> str:
         while end < len(body) and body[end] & 0xC0 == 0x80:
             end += 1
         wide.append((start, end))
-    return kept_bytes(body, united(wide)).decode()
+    return kept_bytes(body, united(*np.array(wide, np.int64).reshape(-1, 2).T)).decode()
 
 
 def _finish(text: str, names: list[str], columns: list[str], give: Callable, extra: list[str]):
@@ -359,20 +357,30 @@ def _finish(text: str, names: list[str], columns: list[str], give: Callable, ext
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in table_batches(batches, 8 << 20):
             results = []
-            values = (batch.column(c).to_pylist() for c in (tag, parts, marks, covers))
-            for body, key, own, marked, found in zip(utf8(batch.column(text)), *values):
+            mark_bounds, (places, _, kinds) = _lists(batch.column(marks))
+            cover_bounds, (starts, ends) = _lists(batch.column(covers))
+            values = (batch.column(c).to_pylist() for c in (tag, parts))
+            for i, (body, key, own) in enumerate(zip(utf8(batch.column(text)), *values)):
                 part = _own_part(own, key)
                 base, n = part["base"], len(body)
                 if not part["first"]:
                     results.append(give(body, [(0, n)] if n >= LENGTH else []))
                     continue
-                ranges = [
-                    (max(0, m["p"] - base - (LENGTH - GRAM)), min(n, m["p"] - base + LENGTH))
-                    for m in marked or ()
-                    if not m["kind"] and 0 <= m["p"] - base < n
-                ]
-                ranges += [(c["s"] - base, c["e"] - base) for c in found or () if 0 <= c["s"] - base < n]
-                results.append(give(body, united(ranges)))
+                mine = slice(mark_bounds[i], mark_bounds[i + 1])
+                at = places[mine][kinds[mine] == 0] - base
+                at = at[(at >= 0) & (at < n)]
+                mine = slice(cover_bounds[i], cover_bounds[i + 1])
+                low, high = starts[mine] - base, ends[mine] - base
+                own_range = (low >= 0) & (low < n)
+                results.append(
+                    give(
+                        body,
+                        united(
+                            np.concatenate([np.maximum(at - (LENGTH - GRAM), 0), low[own_range]]),
+                            np.concatenate([np.minimum(at + LENGTH, n), high[own_range]]),
+                        ),
+                    )
+                )
             kept = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
                 kept + [pa.array([r[i] for r in results], TYPES[c][1]) for i, c in enumerate(extra)], columns + extra
