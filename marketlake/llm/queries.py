@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import contamination, packing, simhash, suffixes, toxicity
+from marketlake.llm import contamination, language, licences, packing, simhash, suffixes, toxicity, urls, vectors
 from marketlake.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,99 @@ FROM found JOIN sizes USING (item_id) WHERE n_found / n_item >= 0.8"""
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token piece of the documents with its place in a sequence of at most 1024 tokens."""
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learnt from the rows outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    predicted = language.predict(docs, language.train(docs, language.training_rows()))
+    return predicted.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and accepted license templates of every document."""
+    return licences.scan(read(spark, sf_dir, "documents")).drop("spans")
+
+
+def _sql_places(phrase: str) -> str:
+    words = phrase.split()
+    return " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(words, 1))
+
+
+_ALL_BASE = " OR ".join(f"({_sql_places(p)})" for p in licences.BASE)
+_BASE_LABELS = ", ".join(
+    f"CASE WHEN len(list_filter(range(len(w)), lambda i: {_sql_places(p)})) > 0 THEN '{label}' END" for p, label in licences.BASE.items()
+)
+_OWN_LABELS = ", ".join(
+    f"CASE WHEN regexp_matches(line, ' {licences.pattern(t)}') THEN '{label}' END" for label, t in licences.TEMPLATES.items()
+)
+SQL["op5_licenses"] = f"""
+WITH d AS (SELECT doc_id, {sql_words('text')} AS w FROM documents),
+e AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS line,
+        list_filter(range(len(w)), lambda i: {_ALL_BASE}) AS places FROM d),
+f AS (SELECT doc_id, len(w) AS n_words, places,
+        list_filter([{_BASE_LABELS}], lambda x: x IS NOT NULL) AS base,
+        list_filter([{_OWN_LABELS}], lambda x: x IS NOT NULL) AS own FROM e)
+SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+  coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(base, own))), ','), '') AS labels,
+  CASE WHEN len(own) > 0 THEN 1.0 WHEN len(places) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+FROM f"""
+
+#: Rules of the URL query: verdict, host, path.
+RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+#: Sites whose crawled URLs make up the list of the URL query.
+LISTED_SITES = ["ads-track", "casino-win", "spam-farm", "adult-x", "cheap-pills", "free-bets"]
+_SITES = "(^|[.])(" + "|".join(LISTED_SITES) + ")[.]"
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: the longest rule that fits, else the list of the unwanted sites' URLs."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.filter(urls.host("url").rlike(_SITES)).select("url")
+    judged = urls.judge(pages, RULES, listed)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "canonical_url", "listed")
+
+
+_SQL_FITS = " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN {{{r.text!r}}}"
+    for r in sorted(RULES, key=lambda r: -len(r.text))
+)
+
+
+def _sql_case(value: dict[str, str]) -> str:
+    out = _SQL_FITS
+    for key, text in value.items():
+        out = out.replace("{" + repr(key) + "}", f"'{text}'")
+    return f"CASE {out} END"
+
+
+_SQL_PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)[?]?([^#]*)"
+SQL["op9_url_filter"] = f"""
+WITH parts AS (SELECT page_id,
+    translate(coalesce(regexp_extract(url, '{_SQL_PARTS}', 1), ''), '{urls._UPPER}', '{urls._LOWER}') AS host,
+    coalesce(regexp_extract(url, '{_SQL_PARTS}', 2), '') AS path,
+    list_sort(list_filter(string_split(coalesce(regexp_extract(url, '{_SQL_PARTS}', 3), ''), '&'),
+      lambda f: f <> '' AND NOT starts_with(f, 'utm_') AND NOT starts_with(f, 'ref='))) AS fields FROM pages),
+named AS (SELECT page_id, host, path, regexp_replace(host, '^www[.]', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(fields) > 0 THEN '?' || array_to_string(fields, '&') ELSE '' END AS canonical_url FROM parts),
+listed AS (SELECT DISTINCT canonical_url FROM named WHERE regexp_matches(host, '{_SITES}') AND canonical_url <> ''),
+judged AS (SELECT *, {_sql_case({r.text: r.text for r in RULES})} AS rule, {_sql_case({r.text: r.verdict for r in RULES})} AS decided,
+    canonical_url IN (SELECT canonical_url FROM listed) AS listed FROM named)
+SELECT page_id, host, path, rule, coalesce(decided, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, canonical_url, listed
+FROM judged"""
+
+
+@query
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label, at cosine 0.98."""
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), least=0.98)
