@@ -72,8 +72,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(sums, -40, 40)))
 
 
-def fit(texts: list[bytes], labels: np.ndarray, prior: float, rounds: int = 100, rate: float = 0.5, ridge: float = 1e-3) -> Model:
-    """Logistic regression on the scaled features by full gradient steps.
+def fit(texts: list[bytes], labels: np.ndarray, prior: float, rounds: int = 150, rate: float = 0.02, ridge: float = 1e-4) -> Model:
+    """Logistic regression on the scaled features, by full gradients with adaptive steps.
 
     prior: share of label 1 where the texts come from; the bias is moved from the sample's share to it.
     One label only, or none: every text gets the prior.
@@ -84,27 +84,36 @@ def fit(texts: list[bytes], labels: np.ndarray, prior: float, rounds: int = 100,
     at = float(np.log(np.clip(prior, limit, 1 - limit) / (1 - np.clip(prior, limit, 1 - limit))))
     if not n1 or not n0:
         return Model(np.zeros(size, np.float32), at)
-    parts = [features(texts[i : i + 256]) for i in range(0, len(texts), 256)]
-    row = np.concatenate([p[0].astype(np.int32) + 256 * i for i, p in enumerate(parts)])
-    col = np.concatenate([p[1].astype(np.int32) for p in parts])
-    del parts
-    toxic = labels[row] == 1
-    c1, c0 = np.bincount(col[toxic], minlength=size) + 0.5, np.bincount(col[~toxic], minlength=size) + 0.5
+    # two passes over the sample: counts first, then the features that count
+    size_of = 128
+    c1, c0 = np.full(size, 0.5), np.full(size, 0.5)
+    for start in range(0, len(texts), size_of):
+        row, col = features(texts[start : start + size_of])
+        toxic = labels[row + start] == 1
+        c1 += np.bincount(col[toxic], minlength=size)
+        c0 += np.bincount(col[~toxic], minlength=size)
     ratio = np.log(c1 / (n1 + 1)) - np.log(c0 / (n0 + 1))
     ratio[np.abs(ratio) < SURE * np.sqrt(1 / c1 + 1 / c0)] = 0
-    keep = ratio[col] != 0
-    row, used = row[keep], np.flatnonzero(ratio)
+    used = np.flatnonzero(ratio)
     place = np.zeros(size, np.int32)
     place[used] = np.arange(len(used))
-    col, scale = place[col[keep]], ratio[used]
+    rows, cols = [], []
+    for start in range(0, len(texts), size_of):
+        row, col = features(texts[start : start + size_of], ratio != 0)
+        rows.append((row + start).astype(np.int32))
+        cols.append(place[col])
+    row, col = np.concatenate(rows), np.concatenate(cols)
+    scale = ratio[used]
     value = scale[col]
-    w, b, y = np.zeros(len(used)), 0.0, labels.astype(float)
-    norm = max(1.0, float(np.percentile(np.bincount(row, value**2, len(labels)), 90)))
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[col] * value, len(labels)) + b, -40, 40)))
+    w, y = np.zeros(len(used) + 1), labels.astype(float)  # the last is the bias
+    first, second = np.zeros_like(w), np.zeros_like(w)
+    for t in range(1, rounds + 1):
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[col] * value, len(labels)) + w[-1], -40, 40)))
         error = (p - y) / len(labels)
-        w -= rate * 4 / norm * (np.bincount(col, error[row] * value, len(used)) * len(labels) ** 0.5 + ridge * w)
-        b -= rate * error.sum()
+        slope = np.append(np.bincount(col, error[row] * value, len(used)) + ridge * w[:-1], error.sum())
+        first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
+        w -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+    b, w = w[-1], w[:-1]
     weights = np.zeros(size, np.float32)
     weights[used] = w * scale
     return Model(weights, b + at - float(np.log(n1 / n0)))
