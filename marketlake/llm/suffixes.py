@@ -12,8 +12,8 @@ at anchors only, and each anchor carries the bytes around it, its context, that
    maximal repeat comes with all its occurrences. All but the first occurrence are covered.
 4. The covered ranges of a document are united.
 
-Step 3 holds the contexts of at most ``GROUP`` anchors of a k-gram. Beyond that, each string is a group of
-its own (its key is the whole string), where equal strings stand next to each other and stream by.
+Step 3 holds the contexts of at most ``GROUP`` anchors of a k-gram. Beyond that, each string goes on its
+own, as a 128-bit digest, and equal ones stand next to each other and stream by.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ LENGTH = 100
 #: Bytes of an anchor's k-gram: long enough that chance repeats are rare.
 GRAM = 24
 #: Contexts of one k-gram that are sorted together, at most.
-GROUP = 16_384
+GROUP = 65_536
 LAST = 2**63 - 1
 _TABLE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -199,8 +199,8 @@ def _context_rows(text: str, names: list[str]):
                         rows.append((gram, body[low:at][::-1], body[at:high], doc, base + at))
                     else:
                         for start in range(low, high - LENGTH + 1):
-                            string = body[start : start + LENGTH]
-                            rows.append((xxhash.xxh3_64_intdigest(string) - 2**63, b"", string, doc, base + start))
+                            string = xxhash.xxh3_128_digest(body[start : start + LENGTH])
+                            rows.append((int.from_bytes(string[:8], "big", signed=True), None, string, doc, base + start))
                     if len(rows) > 50_000:
                         yield _rows(rows)
                         rows = []
@@ -303,8 +303,14 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if row == last:  # a whole string that two anchors share
+                continue
             if last is not None and row[:3] == last[:3]:
-                ranges.append((row[3], row[4] - len(row[1]), row[4] + len(row[2])))
+                before, after = (len(row[1]), len(row[2])) if row[1] is not None else (0, LENGTH)
+                ranges.append((row[3], row[4] - before, row[4] + after))
+                continue
+            if row[1] is None:  # the first of equal whole strings
+                last = row
                 continue
             if last is not None and row[0] != last[0]:
                 if len(held) - opened == 1:
