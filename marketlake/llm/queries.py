@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import contamination, language, licences, packing, simhash, suffixes, toxicity, urls, vectors
+from marketlake.llm import contamination, language, licences, packing, scoring, simhash, suffixes, toxicity, urls, vectors
 from marketlake.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,12 @@ FROM judged"""
 def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector among those of its label, at cosine 0.98."""
     return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under the attention model, and under smoothed word counts."""
+    docs = read(spark, sf_dir, "documents")
+    scored = scoring.score(docs, fold("doc_id", 5) != 1)
+    held_out = (fold("doc_id", 5) == 1).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
