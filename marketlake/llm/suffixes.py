@@ -132,7 +132,7 @@ def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Of the group that is still open, at most GROUP requests are held back.
     """
     schema = ["d", "p", "h", "kind"]
-    last_h, last_c = None, None
+    last_h, last_c, last_place = None, None, (None, None)
     held: list[np.ndarray] = []  # requests of the group that is still open
     count = 0
 
@@ -150,10 +150,15 @@ def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, c, d, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         new_h = h != np.concatenate([[~h[0] if last_h is None else last_h], h[:-1]])
         new = new_h | (c != np.concatenate([[0 if last_c is None else last_c], c[:-1]]))
-        last_h, last_c = h[-1], c[-1]
+        # equal rows of the table give the same anchors again
+        again = ~new
+        again[1:] &= (d[1:] == d[:-1]) & (p[1:] == p[:-1])
+        again[0] &= (d[0], p[0]) == last_place
+        last_h, last_c, last_place = h[-1], c[-1], (d[-1], p[-1])
         rows = np.stack([d, p, h], 1)
-        if not new.all():
-            yield out(rows[~new], np.zeros((~new).sum()))
+        later = ~new & ~again
+        if later.any():
+            yield out(rows[later], np.zeros(later.sum()))
         group, rows = np.cumsum(new_h)[new], rows[new]
         sizes = np.bincount(group, minlength=int(new_h.sum()) + 1)
         held.append(rows[group == 0])

@@ -58,8 +58,9 @@ def _cells(least: float):
             labels, nodes, copies = (batch.column(c).to_pylist() for c in ("label", "node", "copies"))
             for dims, members in by_dims.items():
                 raw = np.array([vectors[i] for i in members], np.float64)
-                unit = raw / np.abs(raw).max(1, keepdims=True)
-                unit /= np.sqrt((unit**2).sum(1, keepdims=True))
+                # scaled by a power of two, which is exact: squares of extreme components stay finite
+                raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(1, keepdims=True))[1])
+                unit = raw / np.sqrt((raw**2).sum(1, keepdims=True))
                 turned = (unit @ turns.setdefault(dims, rotation(dims))).astype(np.float32)
                 cuts, rows = bounds(dims), []
                 reach = float(np.sqrt((2 - 2 * least) / (len(cuts) - 1))) + SLACK
