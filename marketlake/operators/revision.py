@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.operators import aggregates
+
 APPEND, RELOAD = "append", "reload"
 
 
 def last_stored(stored: DataFrame, key: str, date: str, close: str) -> DataFrame:
-    return stored.groupBy(key).agg(
-        F.max(date).alias("last_date"), F.max_by(close, date).alias("last_close")
-    )
+    return aggregates.last_value(stored, key, date, close).withColumnRenamed("last_value", "last_close")
 
 
 def classify(

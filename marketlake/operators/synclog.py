@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 SUCCESS = "成功"
 FAILED = "失败"
 NEVER = "1970-01-01"
+#: Marks the rows of a table up to here as forgotten.
+PURGED = "purged"
 
 KEY = ["interface", "table_name"]
 
@@ -45,6 +47,21 @@ def purge(log: DataFrame, tables: DataFrame) -> DataFrame:
     return log.join(tables.select("table_name"), "table_name", "left_anti").select(*log.columns)
 
 
+def latest(runs: DataFrame, at: str) -> DataFrame:
+    """The log from appended runs: status of the last run per key, date of its last success.
+
+    Runs of a table up to its last purge do not count. Both sides combine on the map side.
+    """
+    purged = runs.filter(F.col("status") == PURGED).groupBy("table_name").agg(F.max(at).alias("_purged"))
+    alive = runs.filter(F.col("status") != PURGED).join(purged, "table_name", "left")
+    alive = alive.filter(F.col("_purged").isNull() | (F.col(at) > F.col("_purged")))
+    loaded = F.when(F.col("status") == SUCCESS, F.struct(at, "trade_date"))
+    last = alive.groupBy(*KEY).agg(
+        F.max(loaded)["trade_date"].alias("_loaded"), F.max(F.struct(at, "status"))["status"].alias("status")
+    )
+    return last.select(*KEY, F.coalesce("_loaded", F.lit(NEVER).cast("date")).alias("trade_date"), "status")
+
+
 def freshness(log: DataFrame, now: Column) -> DataFrame:
     return log.select(
         *KEY, "trade_date", "status", F.datediff(F.to_date(now), "trade_date").alias("lag_days")

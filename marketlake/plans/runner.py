@@ -12,11 +12,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DecimalType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from marketlake import schema as spec_rules
 from marketlake.functions import dates, text
-from marketlake.operators import aggregates, filters, revision, synclog, writes
+from marketlake.operators import aggregates, filters, reshape, revision, synclog, writes
 from marketlake.plans import windows
 from marketlake.schema import DatasetSpec
 from marketlake.sources.tables import Lake, LakeTable, publish_pair
@@ -150,8 +150,10 @@ def plan(
 def _due(context: Context, spec: DatasetSpec) -> Column:
     if spec.cutoff == "snapshot_gate":
         return dates.snapshot_gate(F.col("watermark"), context.clock)
-    if spec.windows.startswith("quarters") or spec.windows == "years":
+    if spec.windows.startswith("quarters"):
         return F.lit(True)
+    if spec.windows == "years":  # a quarter's holdings are out four months after it at the latest
+        return F.add_months("watermark", 4) <= F.to_date(context.clock)
     if spec.windows.startswith("months"):
         return F.trunc("start", "month") <= F.trunc("end", "month")
     return dates.due(F.col("start"), F.col("end"), spec.inclusive)
@@ -218,17 +220,31 @@ def _if_due(landed: DataFrame, ranges: DataFrame) -> DataFrame:
 # --- normalise -------------------------------------------------------------------------
 
 
-def coerce(landed: StructField, declared: StructField) -> Column:
-    """Landed value to the declared type; what does not fit its form becomes null. Values that
-    already have the type pass through, so that filters on them still reach the scan."""
+def _fits(value: Column, ok: Column, declared: StructField) -> Column:
+    """The value, or the failure of the load where a given value does not fit its column."""
+    message = F.concat(F.lit(f"{declared.name}: value does not fit {declared.dataType.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNotNull() & ~ok, F.raise_error(message)).otherwise(value)
+
+
+def coerce(landed: StructField, declared: StructField, cut: bool = False) -> Column:
+    """Landed value to the declared type. What cannot be read becomes null; what can be read but
+    does not fit the column fails the load. Values that already have the type pass through, so
+    that filters on them still reach the scan. ``cut`` text is cut to its limit later."""
     value, kind = F.col(landed.name), declared.dataType
+    limit = declared.metadata.get("max_bytes")
+    if isinstance(kind, StringType) and limit and not cut:
+        as_text = value.cast("string")
+        return _fits(as_text, F.octet_length(as_text) <= limit, declared)
     if landed.dataType == kind:
         return value
     if isinstance(kind, DateType):
         as_text = value.cast("string")
-        return F.coalesce(F.try_to_date(as_text, "yyyyMMdd"), as_text.try_cast("date"))
+        month = F.try_to_date(F.concat(F.when(as_text.rlike("^[0-9]{6}$"), as_text), F.lit("01")), "yyyyMMdd")
+        day = F.when(~as_text.rlike("^[0-9]{6}$"), F.coalesce(F.try_to_date(as_text, "yyyyMMdd"), as_text.try_cast("date")))
+        return F.coalesce(month, day)
     if isinstance(kind, DecimalType):
-        return F.bround(value.try_cast("decimal(38,10)"), kind.scale).try_cast(kind)
+        number = F.bround(value.try_cast("decimal(38,10)"), kind.scale)
+        return _fits(number, number.try_cast(kind).isNotNull(), declared).try_cast(kind)
     if isinstance(kind, StringType):
         return value.cast("string")
     return value.try_cast(kind)
@@ -246,7 +262,7 @@ def typed(context: Context, spec: DatasetSpec, landed: DataFrame, end: Column) -
         if declared.name in tags:
             value = tags[declared.name]
         else:
-            value = coerce(landed.schema[declared.name], declared)
+            value = coerce(landed.schema[declared.name], declared, declared.name in spec.cut_text)
         if declared.name in spec.cut_text:
             value = text.truncate_bytes(value, declared.metadata["max_bytes"])
         columns.append(value.cast(declared.dataType).alias(declared.name))
@@ -291,7 +307,7 @@ def publish(context: Context, spec: DatasetSpec, rows: DataFrame, history: DataF
                 table.write_version(rows)
         case spec_rules.RANGE:
             new = table.stage(rows.withColumn("_year", F.year(spec.date)), batch)
-            table.write_marked(new, new, _slices(spec), batch)
+            table.write_marked(new, new, _slices(spec), table.next_batch(context.attempt))
         case spec_rules.REVISE:
             _publish_revised(context, spec, rows.select(*names), history.select(*names))
         case _:
@@ -299,14 +315,28 @@ def publish(context: Context, spec: DatasetSpec, rows: DataFrame, history: DataF
 
 
 def _publish_revised(context: Context, spec: DatasetSpec, rows: DataFrame, history: DataFrame) -> None:
-    """New bars of unchanged symbols and the whole history of revised ones form one batch."""
+    """New bars of unchanged symbols and the whole history of revised ones form one batch.
+
+    A revised symbol is replaced only by a history that reaches back to its first stored bar, and
+    where the overlap bar decides, it has to be there: else the load fails and the table stays.
+    """
     table, batch = context.table(spec), context.batch
-    actions = revision.classify(stored_rows(context, spec), rows, date=spec.date, lenient=spec.lenient)
+    stored = stored_rows(context, spec)
+    actions = revision.classify(stored, rows, date=spec.date, lenient=spec.lenient)
     actions = table.stage(actions, batch)
+    missing = actions.filter((F.col("action") == revision.RELOAD) & F.col("overlap_close").isNull()).first()
+    if missing is not None:
+        raise ValueError(f"{spec.name}: no overlap bar of {missing['symbol']} at {missing['last_date']}")
     revised = revision.revised(actions)
+    if not revised.isEmpty():
+        reach = lambda df, name: df.join(revised, "symbol", "left_semi").groupBy("symbol").agg(F.min(spec.date).alias(name))
+        both = reach(stored, "_stored").join(reach(history, "_landed"), "symbol", "left")
+        short = both.filter(F.col("_landed").isNull() | (F.col("_landed") > F.col("_stored"))).first()
+        if short is not None:
+            raise ValueError(f"{spec.name}: the history of {short['symbol']} starts after {short['_stored']}")
     reloaded = history.join(revised, "symbol", "left_semi").select(*rows.columns)
     new = revision.news(rows, actions, date=spec.date).unionByName(reloaded)
-    table.write_marked(new, revised, _slices(spec), batch)
+    table.write_marked(new, revised, _slices(spec), table.next_batch(context.attempt))
 
 
 # --- run -------------------------------------------------------------------------------
@@ -314,13 +344,25 @@ def _publish_revised(context: Context, spec: DatasetSpec, rows: DataFrame, histo
 LOG_SPEC = spec_rules.REGISTRY["sync_logs"]
 
 
+def _log_table(context: Context) -> LakeTable:
+    """Runs are appended, each under an id of its own, so that several may end at once."""
+    return LakeTable(context.lake, LOG_SPEC.name, StructType([*LOG_SPEC.schema.fields, StructField("_at", TimestampType())]))
+
+
 def _log(context: Context, spec: DatasetSpec, end: Column, failed: bool) -> None:
-    log = context.table(LOG_SPEC)
     name = F.lit(spec.name)
     done = context.lake.spark.range(1, numPartitions=1).select(
         name.alias("interface"), name.alias("table_name"), F.to_date(end).alias("trade_date")
     )
-    log.write_version((synclog.fail if failed else synclog.succeed)(log.read_version(), done))
+    log = _log_table(context)
+    nothing = reshape.typed_empty(context.lake.spark, LOG_SPEC.schema)
+    row = (synclog.fail if failed else synclog.succeed)(nothing, done)
+    log.write_batch(row.withColumn("_at", F.current_timestamp()), f"{context.batch}-{uuid.uuid4().hex[:8]}")
+
+
+def read_log(context: Context) -> DataFrame:
+    """The sync log: status of the last run per key, and the date of the last that succeeded."""
+    return synclog.latest(_log_table(context).read_batches(), "_at").select(*LOG_SPEC.schema.fieldNames())
 
 
 def run(
@@ -329,21 +371,23 @@ def run(
     landed: DataFrame,
     universe: DataFrame | None = None,
     marks: DataFrame | None = None,
+    history: DataFrame | None = None,
 ) -> None:
     """Load what is missing of one dataset and record it; a failed load is recorded and raised.
 
-    For a revised dataset ``landed`` holds the full history, from which revised symbols are
-    taken whole.
+    For a revised dataset, ``history`` is where the whole history of revised symbols is read, apart
+    from what has landed for this load; without it ``landed`` has to hold it.
     """
     end = cutoff(context, spec)
     try:
         rows = typed(context, spec, landed, end)
         due = pick(context, spec, rows, plan(context, spec, end, universe, marks))
-        history = None
+        whole = None
         if spec.write == spec_rules.REVISE:
             first = _default_mark(context, spec)
-            history = cleaned(spec, rows.filter(F.col(spec.date).between(first, end)))
-        publish(context, spec, cleaned(spec, due), history)
+            source = rows if history is None else typed(context, spec, history, end)
+            whole = cleaned(spec, source.filter(F.col(spec.date).between(first, end)))
+        publish(context, spec, cleaned(spec, due), whole)
     except Exception:
         _log(context, spec, end, failed=True)
         raise
@@ -358,12 +402,19 @@ def run_pair(
 ) -> bool:
     """Load two tables that come from one source together, with one plan from the first."""
     end = cutoff(context, first[0])
-    planned = plan(context, first[0], end, universe)
-    parts = [
-        (context.table(spec), cleaned(spec, pick(context, spec, typed(context, spec, landed, end), planned)))
-        for spec, landed in (first, second)
-    ]
+    unit = [first[0].scope, first[0].date]
     try:
+        planned = plan(context, first[0], end, universe)
+        staged = []
+        for spec, landed in (first, second):
+            due = cleaned(spec, pick(context, spec, typed(context, spec, landed, end), planned))
+            staged.append((context.table(spec), context.table(spec).stage(due, context.batch)))
+        (one, left), (two, right) = staged
+        # a unit that has rows on one side only waits for the other side
+        parts = [
+            (one, left.join(right.select(*unit).distinct(), unit, "left_semi")),
+            (two, right.join(left.select(*unit).distinct(), unit, "left_semi")),
+        ]
         written = publish_pair(context.batch, *parts)
     except Exception:
         _log(context, first[0], end, failed=True)
@@ -373,8 +424,12 @@ def run_pair(
 
 
 def purge_log(context: Context, names: list[str]) -> None:
-    """Forget the log rows of tables that are about to be rebuilt."""
-    log = context.table(LOG_SPEC)
+    """Forget the log rows of tables that are about to be rebuilt; a marker row does it."""
+    log = _log_table(context)
     listed = F.explode(F.array(*[F.lit(n) for n in names])).alias("table_name")
     tables = context.lake.spark.range(1, numPartitions=1).select(listed)
-    log.write_version(synclog.purge(log.read_version(), tables))
+    marker = tables.select(
+        F.lit(None).cast("string").alias("interface"), "table_name", F.lit(None).cast("date").alias("trade_date"),
+        F.lit(synclog.PURGED).alias("status"), F.current_timestamp().alias("_at"),
+    )
+    log.write_batch(marker, f"{context.batch}-{uuid.uuid4().hex[:8]}")

@@ -315,6 +315,68 @@ def maintain_bars(t: Tables) -> DataFrame:
     return doubles(table, *BAR_VALUES)
 
 
+SQL_REVISED = f"""WITH {sql_bars()}, {SQL_CALENDAR}
+SELECT CAST(symbol AS VARCHAR) AS symbol, trade_date, volume, CAST(CASE WHEN symbol % 7 = 0 THEN close * 2 ELSE close END AS DOUBLE) AS close,
+  {sql_doubles('open', 'high', 'low', 'amount')} FROM bars
+WHERE trade_date <= (SELECT max(trade_date) FROM calendar WHERE trade_date <= DATE '2001-06-15')"""
+
+
+@query(SQL_REVISED)
+def maintain_bars_incremental(t: Tables) -> DataFrame:
+    """As maintain_bars, but the second landing holds each symbol's overlap bar and the newer ones
+    only; the histories of revised symbols come apart from it."""
+    lake = _lake(t, "bars")
+    spec = schema.REGISTRY["stock_zh_a_hist_daily_qfq"]
+    daily = t.staged(t.daily_bars(), "landing")
+    universe = t.supplier.select(F.col("s_suppkey").cast("string").alias("symbol"))
+    revised = F.when(F.col("symbol") % 7 == 0, 2).otherwise(1)
+    bars_of = lambda df, factor: _landed(spec, df, symbol=F.col("symbol").cast("string"), close=F.col("close") * factor)
+    first = runner.Context(lake, t.calendar(), datetime(1999, 1, 4, 17))
+    runner.run(first, spec, bars_of(daily, F.lit(1)), universe)
+    marks = runner.stored_rows(first, spec).groupBy("symbol").agg(F.max("trade_date").alias("last_date"))
+    marks = t.staged(marks.select(F.col("symbol").cast("bigint").alias("symbol"), "last_date"), "marks")
+    newer = daily.join(marks, "symbol", "left").filter("last_date IS NULL OR trade_date >= last_date").drop("last_date")
+    second = runner.Context(lake, t.calendar(), datetime(2001, 6, 15, 17))
+    runner.run(second, spec, bars_of(newer, revised), universe, history=bars_of(daily, revised))
+    table = runner.stored_rows(second, spec).select("symbol", "trade_date", "volume", *BAR_VALUES)
+    return doubles(table, *BAR_VALUES)
+
+
+@query("""SELECT CAST(make_date(CAST(year(o_orderdate) AS BIGINT), CAST(month(o_orderdate) AS BIGINT), 1) AS DATE) AS month, c_mktsegment AS area,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '1997-02-01' AND o_orderdate < TIMESTAMP '1998-06-01' GROUP BY ALL""")
+def maintain_areas(t: Tables) -> DataFrame:
+    """Two runs of the area totals, whose months land as yyyyMM text."""
+    lake = _lake(t, "areas")
+    spec = replace(schema.REGISTRY["stock_szse_area_summary"], default="1997-01-01", floor=None)
+    orders = t.orders_by_day().join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    totals = orders.groupBy(F.date_format("o_orderdate", "yyyyMM").alias("month"), F.col("c_mktsegment").alias("area"))
+    landed = t.staged(_landed(spec, totals.agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total_amount"))), "landing")
+    for now in (datetime(1998, 1, 10, 9), datetime(1998, 6, 15, 9)):
+        context = runner.Context(lake, t.calendar(), now)
+        runner.run(context, spec, landed)
+    return doubles(runner.stored_rows(context, spec).select("month", "area", "total_amount"), "total_amount")
+
+
+@query(f"""WITH {sql_bars()} SELECT symbol, max(trade_date) AS last_date, CAST(arg_max(close, trade_date) AS DOUBLE) AS last_value FROM bars GROUP BY symbol""")
+def agg_last_value(t: Tables) -> DataFrame:
+    """Last date of every symbol and its close on that day."""
+    return doubles(aggregates.last_value(t.daily_bars(), "symbol", "trade_date", "close"), "last_value")
+
+
+@query(SQL_EVENTS)
+def stream_two_sources(t: Tables) -> DataFrame:
+    """Two streams, each with its own checkpoint, fill one table."""
+    lake = _lake(t, "two-sources")
+    table = _events_table(lake, t)
+    first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for name, part in (("one", first_half), ("two", ~first_half)):
+        t.events.filter(part).write.parquet(f"{lake.root}/{name}")
+        stream = loads.file_stream(t.spark, f"{lake.root}/{name}", t.events.schema)
+        loads.load_available(stream, table, f"{lake.root}/checkpoint-{name}", ["event_id"], ["ts"])
+    return table.read_batches()
+
+
 # --- data dictionary -------------------------------------------------------------------
 
 # The tables that play market roles, with the type text that each column must render to.

@@ -256,9 +256,9 @@ def _orders(t: Tables, status: str) -> DataFrame:
     return rows.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
 
 
-@query(f"SELECT {SQL_ORDER_COLUMNS} FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query(f"SELECT {SQL_ORDER_COLUMNS} FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')")
 def union_batches(t: Tables) -> DataFrame:
-    batches = [_orders(t, "F"), _orders(t, "O")]
+    batches = [_orders(t, status) for status in "FOP"]
     return reshape.union_batches(t.spark, batches[0].schema, batches)
 
 

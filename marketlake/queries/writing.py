@@ -91,17 +91,17 @@ def write_replace_board(t: Tables) -> DataFrame:
     return writes.replace_slices(stored, members, ["p_brand"])
 
 
-@query("""SELECT c_custkey, c_nationkey, c_mktsegment, false AS reloaded FROM customer
-  WHERE NOT (c_nationkey = 5 AND c_mktsegment LIKE '%IN%')
-UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment, true FROM customer
-  WHERE c_nationkey = 5 AND c_mktsegment LIKE '%IN%' AND c_acctbal > 0""")
+@query("""WITH arrived AS (SELECT c_custkey, c_nationkey, 'IN' AS c_mktsegment FROM customer
+  WHERE c_nationkey < 10 AND c_mktsegment LIKE '%IN%' AND c_acctbal > 0)
+SELECT c_custkey, c_nationkey, c_mktsegment FROM customer
+WHERE NOT (c_mktsegment LIKE '%IN%' AND c_nationkey IN (SELECT c_nationkey FROM arrived))
+UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment FROM arrived""")
 def write_replace_like(t: Tables) -> DataFrame:
-    inside = (F.col("c_nationkey") == 5) & F.col("c_mktsegment").contains("IN")
-    rows = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    reloaded = t.customer.filter(inside & (F.col("c_acctbal") > 0)).select(*rows.columns)
-    return writes.replace_where(
-        rows.withColumn("reloaded", F.lit(False)), reloaded.withColumn("reloaded", F.lit(True)), inside
-    )
+    """A nation's segments that contain the arriving segment's name give way to the arriving rows."""
+    stored = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    inside = (F.col("c_nationkey") < 10) & F.col("c_mktsegment").contains("IN") & (F.col("c_acctbal") > 0)
+    arrived = t.customer.filter(inside).select("c_custkey", "c_nationkey", F.lit("IN").alias("c_mktsegment"))
+    return writes.replace_like(stored, arrived, "c_nationkey", "c_mktsegment")
 
 
 @query(f"""WITH {SQL_HOLDINGS}

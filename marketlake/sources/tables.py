@@ -113,6 +113,12 @@ class LakeTable:
         self._write(df, f"_batch={batch}")
         self.lake.commit(self.name, batch, unit)
 
+    def next_batch(self, attempt: str) -> str:
+        """Id of the next batch in a growing sequence, whatever the clock says. One writer at a time."""
+        number = F.regexp_extract("batch", "^([0-9]+)-", 1).try_cast("bigint")
+        last = self.lake.commits(self.name).agg(F.max(number)).first()[0] or 0
+        return f"{last + 1:016d}-{attempt}"
+
     # --- marked batches ---
 
     def _marks(self, slices: Sequence[str]) -> LakeTable:

@@ -4,6 +4,7 @@ progress in a checkpoint and continues there on the next run."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +39,13 @@ def load_available(
     key column, such as the date, by which stored files can be skipped.
 
     A micro-batch that is repeated after a failure writes the same batch folder again, and
-    ignores its own earlier rows, so it neither doubles nor loses any.
+    ignores its own earlier rows, so it neither doubles nor loses any. The stream's id, which its
+    checkpoint keeps, is part of the batch id: streams into one table do not meet.
     """
+    started: Future = Future()
 
     def publish(rows: DataFrame, batch_id: int) -> None:
-        batch = f"stream-{batch_id:010d}"
+        batch = f"stream-{started.result(timeout=600)}-{batch_id:010d}"
         stored = table.read_batches(exclude=batch)
         table.write_batch(writes.absent_rows(stored, rows, key, order, within), batch)
 
@@ -52,6 +55,7 @@ def load_available(
         .trigger(availableNow=True)
         .start()
     )
+    started.set_result(query.id)
     query.awaitTermination()
 
 

@@ -32,7 +32,7 @@ def context(lake, calendar, *clock):
 
 
 def log_of(ctx):
-    return {r.table_name: (r.status, r.trade_date) for r in ctx.table(runner.LOG_SPEC).read_version().collect()}
+    return {r.table_name: (r.status, r.trade_date) for r in runner.read_log(ctx).collect()}
 
 
 def test_every_spec_is_consistent():
@@ -257,6 +257,80 @@ def test_failures_are_logged_and_raised(spark, lake, calendar):
     assert log_of(ctx) == {}
 
 
+def test_runs_that_end_at_once_keep_their_log_rows(spark, lake, calendar):
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = ["stock_margin_szse", "stock_margin_sse", "stock_sse_summary", "stock_trade_date"]
+    specs = [schema.REGISTRY[n] for n in names]
+
+    def load(spec):
+        runner.run(context(lake, calendar, 2024, 1, 5, 9), spec, landed(spark, spec, [{spec.date: "20240102"}]))
+
+    lake.commits("sync_logs").count(), lake.commits("units").count()
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(load, specs))
+    assert set(log_of(context(lake, calendar, 2024, 1, 5, 9))) == set(names)
+
+
+def _bars(symbol, closes):
+    return [{"symbol": symbol, "trade_date": f"202401{d:02d}", "close": c} for d, c in closes.items()]
+
+
+def test_history_is_never_cut(spark, lake, calendar):
+    spec = schema.REGISTRY["stock_zh_a_hist_daily_qfq"]
+    universe = spark.createDataFrame([("1",)], "symbol string")
+    runner.run(context(lake, calendar, 2024, 1, 3, 17), spec, landed(spark, spec, _bars("1", {2: "10", 3: "11"})), universe)
+    before = rows(runner.stored_rows(context(lake, calendar, 2024, 1, 3, 17), spec), "trade_date", "close")
+    ctx = context(lake, calendar, 2024, 1, 5, 17)
+    with pytest.raises(ValueError, match="no overlap bar"):
+        runner.run(ctx, spec, landed(spark, spec, _bars("1", {4: "12"})), universe)
+    with pytest.raises(ValueError, match="history of 1 starts after"):
+        runner.run(ctx, spec, landed(spark, spec, _bars("1", {3: "5.5", 4: "6", 5: "7"})), universe)
+    assert rows(runner.stored_rows(ctx, spec), "trade_date", "close") == before
+    assert log_of(ctx)[spec.name] == (synclog.FAILED, date(2024, 1, 3))
+    history = landed(spark, spec, _bars("1", {2: "5", 3: "5.5", 4: "6"}))
+    runner.run(ctx, spec, landed(spark, spec, _bars("1", {3: "5.5", 4: "6"})), universe, history=history)
+    assert [float(c) for _, c in rows(runner.stored_rows(ctx, spec), "trade_date", "close")] == [5.0, 5.5, 6.0]
+
+
+def test_later_load_wins_whatever_the_clock_says(spark, lake, calendar):
+    spec = schema.REGISTRY["fund_portfolio_hold_em"]
+    marks = spark.createDataFrame([("f", date(2022, 12, 31))], "fund_code string, watermark date")
+    hold = lambda v: landed(spark, spec, [{"fund_code": "f", "report_date": "20231231", "symbol": "1", "holding_value": v}])
+    for clock, value in (((2024, 3, 10, 9), "1"), ((2024, 3, 10, 9), "2"), ((2024, 2, 10, 9), "3")):
+        ctx = context(lake, calendar, *clock)
+        runner.run(ctx, spec, hold(value), marks=marks)
+        assert [float(r[0]) for r in rows(runner.stored_rows(ctx, spec), "holding_value")] == [float(value)]
+
+
+def test_funds_are_due_after_four_months(spark, lake, calendar):
+    spec = schema.REGISTRY["fund_portfolio_hold_em"]
+    marks = spark.createDataFrame([("f", date(2023, 12, 31))], "fund_code string, watermark date")
+    for clock, due in (((2024, 1, 31, 9), 0), ((2024, 4, 29, 9), 0), ((2024, 4, 30, 9), 1)):
+        ctx = context(lake, calendar, *clock)
+        assert runner.plan(ctx, spec, runner.cutoff(ctx, spec), marks=marks).count() == due
+
+
+def test_what_does_not_fit_fails_the_load(spark, lake, calendar):
+    spec = schema.REGISTRY["stock_szse_area_summary"]
+    ctx = context(lake, calendar, 2020, 6, 2, 9)
+    with pytest.raises(Exception, match="does not fit"):
+        runner.run(ctx, spec, landed(spark, spec, [{"month": "202003", "area": "a", "market_pct": "100.00"}]))
+    assert rows(runner.stored_rows(ctx, spec)) == [] and log_of(ctx)[spec.name][0] == synclog.FAILED
+    runner.run(ctx, spec, landed(spark, spec, [{"month": "202003", "area": "a", "market_pct": "n/a"}]))
+    assert rows(runner.stored_rows(ctx, spec), "month", "market_pct") == [(date(2020, 3, 1), None)]
+
+
+def test_one_sided_units_wait(spark, lake, calendar):
+    summary, detail = schema.REGISTRY["stock_hk_ccass_records_summary"], schema.REGISTRY["stock_hk_ccass_records"]
+    universe = spark.createDataFrame([("1",), ("2",)], "symbol string")
+    s = landed(spark, summary, [{"trade_date": "20240104", "symbol": x, "holder_type": "t", "holding": "5"} for x in "12"])
+    d = landed(spark, detail, [{"trade_date": "20240104", "symbol": "1", "participant_id": "a", "holding": "5"}])
+    ctx = context(lake, calendar, 2024, 1, 8, 9)
+    assert runner.run_pair(ctx, (summary, s), (detail, d), universe)
+    assert rows(runner.stored_rows(ctx, summary), "symbol") == [("1",)]
+
+
 def test_source_columns_are_renamed_by_position(spark):
     spec = schema.REGISTRY["stock_hk_short_sale"]
     raw = spark.createDataFrame([("a", "b", "c", "d", "e", "f", 1)], "x1 string, x2 string, x3 string, x4 string, x5 string, _batch string, _pos int")
