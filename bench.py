@@ -1,7 +1,7 @@
 """Wall time of every registered query; prints one JSON line.
 
 BENCH_SF_DIR names the folder of input tables, BENCH_CPUS the local cores, BENCH_QUERIES an
-optional comma-separated choice.
+optional comma-separated choice, BENCH_SCRATCH the folder for intermediate tables.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 from marketlake.queries import REGISTRY, Tables
@@ -20,7 +21,9 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(REGISTRY)
-    spark = build_session(f"local[{cpus}]", "bench")
+    # local master: driver and executors share this disk
+    shared = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="marketlake-bench-")
+    spark = build_session(f"local[{cpus}]", "bench", **{"spark.checkpoint.dir": shared})
     tables = Tables(spark, folder)
     # throw-away queries, so that the first timings do not hold the start of the JVM
     for name in ("category_summary", "bars_weekly", "dedup_keep_last"):
