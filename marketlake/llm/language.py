@@ -19,7 +19,7 @@ from marketlake.llm.common import fold, table_batches, utf8
 
 ORDERS, BITS, WIDTH = (2, 3, 4), 16, 16
 #: Texts of a language that the model is fitted on, at most, and of these the share that calibrates it.
-PER_LANGUAGE, CALIBRATE = 1500, 0.2
+PER_LANGUAGE, CALIBRATE = 500, 0.2
 #: Largest share of accepted calibration texts that may be wrong.
 WRONG = 0.01
 #: Digits, punctuation and white space separate; A-Z are lower-cased.
