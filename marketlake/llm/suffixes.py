@@ -12,6 +12,9 @@ at anchors only, and each anchor carries the bytes around it, its context, that
    maximal repeat comes with all its occurrences. All but the first occurrence are covered.
 4. The covered ranges of a document are united.
 
+A text is told by its id ``d`` and ``t``, the first 60 bits of its MD5: what is gathered for a row is that of its
+own text, however many texts share an id. Texts that agree in both stand one after another, at their ``base``.
+
 Step 3 holds the contexts of at most ``GROUP`` anchors of a k-gram. Beyond that, each string goes on its
 own, as a 128-bit digest, and equal ones stand next to each other and stream by.
 """
@@ -97,15 +100,13 @@ def _own_part(parts: list[dict], tag: str) -> dict:
 
 
 def _anchor_rows(text: str, names: list[str]):
-    d, tag, parts = names
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in table_batches(batches, 2 << 20):
-            texts, owners, bases = [], [], []
-            for body, doc, key, own in zip(utf8(batch.column(text)), *(batch.column(c).to_pylist() for c in (d, tag, parts))):
+            texts, owners = [], []
+            for body, doc, half, key, own in zip(utf8(batch.column(text)), *(batch.column(c).to_pylist() for c in names)):
                 part = _own_part(own, key)
                 if part["first"] and len(body) >= LENGTH:
-                    texts.append(body), owners.append(doc), bases.append(part["base"])
+                    texts.append(body), owners.append((doc, half, part["base"]))
             if not texts:
                 continue
             starts = np.cumsum([0] + [len(t) for t in texts])
@@ -120,19 +121,20 @@ def _anchor_rows(text: str, names: list[str]):
                 np.uint64,
                 len(place),
             )
-            columns = [hashes.view(np.int64), context.view(np.int64), np.array(owners)[row], np.array(bases)[row] + place - starts[row]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "c", "d", "p"])
+            doc, half, base = np.array(owners, np.int64)[row].T
+            columns = [hashes.view(np.int64), context.view(np.int64), doc, half, base + place - starts[row]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "c", "d", "t", "p"])
 
     return run
 
 
 def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams anchors sorted by (h, c, d, p): what repeats wholly (kind 0), and what is to be compared (1, 2: large group).
+    """Streams anchors sorted by (h, c, d, t, p): what repeats wholly (kind 0), and what is to be compared (1, 2: large group).
 
     Of the group that is still open, at most GROUP requests are held back.
     """
-    schema = ["d", "p", "h", "kind"]
-    last_h, last_c, last_place = None, None, (None, None)
+    schema = ["d", "t", "p", "h", "kind"]
+    last_h, last_c, last_place = None, None, (None, None, None)
     held: list[np.ndarray] = []  # requests of the group that is still open
     count = 0
 
@@ -147,15 +149,15 @@ def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, c, d, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        h, c, d, t, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
         new_h = h != np.concatenate([[~h[0] if last_h is None else last_h], h[:-1]])
         new = new_h | (c != np.concatenate([[0 if last_c is None else last_c], c[:-1]]))
         # equal rows of the table give the same anchors again
         again = ~new
-        again[1:] &= (d[1:] == d[:-1]) & (p[1:] == p[:-1])
-        again[0] &= (d[0], p[0]) == last_place
-        last_h, last_c, last_place = h[-1], c[-1], (d[-1], p[-1])
-        rows = np.stack([d, p, h], 1)
+        again[1:] &= (d[1:] == d[:-1]) & (t[1:] == t[:-1]) & (p[1:] == p[:-1])
+        again[0] &= (d[0], t[0], p[0]) == last_place
+        last_h, last_c, last_place = h[-1], c[-1], (d[-1], t[-1], p[-1])
+        rows = np.stack([d, t, p, h], 1)
         later = ~new & ~again
         if later.any():
             yield out(rows[later], np.zeros(later.sum()))
@@ -182,14 +184,14 @@ def _lists(column: pa.ListArray) -> tuple[list[int], list[np.ndarray]]:
 
 
 def _context_rows(text: str, names: list[str]):
-    d, tag, parts, marks = names
+    d, t, tag, parts, marks = names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in table_batches(batches, 4 << 20):
             rows: list[tuple] = []
             bounds, (places, grams, kinds) = _lists(batch.column(marks))
-            columns = (batch.column(c).to_pylist() for c in (d, tag, parts))
-            for i, (body, doc, key, own) in enumerate(zip(utf8(batch.column(text)), *columns)):
+            columns = (batch.column(c).to_pylist() for c in (d, t, tag, parts))
+            for i, (body, doc, half, key, own) in enumerate(zip(utf8(batch.column(text)), *columns)):
                 part = _own_part(own, key)
                 base, n = part["base"], len(body)
                 if not part["first"] or bounds[i] == bounds[i + 1]:
@@ -201,11 +203,11 @@ def _context_rows(text: str, names: list[str]):
                         continue
                     low, high = max(0, at - (LENGTH - GRAM)), min(n, at + LENGTH)
                     if kind == 1:
-                        rows.append((gram, body[low:at][::-1], body[at:high], doc, base + at))
+                        rows.append((gram, body[low:at][::-1], body[at:high], doc, half, base + at))
                     else:
                         for start in range(low, high - LENGTH + 1):
                             string = xxhash.xxh3_128_digest(body[start : start + LENGTH])
-                            rows.append((int.from_bytes(string[:8], "big", signed=True), None, string, doc, base + start))
+                            rows.append((int.from_bytes(string[:8], "big", signed=True), None, string, doc, half, base + start))
                     if len(rows) > 50_000:
                         yield _rows(rows)
                         rows = []
@@ -215,7 +217,7 @@ def _context_rows(text: str, names: list[str]):
     return run
 
 
-CONTEXT = pa.schema([("h", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("d", pa.int64()), ("p", pa.int64())])
+CONTEXT = pa.schema([("h", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("d", pa.int64()), ("t", pa.int64()), ("p", pa.int64())])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -283,36 +285,38 @@ def maximal_repeats(groups: np.ndarray, left: list[bytes], right: list[bytes], l
 
 
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams contexts sorted by (h, left, right, d, p) and gives the covered ranges."""
+    """Streams contexts sorted by (h, left, right, d, t, p) and gives the covered ranges."""
     held: list[tuple] = []
     opened = 0  # where the group that is still open starts in ``held``
     last: tuple | None = None
-    ranges: list[tuple[int, int, int]] = []
+    covered: tuple | None = None  # the last row that repeats ``last``
+    ranges: list[tuple[int, int, int, int]] = []
 
     def flush(rows: list[tuple]):
         if len(rows) < 2:
             return
         groups = np.array([r[0] for r in rows])
         rank = np.empty(len(rows), np.int64)
-        rank[np.lexsort(([r[4] for r in rows], [r[3] for r in rows]))] = np.arange(len(rows))
+        rank[np.lexsort([[r[i] for r in rows] for i in (5, 4, 3)])] = np.arange(len(rows))
         reach = np.full((2, len(rows)), -1)
         for found, before, after in maximal_repeats(groups, [r[1] for r in rows], [r[2] for r in rows]):
             later = found[rank[found] != rank[found].min()]
             reach[0, later] = np.maximum(reach[0, later], before)
             reach[1, later] = np.maximum(reach[1, later], after)
         for i in np.flatnonzero(reach[1] >= 0).tolist():
-            ranges.append((rows[i][3], rows[i][4] - int(reach[0, i]), rows[i][4] + int(reach[1, i])))
+            ranges.append((*rows[i][3:5], rows[i][5] - int(reach[0, i]), rows[i][5] + int(reach[1, i])))
 
     def out():
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*ranges)], ["d", "s", "e"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*ranges)], ["d", "t", "s", "e"])
 
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            if row == last:  # a whole string that two anchors share
+        for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            if row == last or row == covered:  # a whole string that two anchors share, or a row that is there again
                 continue
             if last is not None and row[:3] == last[:3]:
                 before, after = (len(row[1]), len(row[2])) if row[1] is not None else (0, LENGTH)
-                ranges.append((row[3], row[4] - before, row[4] + after))
+                ranges.append((*row[3:5], row[5] - before, row[5] + after))
+                covered = row
                 continue
             if row[1] is None:  # the first of equal whole strings
                 last = row
@@ -363,7 +367,7 @@ def kept_text(body: bytes, spans: list[tuple[int, int]]) -> str:
 
 
 def _finish(text: str, names: list[str], columns: list[str], give: Callable, extra: list[str]):
-    d, tag, parts, marks, covers = names
+    tag, parts, marks, covers = names[2:]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in table_batches(batches, 8 << 20):
@@ -422,29 +426,33 @@ def _text_and_spans(body: bytes, spans: list[tuple[int, int]]) -> tuple:
 def _applied(docs: DataFrame, id_col: str, text_col: str, give: Callable, extra: list[str]) -> DataFrame:
     """``docs`` with the columns that ``give`` makes from a text and its removed runs.
 
-    One plan: the texts are shuffled by document once, and that exchange is read again for the
+    One plan: the texts are shuffled by id and MD5 once, and that exchange is read again for the
     contexts and for the results; so are the marks.
     """
-    d, tag, parts, marks, covers = names = fresh(docs, "d", "tag", "parts", "marks", "covers")
+    d, t, tag, parts, marks, covers = names = fresh(docs, "d", "t", "tag", "parts", "marks", "covers")
     source = docs.withColumns({d: F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), tag: F.md5(F.coalesce(F.col(text_col), F.lit("")))})
-    sizes = source.select(F.col(d).alias("d"), F.col(tag).alias("tag"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n")).distinct()
-    ordered = Window.partitionBy("d").orderBy("tag").rowsBetween(Window.unboundedPreceding, -1)
+    source = source.withColumn(t, F.conv(F.substring(tag, 1, 15), 16, 10).cast("long"))
+    size = F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")
+    sizes = source.select(F.col(d).alias("d"), F.col(t).alias("t"), F.col(tag).alias("tag"), size.alias("n")).distinct()
+    ordered = Window.partitionBy("d", "t").orderBy("tag").rowsBetween(Window.unboundedPreceding, -1)
     placed = sizes.withColumn("base", F.coalesce(F.sum("n").over(ordered), F.lit(0)).cast("long"))
-    firsts = placed.groupBy("tag").agg(F.min(F.struct("d", "base")).alias("least"))
-    own = F.struct("tag", "base", (F.struct("d", "base") == F.col("least")).alias("first"))
-    info = placed.join(firsts, "tag").groupBy("d").agg(F.collect_list(own).alias("parts"))
-    info = staged(info, "copies").select(F.col("d").alias(d), F.col("parts").alias(parts))
-    placed_docs = source.join(info.hint("shuffle_hash"), d)
-    found = placed_docs.mapInArrow(_anchor_rows(text_col, [d, tag, parts]), "h long, c long, d long, p long")
-    marked = found.repartition("h").sortWithinPartitions("h", "c", "d", "p").mapInArrow(_marks, "d long, p long, h long, kind byte")
-    by_doc = marked.groupBy(F.col("d").alias(d)).agg(F.collect_list(F.struct("p", "h", "kind")).alias(marks))
-    asked = placed_docs.join(by_doc.hint("shuffle_hash"), d, "left")
-    contexts = asked.mapInArrow(_context_rows(text_col, [d, tag, parts, marks]), "h long, left binary, right binary, d long, p long")
+    firsts = placed.groupBy("tag").agg(F.min("d").alias("least"))
+    own = F.struct("tag", "base", (F.col("d") == F.col("least")).alias("first"))
+    info = placed.join(firsts, "tag").groupBy("d", "t").agg(F.collect_list(own).alias("parts"))
+    info = staged(info, "copies").select(F.col("d").alias(d), F.col("t").alias(t), F.col("parts").alias(parts))
+    placed_docs = source.join(info.hint("shuffle_hash"), [d, t])
+    found = placed_docs.mapInArrow(_anchor_rows(text_col, [d, t, tag, parts]), "h long, c long, d long, t long, p long")
+    marked = found.repartition("h").sortWithinPartitions("h", "c", "d", "t", "p").mapInArrow(_marks, "d long, t long, p long, h long, kind byte")
+    by_text = [F.col("d").alias(d), F.col("t").alias(t)]
+    asked = placed_docs.join(marked.groupBy(*by_text).agg(F.collect_list(F.struct("p", "h", "kind")).alias(marks)).hint("shuffle_hash"), [d, t], "left")
+    contexts = asked.mapInArrow(
+        _context_rows(text_col, [d, t, tag, parts, marks]), "h long, left binary, right binary, d long, t long, p long"
+    )
     compared = (
-        contexts.repartition("h").sortWithinPartitions("h", "left", "right", "d", "p").mapInArrow(_compare, "d long, s long, e long")
+        contexts.repartition("h").sortWithinPartitions("h", "left", "right", "d", "t", "p").mapInArrow(_compare, "d long, t long, s long, e long")
     )
-    covered = compared.groupBy(F.col("d").alias(d)).agg(F.collect_list(F.struct("s", "e")).alias(covers))
-    final = asked.join(covered.hint("shuffle_hash"), d, "left")
+    covered = compared.groupBy(*by_text).agg(F.collect_list(F.struct("s", "e")).alias(covers))
+    final = asked.join(covered.hint("shuffle_hash"), [d, t], "left")
     kept = [f for f in docs.schema.fields if f.name not in extra]
     layout = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{c} {TYPES[c][0]}" for c in extra])
     return final.mapInArrow(_finish(text_col, names, [f.name for f in kept], give, extra), layout)

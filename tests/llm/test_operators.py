@@ -185,6 +185,28 @@ def test_repeats(spark, odd, group, monkeypatch):
     assert sorted((tuple(r) for r in got), key=repr) == plain_repeats(rows)
 
 
+def test_repeats_of_many_texts_of_an_id(spark, monkeypatch):
+    """What is gathered for a row is bounded by its own text, not by the texts that share its id."""
+    passage = prose(30, 4)
+    rows = [(i, f"{prose(8, 100 + k)} {passage} {prose(8, 300 + k)}") for k in range(60) for i in (None, 5)] + [(None, None)] * 40
+    finish = suffixes._finish
+
+    def spy(text, names, *others):
+        run = finish(text, names, *others)
+
+        def checked(batches):
+            for batch in batches:
+                for c in names[-3:]:
+                    assert max(len(v or []) for v in batch.column(c).to_pylist()) <= 20
+                yield from run(iter([batch]))
+
+        return checked
+
+    monkeypatch.setattr(suffixes, "_finish", spy)
+    got = suffixes.repeat_digests(documents(spark, [(i, t, None) for i, t in rows])).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == plain_repeats(rows)
+
+
 def test_repeats_keep_columns_and_characters(spark, odd):
     docs = documents(spark, odd)
     got = suffixes.without_repeats(docs)
