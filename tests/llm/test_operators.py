@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -512,6 +513,26 @@ def test_windows_score_each_token_once(size):
     assert seen == Counter(range(size))
 
 
+def test_training_reaches_every_id_of_short_texts(monkeypatch):
+    texts = [prose(n, n) for n in (1, 2, 30, 70, 300)] + [prose(3, k) for k in range(40)]
+    goals, step = [], scoring.Steps.step
+
+    def counted(self, ids, wanted, used):
+        goals.append(int(used.sum()))
+        return step(self, ids, wanted, used)
+
+    monkeypatch.setattr(scoring.Steps, "step", counted)
+    path = packing.default_vocabulary()
+    encoder = packing.Encoder(path)
+    size = encoder.tokenizer.get_vocab_size()
+    vocabulary = scoring.Vocabulary.of(np.zeros(size), 50256)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 7])], ["text"]) for i in range(0, len(texts), 7)]
+    out = list(scoring._counted(path, vocabulary, scoring.start_weights(), size)(iter(batches)))
+    windows = len(scoring.windows(np.array([len(e) // 4 + 1 for e in encoder.encode(texts)]))[0])
+    weight = [r["value"] for b in out for r in b.to_pylist() if r["kind"] == "weight"]
+    assert weight[-1:] == [windows] and sum(goals) == sum(len(e) // 4 + 1 for e in encoder.encode(texts))
+
+
 def test_gradient_and_fast_states():
     weights = {k: v.astype(np.float64) for k, v in scoring.start_weights().items()}
     rng = np.random.default_rng(0)
