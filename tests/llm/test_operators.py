@@ -513,6 +513,11 @@ def test_windows_score_each_token_once(size):
     assert seen == Counter(range(size))
 
 
+def test_scored_places_see_half_a_window():
+    text, start, first = scoring.windows(np.array([500, 33, 7]))
+    assert all(seen >= scoring.CONTEXT // 2 for at, seen in zip(start, first) if at)
+
+
 def test_training_reaches_every_id_of_short_texts(monkeypatch):
     texts = [prose(n, n) for n in (1, 2, 30, 70, 300)] + [prose(3, k) for k in range(40)]
     goals, step = [], scoring.Steps.step
