@@ -513,6 +513,17 @@ def test_windows_score_each_token_once(size):
     assert seen == Counter(range(size))
 
 
+def test_classes_are_frequent_in_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "SAMPLE", 1)
+    monkeypatch.setattr(scoring, "STEPS", 1)
+    rows = [(i, word * 40) for i in range(6) for word in (" apple", " house", " river")]
+    model, _ = scoring.train(spark.createDataFrame([(3 * i + k, t) for k, (i, t) in enumerate(rows)], "doc_id long, text string"), F.lit(True))
+    encoder = packing.Encoder(packing.default_vocabulary())
+    ids = {int(x) for _, t in rows for x in np.frombuffer(encoder.encode([t])[0], "<u4")}
+    classes, inputs = ([int(v[i]) for i in sorted(ids)] for v in (model.vocabulary.classes, model.vocabulary.inputs))
+    assert max(classes) <= len(ids) and max(inputs) <= len(ids)
+
+
 def test_scored_places_see_half_a_window():
     text, start, first = scoring.windows(np.array([500, 33, 7]))
     assert all(seen >= scoring.CONTEXT // 2 for at, seen in zip(start, first) if at)
@@ -532,9 +543,9 @@ def test_training_reaches_every_id_of_short_texts(monkeypatch):
     size = encoder.tokenizer.get_vocab_size()
     vocabulary = scoring.Vocabulary.of(np.zeros(size), 50256)
     batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 7])], ["text"]) for i in range(0, len(texts), 7)]
-    out = list(scoring._counted(path, vocabulary, scoring.start_weights(), size)(iter(batches)))
+    out = list(scoring._trained(path, vocabulary, scoring.start_weights())(iter(batches)))
     windows = len(scoring.windows(np.array([len(e) // 4 + 1 for e in encoder.encode(texts)]))[0])
-    weight = [r["value"] for b in out for r in b.to_pylist() if r["kind"] == "weight"]
+    weight = [r["value"] for b in out for r in b.to_pylist()]
     assert weight[-1:] == [windows] and sum(goals) == sum(len(e) // 4 + 1 for e in encoder.encode(texts))
 
 
