@@ -7,7 +7,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -111,7 +111,7 @@ def test_mixing_comes_near_its_targets(spark):
     assert all(abs(taken / target - 1) < 0.05 for target, taken in got.collect())
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=8, deadline=None, phases=[Phase.explicit, Phase.generate])
 @given(st.dictionaries(st.sampled_from(["a", "b", "c", "d", "e", None]), st.integers(0, 40), min_size=1))
 def test_targets(spark, sums):
     sized = spark.createDataFrame(list(sums.items()), "source string, size long")
