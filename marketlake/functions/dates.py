@@ -138,6 +138,19 @@ def business_days(start: Column, end: Column) -> Column:
     return F.filter(day_range(start, end), lambda d: F.weekday(d) < 5)
 
 
+def business_number(day: Column) -> Column:
+    """Business days from Monday 1970-01-05 to before ``day``. Friday and Monday have neighbouring
+    numbers; a weekend day has the number of the Monday after it."""
+    weeks = F.floor(F.datediff(day, F.lit("1970-01-05").cast("date")) / 7)
+    return 5 * weeks + F.least(F.weekday(day), F.lit(5))
+
+
+def business_day(number: Column) -> Column:
+    """The business day with this number."""
+    days = 7 * F.floor(number / 5) + F.pmod(number, F.lit(5))
+    return F.date_add(F.lit("1970-01-05").cast("date"), days.cast("int"))
+
+
 def holding_years(watermark: Column, now: Column) -> Column:
     """Years still to load: the watermark's year, or the next one after a full year, up to this
     year; during January 1-30 only up to last year."""

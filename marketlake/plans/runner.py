@@ -17,9 +17,9 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, StringType, St
 from marketlake import schema as spec_rules
 from marketlake.functions import dates, text
 from marketlake.operators import aggregates, filters, reshape, revision, synclog, writes
-from marketlake.plans import windows
+from marketlake.plans import units, windows
 from marketlake.schema import DatasetSpec
-from marketlake.sources.tables import Lake, LakeTable, publish_pair
+from marketlake.sources.tables import Lake, LakeTable, publish_together
 
 YEAR = StructField("_year", IntegerType())
 INTRADAY_BACK_DAYS = 50
@@ -135,16 +135,38 @@ def plan(
             marks = stored.agg(F.coalesce(F.max(spec.date), default).alias("watermark"))
         else:
             marks = aggregates.keyed_watermark(universe, stored, spec.scope, spec.date, default)
-    start = F.col("watermark")
+    planned = marks.withColumns({"start": _start(context, spec, F.col("watermark")), "end": end})
+    if spec.excluded:
+        planned = filters.not_in(planned, spec.scope, spec.excluded)
+    return planned.filter(_due(context, spec))
+
+
+def _start(context: Context, spec: DatasetSpec, mark: Column) -> Column:
+    """First day to load behind a watermark."""
+    start = mark
     if spec.step and spec.cutoff != "intraday":
         start = dates.next_start(start, days=spec.step)
     if spec.floor is not None:
         year_ago = F.add_months(F.to_date(context.clock), -12)
         start = dates.start_floor(start, year_ago if spec.floor == "-1y" else F.lit(spec.floor).cast("date"))
-    planned = marks.withColumns({"start": start, "end": end})
-    if spec.excluded:
-        planned = filters.not_in(planned, spec.scope, spec.excluded)
-    return planned.filter(_due(context, spec))
+    return start
+
+
+def units_table(context: Context, spec: DatasetSpec) -> LakeTable:
+    """Intervals of the units that each load of the table brought, written as part of the load."""
+    day = spec.schema[spec.date].dataType
+    fields = [spec.schema[spec.scope], *[StructField(name, day) for name in units.INTERVAL]]
+    return LakeTable(context.lake, f"{spec.name}__units", StructType(fields), (spec.scope,))
+
+
+def plan_units(context: Context, spec: DatasetSpec, end: Column, universe: DataFrame) -> DataFrame:
+    """(scope key, start, end) of all business days that are due and not loaded, gaps included.
+
+    Reads the kept intervals, not the table.
+    """
+    start = _start(context, spec, _default_mark(context, spec))
+    due = universe.select(spec.scope).distinct().select(spec.scope, start.alias("start"), end.alias("end"))
+    return units.gaps(due.filter("start <= end"), units_table(context, spec).read_batches(), spec.scope)
 
 
 def _due(context: Context, spec: DatasetSpec) -> Column:
@@ -400,27 +422,33 @@ def run_pair(
     second: tuple[DatasetSpec, DataFrame],
     universe: DataFrame,
 ) -> bool:
-    """Load two tables that come from one source together, with one plan from the first."""
+    """Load two tables that come from one source together, with one plan from the first.
+
+    A unit is loaded when both sides have rows of it. Until then it stays due, however much later
+    units were loaded: the units of a load are written with it as intervals, and the plan is the
+    due days without them. Returns whether anything was loaded.
+    """
     end = cutoff(context, first[0])
     unit = [first[0].scope, first[0].date]
     try:
-        planned = plan(context, first[0], end, universe)
-        staged = []
+        planned = plan_units(context, first[0], end, universe)
+        sides = []
         for spec, landed in (first, second):
             due = cleaned(spec, pick(context, spec, typed(context, spec, landed, end), planned))
-            staged.append((context.table(spec), context.table(spec).stage(due, context.batch)))
-        (one, left), (two, right) = staged
-        # a unit that has rows on one side only waits for the other side
-        parts = [
-            (one, left.join(right.select(*unit).distinct(), unit, "left_semi")),
-            (two, right.join(left.select(*unit).distinct(), unit, "left_semi")),
-        ]
-        written = publish_pair(context.batch, *parts)
+            sides.append((context.table(spec), context.table(spec).stage(due, context.batch)))
+        (one, left), (two, right) = sides
+        kept = units_table(context, first[0])
+        whole = left.select(*unit).distinct().join(right.select(*unit).distinct(), unit, "left_semi")
+        whole = kept.stage(whole, context.batch)
+        loaded = not whole.isEmpty()
+        if loaded:
+            parts = [(table, rows.join(whole, unit, "left_semi")) for table, rows in ((one, left), (two, right))]
+            publish_together(context.batch, *parts, (kept, units.islands(whole, *unit)))
     except Exception:
         _log(context, first[0], end, failed=True)
         raise
     _log(context, first[0], end, failed=False)
-    return written
+    return loaded
 
 
 def purge_log(context: Context, names: list[str]) -> None:

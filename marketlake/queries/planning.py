@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import dates, numbers, text
 from marketlake.operators import aggregates, joins
-from marketlake.plans import windows
+from marketlake.plans import units, windows
 from marketlake.queries.base import (
     NOW,
     SPLIT,
@@ -506,3 +506,25 @@ def plan_years(t: Tables) -> DataFrame:
     )
     years = dates.holding_years(F.col("watermark"), F.col("run"))
     return windows.explode_dates(marks, years, "year").select("symbol", "year")
+
+
+@query("""WITH loaded AS (SELECT DISTINCT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS d FROM lineitem
+  WHERE isodow(l_shipdate) < 6 AND l_shipdate < TIMESTAMP '1999-01-01' AND (l_suppkey + month(l_shipdate)) % 4 > 0),
+due AS (SELECT s_suppkey AS symbol, CAST(unnest(generate_series(DATE '1998-10-03' - CAST(s_suppkey % 30 AS INTEGER), DATE '1998-12-27',
+  INTERVAL 1 DAY)) AS DATE) AS d FROM supplier),
+missing AS (SELECT symbol, d, 5 * CAST(floor(date_diff('day', DATE '1970-01-05', d) / 7.0) AS BIGINT) + isodow(d) AS n
+  FROM due ANTI JOIN loaded USING (symbol, d) WHERE isodow(d) < 6),
+runs AS (SELECT symbol, d, n - row_number() OVER (PARTITION BY symbol ORDER BY d) AS run FROM missing)
+SELECT symbol, min(d) AS "start", max(d) AS "end" FROM runs GROUP BY symbol, run""")
+def plan_gaps(t: Tables) -> DataFrame:
+    """Business days that are due and not loaded, per symbol as ranges: loads of every month but each
+    fourth one, kept as the intervals that every month's load brought."""
+    shipped = t.lineitem.select(F.col("l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("trade_date"))
+    shipped = shipped.filter((F.col("trade_date") < SPLIT) & ((F.col("symbol") + F.month("trade_date")) % 4 > 0))
+    # a month's load brings its own intervals; neighbouring months adjoin
+    months = shipped.withColumn("_load", F.concat_ws("-", "symbol", F.date_format("trade_date", "yyyyMM")))
+    own = units.islands(months, "_load", "trade_date")
+    kept = units.united(own.withColumn("symbol", F.split("_load", "-")[0].cast("bigint")), "symbol")
+    first = F.date_sub(day("1998-10-03"), (F.col("s_suppkey") % 30).cast("int"))
+    due = t.supplier.select(F.col("s_suppkey").alias("symbol"), first.alias("start"), day("1998-12-27").alias("end"))
+    return units.gaps(due, kept, "symbol")

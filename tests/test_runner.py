@@ -331,6 +331,27 @@ def test_one_sided_units_wait(spark, lake, calendar):
     assert rows(runner.stored_rows(ctx, summary), "symbol") == [("1",)]
 
 
+def test_late_sides_fill_their_gap(spark, lake, calendar):
+    """The detail of the 4th lands after the 5th was loaded; a repeat finds nothing."""
+    summary, detail = schema.REGISTRY["stock_hk_ccass_records_summary"], schema.REGISTRY["stock_hk_ccass_records"]
+    universe = spark.createDataFrame([("1",)], "symbol string")
+    s = landed(spark, summary, [{"trade_date": d, "symbol": "1", "holder_type": "t", "holding": "5"} for d in ("20240104", "20240105")])
+    side = lambda *days: landed(spark, detail, [{"trade_date": d, "symbol": "1", "participant_id": "a", "holding": "5"} for d in days])
+    ctx = context(lake, calendar, 2024, 1, 8, 9)
+    assert runner.run_pair(ctx, (summary, s), (detail, side("20240105")), universe)
+    assert rows(runner.stored_rows(ctx, summary), "trade_date") == [(date(2024, 1, 5),)]
+    later = context(lake, calendar, 2024, 1, 9, 9)
+    assert runner.run_pair(later, (summary, s), (detail, side("20240104", "20240105")), universe)
+    for spec in (summary, detail):
+        assert rows(runner.stored_rows(later, spec), "trade_date") == [(date(2024, 1, 4),), (date(2024, 1, 5),)]
+    again = context(lake, calendar, 2024, 1, 9, 10)
+    assert not runner.run_pair(again, (summary, s), (detail, side("20240104", "20240105")), universe)
+    # the plan reads the kept intervals, not the tables
+    plan = runner.plan_units(again, summary, runner.cutoff(again, summary), universe)
+    files = plan.inputFiles()
+    assert files and all("__units" in f or "/commits/" in f for f in files)
+
+
 def test_source_columns_are_renamed_by_position(spark):
     spec = schema.REGISTRY["stock_hk_short_sale"]
     raw = spark.createDataFrame([("a", "b", "c", "d", "e", "f", 1)], "x1 string, x2 string, x3 string, x4 string, x5 string, _batch string, _pos int")
