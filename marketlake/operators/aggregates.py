@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from marketlake.operators import joins
+
 
 def watermark(df: DataFrame, column: str, default: str, kind: str = "date") -> DataFrame:
     """One row: the highest value, or the default for an empty table."""
@@ -29,6 +31,19 @@ def keyed_watermark(
     )
 
 
+def rule_watermark(
+    rules: DataFrame, stored: DataFrame, equal: str, like: str, column: str, default: Column
+) -> DataFrame:
+    """Highest value per rule, over the stored rows that are equal in one column and contain the
+    rule's text in the other; rules without such rows get the default. Rows are reduced to the few
+    pairs of both columns before they meet the rules."""
+    pairs = stored.groupBy(equal, like).agg(F.max(column).alias("_mark"))
+    marks = joins.by_rule(pairs, rules, equal, like).groupBy(f"rule_{equal}", f"rule_{like}").agg(F.max("_mark").alias("_mark"))
+    marks = marks.select(F.col(f"rule_{equal}").alias(equal), F.col(f"rule_{like}").alias(like), "_mark")
+    known = rules.select(equal, like).distinct().join(marks, [equal, like], "left")
+    return known.select(equal, like, F.coalesce("_mark", default).alias("watermark"))
+
+
 def last_value(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
     """Latest date per key and the value at that date."""
     return df.groupBy(key).agg(

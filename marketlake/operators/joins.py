@@ -29,6 +29,17 @@ def per_exchange(calendar: DataFrame, exchanges: Sequence[str]) -> DataFrame:
     return calendar.withColumn("exchange", F.explode(F.array(*[F.lit(e) for e in exchanges])))
 
 
+def by_rule(pairs: DataFrame, rules: DataFrame, equal: str, like: str) -> DataFrame:
+    """Rows of ``pairs`` with every rule that fits: equal in one column, contained in the other.
+
+    The rule's columns are added as ``rule_`` and the name. ``pairs`` should be reduced to distinct values
+    of both columns first, as the equal column alone may hold few values.
+    """
+    few = rules.select(F.col(equal).alias(f"rule_{equal}"), F.col(like).alias(f"rule_{like}")).distinct()
+    fits = (F.col(equal) == F.col(f"rule_{equal}")) & F.col(like).contains(F.col(f"rule_{like}"))
+    return pairs.join(few, fits)
+
+
 def asof_dates(days: DataFrame, calendar: DataFrame) -> DataFrame:
     """(day, last trading date at or before it, last trading date strictly before it).
 

@@ -65,12 +65,19 @@ def replace_where(existing: DataFrame, incoming: DataFrame, slice_filter: Column
     return kept.unionByName(incoming)
 
 
-def replace_like(existing: DataFrame, incoming: DataFrame, equal: str, like: str) -> DataFrame:
-    """Slices are equal in one column and contained in the other: an incoming board replaces all
-    stored boards whose name contains it. The slices are few; the equal column drives the join."""
-    slices = incoming.select(F.col(equal).alias("_equal"), F.col(like).alias("_like")).distinct()
-    inside = (F.col(equal) == F.col("_equal")) & F.col(like).contains(F.col("_like"))
-    return existing.join(slices, inside, "left_anti").unionByName(incoming)
+def replace_like(existing: DataFrame, incoming: DataFrame, equal: str, like: str, rules: DataFrame | None = None) -> DataFrame:
+    """Slices are equal in one column and contained in the other: a rule replaces all stored boards
+    of its exchange whose name contains its text.
+
+    Rules without an incoming row replace nothing. Without ``rules`` every incoming pair is one. Both sides
+    are reduced to their few pairs before they meet, and rows join on both columns.
+    """
+    arrived = incoming.select(equal, like).distinct()
+    if rules is not None:
+        fit = joins.by_rule(arrived, rules, equal, like)
+        arrived = fit.select(F.col(f"rule_{equal}").alias(equal), F.col(f"rule_{like}").alias(like))
+    replaced = joins.by_rule(existing.select(equal, like).distinct(), arrived, equal, like).select(equal, like).distinct()
+    return existing.join(replaced, [equal, like], "left_anti").unionByName(incoming)
 
 
 def replace_range(

@@ -16,7 +16,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, StringType, St
 
 from marketlake import schema as spec_rules
 from marketlake.functions import dates, text
-from marketlake.operators import aggregates, filters, reshape, revision, synclog, writes
+from marketlake.operators import aggregates, filters, joins, reshape, revision, synclog, writes
 from marketlake.plans import units, windows
 from marketlake.schema import DatasetSpec
 from marketlake.sources.tables import Lake, LakeTable, publish_together
@@ -126,12 +126,14 @@ def plan(
 ) -> DataFrame:
     """Due load ranges: (scope key, start, end) per key, or one (start, end) row per table.
 
-    ``marks`` replaces the stored watermark where a parent table keeps it.
+    For a dataset with rules, ``universe`` holds the rules, and there is a range per rule. ``marks`` replaces the stored watermark where a parent table keeps it.
     """
     default = _default_mark(context, spec)
     if marks is None:
         stored = stored_rows(context, spec)
-        if spec.scope is None:
+        if spec.rules:
+            marks = aggregates.rule_watermark(universe, stored, *spec.rules, spec.date, default)
+        elif spec.scope is None:
             marks = stored.agg(F.coalesce(F.max(spec.date), default).alias("watermark"))
         else:
             marks = aggregates.keyed_watermark(universe, stored, spec.scope, spec.date, default)
@@ -209,6 +211,9 @@ def load_dates(context: Context, spec: DatasetSpec, planned: DataFrame) -> DataF
 def pick(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFrame) -> DataFrame:
     """Landed rows that the plan asks for."""
     keys = [spec.scope] if spec.scope else []
+    if spec.rules:
+        fit = joins.by_rule(landed.select(*spec.rules).distinct(), planned, *spec.rules)
+        return landed.join(fit.select(*spec.rules).distinct(), list(spec.rules), "left_semi")
     days = load_dates(context, spec, planned)
     if spec.windows == "years":
         landed = landed.withColumn("_year", F.year(spec.date))
@@ -308,8 +313,13 @@ def from_source_columns(spec: DatasetSpec, raw: DataFrame) -> DataFrame:
 # --- publish ---------------------------------------------------------------------------
 
 
-def publish(context: Context, spec: DatasetSpec, rows: DataFrame, history: DataFrame | None = None) -> None:
-    """Write normalised rows in the dataset's mode. An empty load leaves the table as it is."""
+def publish(
+    context: Context, spec: DatasetSpec, rows: DataFrame, history: DataFrame | None = None, planned: DataFrame | None = None
+) -> None:
+    """Write normalised rows in the dataset's mode. An empty load leaves the table as it is.
+
+    ``planned`` holds the rules that were due, where the dataset has rules.
+    """
     table, batch = context.table(spec), context.batch
     names = spec.schema.fieldNames()
     match spec.write:
@@ -321,9 +331,9 @@ def publish(context: Context, spec: DatasetSpec, rows: DataFrame, history: DataF
         case spec_rules.SLICES:
             table.replace_partitions(rows, spec.slices, batch)
         case spec_rules.LIKE:
-            new = rows.select(*names)
+            new = table.stage(rows.select(*names), batch)
             if not new.isEmpty():
-                table.write_version(writes.replace_like(table.read_version(), new, "exchange", "board"))
+                table.write_version(writes.replace_like(table.read_version(), new, *spec.rules, planned))
         case spec_rules.SNAPSHOT:
             if not rows.isEmpty():
                 table.write_version(rows)
@@ -394,22 +404,31 @@ def run(
     universe: DataFrame | None = None,
     marks: DataFrame | None = None,
     history: DataFrame | None = None,
+    without: DataFrame | None = None,
 ) -> None:
     """Load what is missing of one dataset and record it; a failed load is recorded and raised.
 
+    ``universe`` names the keys to plan, or the rules of a dataset that has some; by default each pair of
+    values that landed is a rule. Rows whose values are in ``without``, such as delisted symbols, are left out.
+
     For a revised dataset, ``history`` is where the whole history of revised symbols is read, apart
     from what has landed for this load; without it ``landed`` has to hold it.
     """
     end = cutoff(context, spec)
     try:
         rows = typed(context, spec, landed, end)
-        due = pick(context, spec, rows, plan(context, spec, end, universe, marks))
+        if without is not None:
+            rows = joins.without(rows, without, without.columns)
+        if spec.rules and universe is None:
+            universe = rows.select(*spec.rules).distinct()
+        planned = plan(context, spec, end, universe, marks)
+        due = pick(context, spec, rows, planned)
         whole = None
         if spec.write == spec_rules.REVISE:
             first = _default_mark(context, spec)
             source = rows if history is None else typed(context, spec, history, end)
             whole = cleaned(spec, source.filter(F.col(spec.date).between(first, end)))
-        publish(context, spec, cleaned(spec, due), whole)
+        publish(context, spec, cleaned(spec, due), whole, planned if spec.rules else None)
     except Exception:
         _log(context, spec, end, failed=True)
         raise

@@ -363,6 +363,40 @@ def maintain_areas(t: Tables) -> DataFrame:
     return doubles(runner.stored_rows(context, spec).select("month", "area", "total_amount"), "total_amount")
 
 
+@query("""WITH s AS (SELECT CAST(c_custkey AS VARCHAR) AS symbol, CAST(c_nationkey AS VARCHAR) AS exchange, c_mktsegment AS board, c_acctbal >= 0 AS alive,
+  'A-' || c_mktsegment AS listed, c_custkey % 3 AS part FROM customer)
+SELECT symbol, exchange, listed AS board, CAST(CASE WHEN c.late THEN DATE '1999-01-15' ELSE DATE '1999-01-08' END AS DATE) AS load_date
+FROM s, LATERAL (SELECT exchange = '7' AND board IN ('BUILDING', 'MACHINERY') AS late) c
+WHERE alive AND (exchange IN ('1', '2') AND part > 0 AND board <> 'FURNITURE' OR exchange = '7' AND (late AND part = 2 OR NOT late AND part > 0 AND board <> 'FURNITURE'))""")
+def maintain_securities(t: Tables) -> DataFrame:
+    """Four loads of the securities: two exchanges in one week, one of them again, and a later week.
+
+    A rule names an exchange and a part of its boards' names, and has its own watermark. Securities with a
+    negative balance are delisted. The third load finds nothing due, the fourth replaces the boards that
+    contain its rules' text; boards that no rule names are never loaded."""
+    lake, spec = _lake(t, "securities"), schema.REGISTRY["stock_basic_info"]
+    code = lambda c: F.col(c).cast("string")
+    listed = t.customer.select(
+        code("c_custkey").alias("symbol"), code("c_nationkey").alias("exchange"), F.concat(F.lit("A-"), "c_mktsegment").alias("board"),
+        (F.col("c_custkey") % 3).alias("part"), "c_acctbal",
+    )
+    delisted = listed.filter("c_acctbal < 0").select("symbol")
+    fixed = {"symbol_name": F.lit("name"), "list_date": F.lit("19900101")}
+    segments = F.explode(F.array(*[F.lit(s) for s in ("AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY")]))
+    rules = listed.select("exchange").distinct().select("exchange", segments.alias("board"))
+    late = F.col("exchange").isin("7") & F.col("board").rlike("BUILDING|MACHINERY") & (F.col("part") == 2)
+    loads_ = (
+        (datetime(1999, 1, 11, 9), F.col("exchange").isin("1", "2") & (F.col("part") > 0)),
+        (datetime(1999, 1, 11, 10), F.col("exchange").isin("7") & (F.col("part") > 0)),
+        (datetime(1999, 1, 11, 11), F.col("exchange").isin("1", "7")),
+        (datetime(1999, 1, 18, 9), late),
+    )
+    for now, arrived in loads_:
+        context = runner.Context(lake, t.calendar(), now)
+        runner.run(context, spec, _landed(spec, listed.filter(arrived), **fixed), rules, without=delisted)
+    return runner.stored_rows(context, spec).select("symbol", "exchange", "board", "load_date")
+
+
 @query(f"""WITH {sql_bars()} SELECT symbol, max(trade_date) AS last_date, CAST(arg_max(close, trade_date) AS DOUBLE) AS last_value FROM bars GROUP BY symbol""")
 def agg_last_value(t: Tables) -> DataFrame:
     """Last date of every symbol and its close on that day."""

@@ -71,7 +71,9 @@ PAIR = "two_tables"
 class DatasetSpec:
     """One table.
 
-    ``scope`` is the column a watermark is kept per, or None for one watermark per table.
+    ``scope`` is the column a watermark is kept per, or None for one watermark per table. With ``rules``, an
+    equal and a contained column, a watermark is kept per rule: a row belongs to a rule that is equal in
+    the first and contained in the second.
     ``step`` is the number of days from the watermark to the first day to load, ``cutoff``
     the rule that ends the load, ``windows`` how the range is cut up. ``constants`` are
     columns that the run adds to the landed ones, ``excluded`` scope values that are not loaded.
@@ -85,6 +87,7 @@ class DatasetSpec:
     date: str
     default: str
     scope: str | None = None
+    rules: tuple[str, ...] = ()
     step: int = 1
     inclusive: bool = True
     cutoff: str = "today"
@@ -167,6 +170,17 @@ ANNOUNCED = ("report_date", "symbol", "announce_date")
 # Concept boards whose history the source cannot deliver.
 BROKEN_BOARDS = ("BK1631", "BK1632", "BK1633", "BK1634")
 
+# Exchanges and the part of a board's name that is listed and loaded on its own.
+SECURITY_RULES = (
+    ("SSE", "主板A股"),
+    ("SSE", "主板B股"),
+    ("SSE", "科创板"),
+    ("BSE", "北交所"),
+    ("HKSE", "港交所"),
+    ("SZSE", "A股列表"),
+    ("SZSE", "B股列表"),
+)
+
 # --- the datasets ----------------------------------------------------------------------
 
 SPECS: tuple[DatasetSpec, ...] = (
@@ -178,7 +192,7 @@ SPECS: tuple[DatasetSpec, ...] = (
     DatasetSpec(
         "stock_basic_info", "listed securities",
         "symbol symbol_name exchange board=string(24) list_date load_date", ("symbol", "exchange"), LIKE,
-        "load_date", "1990-01-01", step=0, inclusive=False, cutoff="friday", windows="snapshot",
+        "load_date", "1990-01-01", rules=("exchange", "board"), step=0, inclusive=False, cutoff="friday", windows="snapshot",
         constants=(("load_date", "cutoff"),), complete=True,
     ),
     DatasetSpec(

@@ -56,6 +56,9 @@ def test_every_dataset_can_be_planned_and_picked(name, spark, lake, calendar):
     marks = None
     if spec.scope:
         marks = spark.createDataFrame([("X", date(2023, 11, 30))], f"{spec.scope} string, watermark date")
+    if spec.rules:
+        rule = ("X", "", date(2023, 11, 30))
+        marks = spark.createDataFrame([rule], f"{spec.rules[0]} string, {spec.rules[1]} string, watermark date")
     end = runner.cutoff(ctx, spec)
     planned = runner.plan(ctx, spec, end, marks=marks)
     inside = {"quarters": "20231231", "months": "20240101", "months_until_gap": "20240101"}
@@ -194,6 +197,25 @@ def test_snapshot_and_like(spark, lake, calendar):
     assert [r[0] for r in rows(runner.stored_rows(week, stocks), "symbol")] == ["2", "3", "4", "5", ]
 
 
+def test_exchanges_and_boards_have_their_own_watermarks(spark, lake, calendar):
+    """Two exchanges in one week; a rule replaces the boards that contain its text, and no others."""
+    spec = schema.REGISTRY["stock_basic_info"]
+    record = lambda s, e, b: {"symbol": s, "symbol_name": "n", "exchange": e, "board": b, "list_date": "19990101"}
+    rules = spark.createDataFrame(list(schema.SECURITY_RULES), "exchange string, board string")
+    delisted = spark.createDataFrame([("9",)], "symbol string")
+    load = lambda day, records: runner.run(
+        context(lake, calendar, 2024, 1, day, 17), spec, landed(spark, spec, records), rules, without=delisted
+    )
+    stored = lambda: [(s, b, d.day) for s, b, d in rows(runner.stored_rows(context(lake, calendar, 2024, 1, 14, 17), spec), "symbol", "board", "load_date")]
+    load(7, [record("1", "SSE", "主板A股"), record("9", "SSE", "主板A股"), record("2", "SSE", "科创板")])
+    load(7, [record("3", "SZSE", "A股列表-主板"), record("4", "SZSE", "A股列表-创业板"), record("5", "SZSE", "B股列表-主板")])
+    assert stored() == [("1", "主板A股", 5), ("2", "科创板", 5), ("3", "A股列表-主板", 5), ("4", "A股列表-创业板", 5), ("5", "B股列表-主板", 5)]
+    load(7, [record("6", "SSE", "主板A股"), record("7", "BSE", "北交所")])  # only the second was not loaded this week
+    assert [s for s, *_ in stored()] == ["1", "2", "3", "4", "5", "7"]
+    load(14, [record("8", "SZSE", "A股列表-主板"), record("0", "XXX", "主板A股")])  # both boards of the rule go; no rule names XXX
+    assert stored() == [("1", "主板A股", 5), ("2", "科创板", 5), ("5", "B股列表-主板", 5), ("7", "北交所", 5), ("8", "A股列表-主板", 12)]
+
+
 def test_members_and_funds(spark, lake, calendar):
     members = schema.REGISTRY["stock_board_industry_cons_em"]
     universe = spark.createDataFrame([("B1",), ("B2",)], "board_code string")
