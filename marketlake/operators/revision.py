@@ -19,19 +19,22 @@ def last_stored(stored: DataFrame, key: str, date: str, close: str) -> DataFrame
 
 
 def classify(
-    stored: DataFrame,
+    stored: DataFrame | None,
     incoming: DataFrame,
     key: str = "symbol",
     date: str = "trade_date",
     close: str = "close",
     lenient: bool = False,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """One row per incoming key: last stored date and close, the overlap bar's close, action.
 
+    ``last`` (key, last_date, last_close) saves looking them up in the stored rows.
+
     A key without stored rows is appended. A missing overlap bar means reload, or append when
     ``lenient``. The overlap is picked out while grouping, so incoming rows shuffle once.
     """
-    last = last_stored(stored, key, date, close)
+    last = last_stored(stored, key, date, close) if last is None else last.select(key, "last_date", "last_close")
     overlap = (
         incoming.join(last, key, "left")
         .groupBy(key)

@@ -17,8 +17,9 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, StringType, St
 from marketlake import schema as spec_rules
 from marketlake.functions import dates, text
 from marketlake.operators import aggregates, filters, joins, reshape, revision, synclog, writes
-from marketlake.plans import units, windows
+from marketlake.plans import kept, units, windows
 from marketlake.schema import DatasetSpec
+from marketlake.sources.landing import ARRIVAL, folder_day, folder_of
 from marketlake.sources.tables import Lake, LakeTable, publish_together
 
 YEAR = StructField("_year", IntegerType())
@@ -69,6 +70,31 @@ def stored_rows(context: Context, spec: DatasetSpec) -> DataFrame:
     return table.read_marked(_slices(spec)).select(*spec.schema.fieldNames())
 
 
+# --- kept state --------------------------------------------------------------------------
+
+
+def state_table(context: Context, spec: DatasetSpec) -> LakeTable:
+    return LakeTable(context.lake, f"{spec.name}__state", kept.schema(spec))
+
+
+def state(context: Context, spec: DatasetSpec) -> DataFrame:
+    """First and last date per key, as the last load left them. Only a table that was loaded before
+    states were kept is scanned."""
+    newest = state_table(context, spec).read_newest()
+    return kept.state_of(spec, stored_rows(context, spec)) if newest is None else newest
+
+
+def _commit(context: Context, spec: DatasetSpec, batch: str, *parts: tuple[LakeTable, DataFrame], replaced: DataFrame | None = None) -> None:
+    """Write a batch of the table (the first part) and what belongs to it, and the state after it: all or nothing."""
+    old, table = state(context, spec), parts[0][0]
+    for part, rows in parts:
+        part.write_batch(rows, batch, unit=batch)
+    beside = state_table(context, spec)
+    new = kept.merged(spec, old, kept.state_of(spec, table.read_batch(batch)), replaced)
+    beside.write_batch(new, beside.next_batch(context.attempt), unit=batch)
+    context.lake.commit("units", batch)
+
+
 # --- plan ------------------------------------------------------------------------------
 
 
@@ -130,13 +156,14 @@ def plan(
     """
     default = _default_mark(context, spec)
     if marks is None:
-        stored = stored_rows(context, spec)
+        by_state = spec.write in kept.MODES
+        stored, date = (state(context, spec), "last_date") if by_state else (stored_rows(context, spec), spec.date)
         if spec.rules:
-            marks = aggregates.rule_watermark(universe, stored, *spec.rules, spec.date, default)
+            marks = aggregates.rule_watermark(universe, stored, *spec.rules, date, default)
         elif spec.scope is None:
-            marks = stored.agg(F.coalesce(F.max(spec.date), default).alias("watermark"))
+            marks = stored.agg(F.coalesce(F.max(date), default).alias("watermark"))
         else:
-            marks = aggregates.keyed_watermark(universe, stored, spec.scope, spec.date, default)
+            marks = aggregates.keyed_watermark(universe, stored, spec.scope, date, default)
     planned = marks.withColumns({"start": _start(context, spec, F.col("watermark")), "end": end})
     if spec.excluded:
         planned = filters.not_in(planned, spec.scope, spec.excluded)
@@ -208,9 +235,44 @@ def load_dates(context: Context, spec: DatasetSpec, planned: DataFrame) -> DataF
     return None
 
 
+def planned_folders(context: Context, spec: DatasetSpec, planned: DataFrame, name: str, grain: str) -> DataFrame | None:
+    """First days of all folders that a plan may ask for, over all keys, written down: one row a folder
+    at most. None where the plan names no days."""
+    if spec.windows in ("snapshot", "after"):
+        return None
+    found = load_dates(context, spec, planned)
+    if found is None:
+        ranges = planned.select(F.to_date("start").alias("start"), F.to_date("end").alias("end")).distinct()
+        days = ranges.select(F.explode(dates.day_range(F.col("start"), F.col("end"))).alias("_at"))
+    elif spec.windows == "years":
+        first, last = (F.make_date(F.col("_year"), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+        days = found.select("_year").distinct().select(F.explode(F.sequence(first, last)).alias("_at"))
+    else:
+        days = found.select(F.to_date(spec.date).alias("_at"))
+    folders = days.select(folder_day(grain, F.col("_at")).alias(name)).distinct()
+    return context.table(spec).stage(folders, f"{context.batch}-folders-{uuid.uuid4().hex[:8]}")
+
+
+def pruned(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFrame) -> DataFrame:
+    """Rows of a landing by date in the folders that the plan names; any other landing as it is.
+
+    The few planned folders are read from a file, so that they are broadcast by their size, and prune
+    the scan of the landing at run time.
+    """
+    folder = folder_of(landed)
+    if folder is None:
+        return landed
+    wanted = planned_folders(context, spec, planned, *folder)
+    if wanted is not None:
+        # the bound lets the planner see that the folders are a selection
+        landed = landed.join(wanted.filter(F.col(folder[0]) <= F.lit("9999-12-31").cast("date")), folder[0], "left_semi")
+    return landed.drop(folder[0])
+
+
 def pick(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFrame) -> DataFrame:
     """Landed rows that the plan asks for."""
     keys = [spec.scope] if spec.scope else []
+    landed = pruned(context, spec, landed, planned)
     if spec.rules:
         fit = joins.by_rule(landed.select(*spec.rules).distinct(), planned, *spec.rules)
         return landed.join(fit.select(*spec.rules).distinct(), list(spec.rules), "left_semi")
@@ -230,6 +292,11 @@ def pick(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFr
     if spec.windows == "snapshot":
         return landed.join(ranges.select(*keys), keys, "left_semi") if keys else _if_due(landed, ranges)
     if keys:
+        # the range over all keys reaches the scan
+        low, high = planned.agg(F.min("start"), F.max("end")).first()
+        if low is None:
+            return landed.limit(0)
+        landed = landed.filter(F.col(spec.date).between(F.lit(low), F.lit(high)))
         joined = landed.join(ranges, keys)
         return joined.filter(F.col(spec.date).between(F.col("start"), F.col("end"))).drop("start", "end")
     row = planned.first()
@@ -280,7 +347,8 @@ def coerce(landed: StructField, declared: StructField, cut: bool = False) -> Col
 def typed(context: Context, spec: DatasetSpec, landed: DataFrame, end: Column) -> DataFrame:
     """Landed rows in the table's schema, with the run's constants and the arrival order.
 
-    ``landed`` holds the dataset's columns by name, and ``_batch`` and ``_pos``.
+    ``landed`` holds the dataset's columns by name, and ``_batch`` and ``_pos``; and the folder
+    column where the landing is dealt out by date.
     """
     fixed = {"today": F.to_date(context.clock), "cutoff": end, "null": F.lit(None)}
     tags = {name: fixed[v] if v in fixed else F.lit(v) for name, v in spec.constants}
@@ -293,7 +361,8 @@ def typed(context: Context, spec: DatasetSpec, landed: DataFrame, end: Column) -
         if declared.name in spec.cut_text:
             value = text.truncate_bytes(value, declared.metadata["max_bytes"])
         columns.append(value.cast(declared.dataType).alias(declared.name))
-    return landed.select(*columns, "_batch", "_pos")
+    folder = folder_of(landed)
+    return landed.select(*columns, *ARRIVAL, *(folder[:1] if folder else ()))
 
 
 def cleaned(spec: DatasetSpec, rows: DataFrame) -> DataFrame:
@@ -301,7 +370,7 @@ def cleaned(spec: DatasetSpec, rows: DataFrame) -> DataFrame:
     if spec.complete:
         rows = rows.dropna("any", subset=spec.landed_columns)
     if spec.keep_last:
-        rows = aggregates.keep_last(rows, spec.key, ["_batch", "_pos"])
+        rows = aggregates.keep_last(rows, spec.key, list(ARRIVAL))
     return rows
 
 
@@ -326,8 +395,8 @@ def publish(
         case spec_rules.APPEND | spec_rules.INSERT:
             key = [spec.key[0]] if spec.write == spec_rules.INSERT else list(spec.key)
             within = spec.date if spec.date in key else None
-            new = writes.absent_rows(table.read_batches(), rows, key, ["_batch", "_pos"], within)
-            table.write_batch(new, batch)
+            new = writes.absent_rows(table.read_batches(), rows, key, list(ARRIVAL), within)
+            _commit(context, spec, batch, (table, new))
         case spec_rules.SLICES:
             table.replace_partitions(rows, spec.slices, batch)
         case spec_rules.LIKE:
@@ -353,22 +422,26 @@ def _publish_revised(context: Context, spec: DatasetSpec, rows: DataFrame, histo
     where the overlap bar decides, it has to be there: else the load fails and the table stays.
     """
     table, batch = context.table(spec), context.batch
-    stored = stored_rows(context, spec)
-    actions = revision.classify(stored, rows, date=spec.date, lenient=spec.lenient)
+    last = state(context, spec)
+    actions = revision.classify(None, rows, date=spec.date, lenient=spec.lenient, last=last)
     actions = table.stage(actions, batch)
     missing = actions.filter((F.col("action") == revision.RELOAD) & F.col("overlap_close").isNull()).first()
     if missing is not None:
         raise ValueError(f"{spec.name}: no overlap bar of {missing['symbol']} at {missing['last_date']}")
     revised = revision.revised(actions)
-    if not revised.isEmpty():
-        reach = lambda df, name: df.join(revised, "symbol", "left_semi").groupBy("symbol").agg(F.min(spec.date).alias(name))
-        both = reach(stored, "_stored").join(reach(history, "_landed"), "symbol", "left")
-        short = both.filter(F.col("_landed").isNull() | (F.col("_landed") > F.col("_stored"))).first()
+    new = revision.news(rows, actions, date=spec.date)
+    some = not revised.isEmpty()
+    if some:
+        reloaded = history.join(revised, "symbol", "left_semi").select(*rows.columns)
+        reach = reloaded.groupBy("symbol").agg(F.min(spec.date).alias("_landed"))
+        both = last.join(revised, "symbol", "left_semi").join(reach, "symbol", "left")
+        short = both.filter(F.col("_landed").isNull() | (F.col("_landed") > F.col("first_date"))).first()
         if short is not None:
-            raise ValueError(f"{spec.name}: the history of {short['symbol']} starts after {short['_stored']}")
-    reloaded = history.join(revised, "symbol", "left_semi").select(*rows.columns)
-    new = revision.news(rows, actions, date=spec.date).unionByName(reloaded)
-    table.write_marked(new, revised, _slices(spec), table.next_batch(context.attempt))
+            raise ValueError(f"{spec.name}: the history of {short['symbol']} starts after {short['first_date']}")
+        new = new.unionByName(reloaded)
+    batch = table.next_batch(context.attempt)
+    marks = table.marks(_slices(spec), revised, batch)
+    _commit(context, spec, batch, (table, new), marks, replaced=revised if some else None)
 
 
 # --- run -------------------------------------------------------------------------------
@@ -397,6 +470,11 @@ def read_log(context: Context) -> DataFrame:
     return synclog.latest(_log_table(context).read_batches(), "_at").select(*LOG_SPEC.schema.fieldNames())
 
 
+def _written(context: Context, spec: DatasetSpec, planned: DataFrame) -> DataFrame:
+    """The plan as a file, one row a key: several steps read it."""
+    return context.table(spec).stage(planned, f"{context.batch}-plan-{uuid.uuid4().hex[:8]}")
+
+
 def run(
     context: Context,
     spec: DatasetSpec,
@@ -421,7 +499,7 @@ def run(
             rows = joins.without(rows, without, without.columns)
         if spec.rules and universe is None:
             universe = rows.select(*spec.rules).distinct()
-        planned = plan(context, spec, end, universe, marks)
+        planned = _written(context, spec, plan(context, spec, end, universe, marks))
         due = pick(context, spec, rows, planned)
         whole = None
         if spec.write == spec_rules.REVISE:
@@ -450,7 +528,7 @@ def run_pair(
     end = cutoff(context, first[0])
     unit = [first[0].scope, first[0].date]
     try:
-        planned = plan_units(context, first[0], end, universe)
+        planned = _written(context, first[0], plan_units(context, first[0], end, universe))
         sides = []
         for spec, landed in (first, second):
             due = cleaned(spec, pick(context, spec, typed(context, spec, landed, end), planned))

@@ -30,6 +30,7 @@ from marketlake.queries.base import (
 )
 from marketlake.queries.measures import ticks
 from marketlake.session import scratch_dir
+from marketlake.sources import landing
 from marketlake.sources.tables import Lake, LakeTable, publish_pair
 from marketlake.streaming import loads
 
@@ -150,11 +151,11 @@ def stream_resume(t: Tables) -> DataFrame:
     """The first half of the month lands and is loaded, then all of it lands again: the second run
     picks up the new files only, and drops what they re-deliver."""
     lake = _lake(t, "resume")
-    table, landing = _events_table(lake, t), f"{lake.root}/landing"
+    table, folder = _events_table(lake, t), f"{lake.root}/landing"
     first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
     for delivery in (t.events.filter(first_half), t.events):
-        delivery.write.mode("append").parquet(landing)
-        stream = loads.file_stream(t.spark, landing, t.events.schema)
+        delivery.write.mode("append").parquet(folder)
+        stream = loads.file_stream(t.spark, folder, t.events.schema)
         loads.load_available(stream, table, f"{lake.root}/checkpoint", ["event_id"], ["ts"])
     return table.read_batches()
 
@@ -177,11 +178,14 @@ SQL_DUE = "trade_date IN (SELECT trade_date FROM calendar) AND trade_date > DATE
   sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS margin_balance FROM lineitem GROUP BY 1, 2)
 SELECT trade_date, symbol, CAST(margin_balance AS DOUBLE) AS margin_balance FROM d WHERE {SQL_DUE}""")
 def maintain_margin(t: Tables) -> DataFrame:
-    """Three runs of the margin detail, trading day by trading day; the last finds nothing new."""
+    """Three runs of the margin detail, trading day by trading day; the last finds nothing new. The
+    landing has a folder per month, and each run reads the planned ones."""
     lake = _lake(t, "margin")
     spec = replace(schema.REGISTRY["stock_margin_detail_sse"], default="1995-01-01")
     detail = t.trades().groupBy("trade_date", "symbol").agg(F.sum("amount").alias("margin_balance"))
-    landed = t.staged(_landed(spec, detail, symbol=F.col("symbol").cast("string")), "landing")
+    path = scratch_dir(t.spark, "landing")
+    landing.land(_landed(spec, detail, symbol=F.col("symbol").cast("string")).drop(*landing.ARRIVAL), path, spec.date, "month")
+    landed = landing.read_landing(t.spark, path)
     for now in (datetime(1999, 1, 5, 9), datetime(2001, 6, 15, 17), datetime(2001, 6, 15, 18)):
         context = runner.Context(lake, t.calendar(), now)
         runner.run(context, spec, landed)
@@ -219,11 +223,11 @@ def maintain_intraday(t: Tables) -> DataFrame:
     as unchanged at this frequency."""
     lake, spec = _lake(t, "intraday"), schema.REGISTRY["stock_zh_a_hist_30min_qfq"]
     slots = ticks(t.events).groupBy("symbol", bars.slots(F.col("ts")).alias("bar_time"))
-    landing = t.staged(_landed(spec, slots.agg(F.max("price").alias("high"))), "landing")
+    landed_bars = t.staged(_landed(spec, slots.agg(F.max("price").alias("high"))), "landing")
     days = t.events.select(F.to_date("ts").alias("trade_date")).distinct().filter("weekday(trade_date) < 5")
-    symbols = landing.select("symbol").distinct()
-    later = landing.filter(F.col("bar_time") > F.lit("2024-01-15 15:00:00").cast("timestamp_ntz"))
-    for now, landed in ((datetime(2024, 1, 15, 17), landing), (datetime(2024, 2, 1, 17), later)):
+    symbols = landed_bars.select("symbol").distinct()
+    later = landed_bars.filter(F.col("bar_time") > F.lit("2024-01-15 15:00:00").cast("timestamp_ntz"))
+    for now, landed in ((datetime(2024, 1, 15, 17), landed_bars), (datetime(2024, 2, 1, 17), later)):
         context = runner.Context(lake, days, now)
         runner.run(context, spec, landed, symbols)
     table = runner.stored_rows(context, spec).select("symbol", "bar_time", "high")

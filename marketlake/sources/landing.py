@@ -35,20 +35,47 @@ VALUATION_FIELDS = {
 }
 
 
-def with_arrival(df: DataFrame) -> DataFrame:
-    """Arrival order of landed rows: batch = file name, position = place in the file.
+#: Arrival of a landed row: when its file came, and its place in the file.
+ARRIVAL = ("_batch", "_pos")
+#: Folder columns of a landing that is dealt out by the date of its rows: the first day of each folder.
+FOLDERS = {"day": "_day", "month": "_month", "year": "_year_from"}
 
-    ``_metadata.row_index`` exists for Parquet only; text formats carry their own sequence.
+
+def with_arrival(df: DataFrame, lines: bool = False) -> DataFrame:
+    """Landed rows with their arrival order: by the time at which the file was written, then by its
+    path, then by the place in it.
+
+    File names say nothing about time: those that Spark gives are random. ``lines`` is for text
+    formats, which have no row numbers: there the place is the block's start, and a number that grows
+    inside the block, as one task reads a block from start to end.
     """
-    return df.select(
-        "*",
-        F.col("_metadata.file_name").alias("_batch"),
-        F.col("_metadata.row_index").alias("_pos"),
-    )
+    written = F.lpad(F.unix_micros(F.col("_metadata.file_modification_time")).cast("string"), 20, "0")
+    place = F.col("_metadata.row_index")
+    if lines:
+        place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.select("*", F.concat_ws(" ", written, F.col("_metadata.file_path")).alias("_batch"), place.alias("_pos"))
+
+
+def folder_day(grain: str, date: Column) -> Column:
+    """First day of the folder that a date belongs to."""
+    return F.to_date(date) if grain == "day" else F.trunc(date, grain)
+
+
+def land(df: DataFrame, path: str, date: str, grain: str = "day") -> None:
+    """Append rows to a landing with a folder per day, month or year. Rows without a date land in a folder of their own."""
+    name = FOLDERS[grain]
+    dealt = df.withColumn(name, folder_day(grain, F.col(date))).hint("rebalance", F.col(name))
+    dealt.write.mode("append").partitionBy(name).parquet(path)
+
+
+def folder_of(landed: DataFrame) -> tuple[str, str] | None:
+    """(folder column, grain) of a landing that is dealt out by date."""
+    return next(((name, grain) for grain, name in FOLDERS.items() if name in landed.columns), None)
 
 
 def read_landing(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Landed Parquet files with arrival order."""
+    """Landed Parquet files with arrival order; of a landing with a folder per date also the folder's
+    date, by which a load prunes the folders that its plan does not name."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return with_arrival(reader.parquet(path))
 

@@ -1,12 +1,14 @@
 """Table files on shared storage.
 
-Four layouts, all plain Parquet:
+Five layouts, all plain Parquet:
 
 * batches: every load writes its own ``_batch=<id>`` folder.
 * marked batches: a load may also replace slices (a symbol, a fund's year). It writes the new
   content of the slice as part of its batch, and a mark (slice, batch) next to it; readers skip
   rows of a marked slice that are older than the mark. A load costs what it writes, however
   large the table is.
+* kept states: every load writes the whole of a small table, such as the last date and close of
+  each key, as a batch with the next number; readers take the newest committed one.
 * versions: every load writes the whole table to ``_version=<n>``; readers take the newest
   committed one. Used for small tables and snapshots.
 * partitions: a load replaces whole partitions of the slice columns. New content is staged
@@ -119,6 +121,15 @@ class LakeTable:
         last = self.lake.commits(self.name).agg(F.max(number)).first()[0] or 0
         return f"{last + 1:016d}-{attempt}"
 
+    def read_batch(self, batch: str) -> DataFrame:
+        """Rows of one batch, committed or not: what a load has just written."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/_batch={batch}")
+
+    def read_newest(self) -> DataFrame | None:
+        """Rows of the committed batch with the highest number (see :meth:`next_batch`), None without one."""
+        newest = self.lake.committed(self.name).agg(F.max("batch")).first()[0]
+        return None if newest is None else self.read_batch(newest)
+
     # --- marked batches ---
 
     def _marks(self, slices: Sequence[str]) -> LakeTable:
@@ -132,10 +143,13 @@ class LakeTable:
         alive = F.col("since").isNull() | (F.col("_batch") >= F.col("since"))
         return rows.filter(alive).select(*self.schema.fieldNames())
 
+    def marks(self, slices: Sequence[str], replaced: DataFrame, batch: str) -> tuple[LakeTable, DataFrame]:
+        """The table of marks, and those by which a batch replaces the slices named by ``replaced``."""
+        return self._marks(slices), replaced.select(*slices).distinct().withColumn("since", F.lit(batch))
+
     def write_marked(self, df: DataFrame, replaced: DataFrame, slices: Sequence[str], batch: str) -> None:
         """Add rows, and replace the slices named by ``replaced``. Batch ids must grow."""
-        marks = replaced.select(*slices).distinct().withColumn("since", F.lit(batch))
-        publish_together(batch, (self, df), (self._marks(slices), marks))
+        publish_together(batch, (self, df), self.marks(slices, replaced, batch))
 
     # --- versions ---
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from marketlake import schema
 from marketlake.operators import dictionary, synclog
-from marketlake.plans import runner
+from marketlake.plans import kept, runner
+from marketlake.sources import landing
 from tests.conftest import rows
 
 
@@ -374,6 +375,96 @@ def test_late_sides_fill_their_gap(spark, lake, calendar):
     assert files and all("__units" in f or "/commits/" in f for f in files)
 
 
+@pytest.mark.parametrize("grain, folders", [("day", 2), ("month", 1)])
+def test_the_plan_prunes_the_folders_of_a_keyed_landing(grain, folders, spark, lake, calendar, tmp_path):
+    spec, path = schema.REGISTRY["stock_zh_a_hist_daily_bfq"], str(tmp_path / "in")
+    universe = spark.createDataFrame([("1",), ("2",)], "symbol string")
+    days = ["2023-11-30", "2023-12-29", "2024-01-02", "2024-01-03", "2024-01-04", "2024-02-01"]
+    bars = landed(spark, spec, [{"symbol": s, "trade_date": d, "close": "1"} for s in "12" for d in days]).drop("_batch", "_pos")
+    landing.land(bars.withColumn("trade_date", F.col("trade_date").cast("date")), path, "trade_date", grain)
+    source = landing.read_landing(spark, path)
+    first = context(lake, calendar, 2024, 1, 2, 17)
+    runner.run(first, spec, source, universe)
+    assert runner.stored_rows(first, spec).count() == 6
+    ctx = context(lake, calendar, 2024, 1, 4, 17)
+    end = runner.cutoff(ctx, spec)
+    picked = runner.pick(ctx, spec, runner.typed(ctx, spec, source, end), runner.plan(ctx, spec, end, universe))
+    assert picked.count() == 4
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    scan = _landing_scan(picked)
+    assert scan.metrics().get("numPartitions").get().value() == folders
+    runner.run(ctx, spec, source, universe)
+    assert runner.stored_rows(ctx, spec).count() == 10
+
+
+def _landing_scan(df):
+    """The scan of the landing in the executed plan of a frame that ran."""
+    df.collect()
+    todo = [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        elif node.nodeName().startswith("Scan parquet") and "dynamicpruning" in node.toString():
+            return node
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    raise AssertionError("no pruned scan")
+
+
+def test_arrival_is_the_time_of_writing(spark, lake, calendar, tmp_path):
+    """The later file wins, whatever the files and their folders are called."""
+    import os
+
+    spec = schema.REGISTRY["stock_yjyg_em"]
+    one = {"report_date": "20231231", "symbol": "000001", "metric": "m", "announce_date": "20240201"}
+    for folder, text, written in (("b/z", "early", 1_700_000_000), ("a/a", "late", 1_700_000_500)):
+        landed(spark, spec, [{**one, "reason_text": text}]).drop("_batch", "_pos").coalesce(1).write.parquet(str(tmp_path / folder))
+        for file in (tmp_path / folder).glob("*.parquet"):
+            os.utime(file, (written, written))
+    ctx = context(lake, calendar, 2024, 2, 15, 9)
+    both = landing.with_arrival(spark.read.parquet(*[str(tmp_path / f) for f in ("b/z", "a/a")]))
+    runner.run(ctx, spec, both)
+    assert rows(runner.stored_rows(ctx, spec), "reason_text") == [("late",)]
+
+
+def test_plans_read_the_kept_state(spark, lake, calendar):
+    """States equal those of the stored rows after appended, repeated and revised loads."""
+    universe = spark.createDataFrame([("1",), ("2",), ("3",)], "symbol string")
+    spec = schema.REGISTRY["stock_zh_a_hist_daily_qfq"]
+    loads = [
+        (3, _bars("1", {2: "10", 3: "11"}) + _bars("2", {2: "1"})),
+        (4, _bars("1", {3: "11", 4: "12"}) + _bars("2", {2: "1", 4: "2"}) + _bars("3", {4: "7"})),
+        (4, _bars("1", {4: "12"})),
+        (5, _bars("1", {1: "4", 2: "5", 4: "6", 5: "6.5"}) + _bars("2", {4: "2"})),
+    ]
+    for day, records in loads:
+        ctx = context(lake, calendar, 2024, 1, day, 17)
+        runner.run(ctx, spec, landed(spark, spec, records), universe)
+        stored = runner.stored_rows(ctx, spec)
+        assert rows(runner.state(ctx, spec)) == rows(kept.state_of(spec, stored))
+        plan = runner.plan(ctx, spec, runner.cutoff(ctx, spec), universe)
+        files = plan.inputFiles()
+        assert files and all(f"/{spec.name}__state/" in f or "/commits/" in f for f in files)
+    assert [r.first_date for r in runner.state(ctx, spec).filter("symbol = '1'").collect()] == [date(2024, 1, 1)]
+
+
+def test_a_table_without_kept_state_is_scanned_once(spark, lake, calendar):
+    spec = schema.REGISTRY["stock_margin_szse"]
+    ctx = context(lake, calendar, 2024, 1, 3, 9)
+    table = ctx.table(spec)
+    old = runner.typed(ctx, spec, landed(spark, spec, [{"trade_date": "20240102", "margin_buy": "1"}]), F.lit(None))
+    table.write_batch(old, "before")
+    later = context(lake, calendar, 2024, 1, 5, 9)
+    source = landed(spark, spec, [{"trade_date": d, "margin_buy": "2"} for d in ("20240102", "20240103")])
+    runner.run(later, spec, source)
+    assert [(d.day, int(v)) for d, v in rows(runner.stored_rows(later, spec), "trade_date", "margin_buy")] == [(2, 1), (3, 2)]
+    assert rows(runner.state(later, spec)) == [(date(2024, 1, 2), date(2024, 1, 3))]
+
+
 def test_source_columns_are_renamed_by_position(spark):
     spec = schema.REGISTRY["stock_hk_short_sale"]
     raw = spark.createDataFrame([("a", "b", "c", "d", "e", "f", 1)], "x1 string, x2 string, x3 string, x4 string, x5 string, _batch string, _pos int")
