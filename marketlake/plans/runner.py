@@ -235,35 +235,35 @@ def load_dates(context: Context, spec: DatasetSpec, planned: DataFrame) -> DataF
     return None
 
 
-def planned_folders(context: Context, spec: DatasetSpec, planned: DataFrame, name: str, grain: str) -> DataFrame | None:
-    """First days of all folders that a plan may ask for, over all keys, written down: one row a folder
-    at most. None where the plan names no days."""
-    if spec.windows in ("snapshot", "after"):
-        return None
-    found = load_dates(context, spec, planned)
-    if found is None:
+def _written(context: Context, spec: DatasetSpec, planned: DataFrame) -> DataFrame:
+    """The plan as a file, as several steps read it; its size is known before it is joined."""
+    return context.table(spec).stage(planned, f"{context.batch}-plan-{uuid.uuid4().hex[:8]}")
+
+
+def planned_folders(spec: DatasetSpec, planned: DataFrame, days: DataFrame | None, name: str, grain: str) -> DataFrame:
+    """First days of all folders that a plan may ask for, over all keys: one row a folder at most."""
+    if days is None:
         ranges = planned.select(F.to_date("start").alias("start"), F.to_date("end").alias("end")).distinct()
-        days = ranges.select(F.explode(dates.day_range(F.col("start"), F.col("end"))).alias("_at"))
+        at = ranges.select(F.explode(dates.day_range(F.col("start"), F.col("end"))).alias("_at"))
     elif spec.windows == "years":
         first, last = (F.make_date(F.col("_year"), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
-        days = found.select("_year").distinct().select(F.explode(F.sequence(first, last)).alias("_at"))
+        at = days.select("_year").distinct().select(F.explode(F.sequence(first, last)).alias("_at"))
     else:
-        days = found.select(F.to_date(spec.date).alias("_at"))
-    folders = days.select(folder_day(grain, F.col("_at")).alias(name)).distinct()
-    return context.table(spec).stage(folders, f"{context.batch}-folders-{uuid.uuid4().hex[:8]}")
+        at = days.select(F.to_date(spec.date).alias("_at"))
+    return at.select(folder_day(grain, F.col("_at")).alias(name)).distinct()
 
 
-def pruned(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFrame) -> DataFrame:
+def pruned(spec: DatasetSpec, landed: DataFrame, planned: DataFrame, days: DataFrame | None) -> DataFrame:
     """Rows of a landing by date in the folders that the plan names; any other landing as it is.
 
-    The few planned folders are read from a file, so that they are broadcast by their size, and prune
-    the scan of the landing at run time.
+    The plan was written, so that its few folders are broadcast by their size, and prune the scan of
+    the landing at run time.
     """
     folder = folder_of(landed)
     if folder is None:
         return landed
-    wanted = planned_folders(context, spec, planned, *folder)
-    if wanted is not None:
+    if days is not None or spec.windows not in ("snapshot", "after"):
+        wanted = planned_folders(spec, planned, days, *folder)
         # the bound lets the planner see that the folders are a selection
         landed = landed.join(wanted.filter(F.col(folder[0]) <= F.lit("9999-12-31").cast("date")), folder[0], "left_semi")
     return landed.drop(folder[0])
@@ -272,32 +272,35 @@ def pruned(context: Context, spec: DatasetSpec, landed: DataFrame, planned: Data
 def pick(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFrame) -> DataFrame:
     """Landed rows that the plan asks for."""
     keys = [spec.scope] if spec.scope else []
-    landed = pruned(context, spec, landed, planned)
     if spec.rules:
+        landed = pruned(spec, landed, planned, None)
         fit = joins.by_rule(landed.select(*spec.rules).distinct(), planned, *spec.rules)
         return landed.join(fit.select(*spec.rules).distinct(), list(spec.rules), "left_semi")
     days = load_dates(context, spec, planned)
+    if days is not None:
+        days = _written(context, spec, days.select(*keys, "_year" if spec.windows == "years" else spec.date))
+    elif spec.windows != "snapshot":
+        planned = _written(context, spec, planned)
+    landed = pruned(spec, landed, planned, days)
     if spec.windows == "years":
         landed = landed.withColumn("_year", F.year(spec.date))
-        return landed.join(days.select(*keys, "_year"), [*keys, "_year"], "left_semi").drop("_year")
+        return landed.join(days, [*keys, "_year"], "left_semi").drop("_year")
     if days is not None:
-        days = days.select(*keys, spec.date)
         if spec.windows == "months_until_gap":
             present = landed.select(spec.date).distinct().withColumn("_present", F.lit(True))
             checked = days.join(present, spec.date, "left").fillna(False, ["_present"])
             checked = checked.withColumn("_all", F.lit(0))
             days = windows.until_gap(checked, "_all", spec.date, "_present").select(spec.date)
         return landed.join(days, [*keys, spec.date], "left_semi")
-    ranges = planned.select(*keys, "start", "end")
     if spec.windows == "snapshot":
-        return landed.join(ranges.select(*keys), keys, "left_semi") if keys else _if_due(landed, ranges)
+        return landed.join(planned.select(*keys), keys, "left_semi") if keys else _if_due(landed, planned)
     if keys:
         # the range over all keys reaches the scan
         low, high = planned.agg(F.min("start"), F.max("end")).first()
         if low is None:
             return landed.limit(0)
         landed = landed.filter(F.col(spec.date).between(F.lit(low), F.lit(high)))
-        joined = landed.join(ranges, keys)
+        joined = landed.join(planned.select(*keys, "start", "end"), keys)
         return joined.filter(F.col(spec.date).between(F.col("start"), F.col("end"))).drop("start", "end")
     row = planned.first()
     if row is None:
@@ -470,11 +473,6 @@ def read_log(context: Context) -> DataFrame:
     return synclog.latest(_log_table(context).read_batches(), "_at").select(*LOG_SPEC.schema.fieldNames())
 
 
-def _written(context: Context, spec: DatasetSpec, planned: DataFrame) -> DataFrame:
-    """The plan as a file, one row a key: several steps read it."""
-    return context.table(spec).stage(planned, f"{context.batch}-plan-{uuid.uuid4().hex[:8]}")
-
-
 def run(
     context: Context,
     spec: DatasetSpec,
@@ -499,7 +497,9 @@ def run(
             rows = joins.without(rows, without, without.columns)
         if spec.rules and universe is None:
             universe = rows.select(*spec.rules).distinct()
-        planned = _written(context, spec, plan(context, spec, end, universe, marks))
+        planned = plan(context, spec, end, universe, marks)
+        if spec.rules:
+            planned = _written(context, spec, planned)
         due = pick(context, spec, rows, planned)
         whole = None
         if spec.write == spec_rules.REVISE:

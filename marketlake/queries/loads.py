@@ -179,12 +179,12 @@ SQL_DUE = "trade_date IN (SELECT trade_date FROM calendar) AND trade_date > DATE
 SELECT trade_date, symbol, CAST(margin_balance AS DOUBLE) AS margin_balance FROM d WHERE {SQL_DUE}""")
 def maintain_margin(t: Tables) -> DataFrame:
     """Three runs of the margin detail, trading day by trading day; the last finds nothing new. The
-    landing has a folder per month, and each run reads the planned ones."""
+    landing has a folder per year, and each run reads the planned ones."""
     lake = _lake(t, "margin")
     spec = replace(schema.REGISTRY["stock_margin_detail_sse"], default="1995-01-01")
     detail = t.trades().groupBy("trade_date", "symbol").agg(F.sum("amount").alias("margin_balance"))
     path = scratch_dir(t.spark, "landing")
-    landing.land(_landed(spec, detail, symbol=F.col("symbol").cast("string")).drop(*landing.ARRIVAL), path, spec.date, "month")
+    landing.land(_landed(spec, detail, symbol=F.col("symbol").cast("string")).drop(*landing.ARRIVAL), path, spec.date, "year")
     landed = landing.read_landing(t.spark, path)
     for now in (datetime(1999, 1, 5, 9), datetime(2001, 6, 15, 17), datetime(2001, 6, 15, 18)):
         context = runner.Context(lake, t.calendar(), now)
