@@ -9,14 +9,15 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, IntegerType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from marketlake import schema as spec_rules
 from marketlake.functions import dates, text
-from marketlake.operators import aggregates, filters, joins, reshape, revision, synclog, writes
+from marketlake.operators import aggregates, checks, filters, joins, reshape, revision, synclog, writes
 from marketlake.plans import kept, units, windows
 from marketlake.schema import DatasetSpec
 from marketlake.sources.landing import ARRIVAL, folder_day, folder_of
@@ -89,6 +90,8 @@ def _commit(context: Context, spec: DatasetSpec, batch: str, *parts: tuple[LakeT
     old, table = state(context, spec), parts[0][0]
     for part, rows in parts:
         part.write_batch(rows, batch, unit=batch)
+    if spec.write == spec_rules.REVISE:  # the other modes add absent keys only
+        ensure_unique(spec, table.read_batch(batch))
     beside = state_table(context, spec)
     new = kept.merged(spec, old, kept.state_of(spec, table.read_batch(batch)), replaced)
     beside.write_batch(new, beside.next_batch(context.attempt), unit=batch)
@@ -317,31 +320,42 @@ def _if_due(landed: DataFrame, ranges: DataFrame) -> DataFrame:
 # --- normalise -------------------------------------------------------------------------
 
 
-def _fits(value: Column, ok: Column, declared: StructField) -> Column:
-    """The value, or the failure of the load where a given value does not fit its column."""
-    message = F.concat(F.lit(f"{declared.name}: value does not fit {declared.dataType.simpleString()}: "), value.cast("string"))
+def _fits(value: Column, ok: Column, declared: StructField, key: Column) -> Column:
+    """The value, or the failure of the load, naming the row's key, where a given value does not fit its column."""
+    kind = declared.dataType.simpleString()
+    message = F.concat(F.lit(f"{declared.name}: value does not fit {kind}: "), value.cast("string"), F.lit(" in "), key)
     return F.when(value.isNotNull() & ~ok, F.raise_error(message)).otherwise(value)
 
 
-def coerce(landed: StructField, declared: StructField, cut: bool = False) -> Column:
+#: Texts that are read as dates: a day with or without hyphens, a time behind it, or a month.
+_DAY_TEXT, _HYPHENED, _MONTH_TEXT = "^[0-9]{8}$", "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$", "^[0-9]{6}$"
+
+
+def coerce(landed: StructField, declared: StructField, cut: bool = False, key: Column | None = None) -> Column:
     """Landed value to the declared type. What cannot be read becomes null; what can be read but
     does not fit the column fails the load. Values that already have the type pass through, so
-    that filters on them still reach the scan. ``cut`` text is cut to its limit later."""
-    value, kind = F.col(landed.name), declared.dataType
-    limit = declared.metadata.get("max_bytes")
+    that filters on them still reach the scan, unless the column limits their digits. ``cut`` text is
+    cut to its limit later. ``key`` is the text that names a row in the failure."""
+    value, kind, key = F.col(landed.name), declared.dataType, F.lit("a row") if key is None else key
+    limit, digits = declared.metadata.get("max_bytes"), declared.metadata.get("max_digits")
     if isinstance(kind, StringType) and limit and not cut:
         as_text = value.cast("string")
-        return _fits(as_text, F.octet_length(as_text) <= limit, declared)
+        return _fits(as_text, F.octet_length(as_text) <= limit, declared, key)
+    if isinstance(kind, (DecimalType, IntegerType, LongType)) and (landed.dataType != kind or digits):
+        # a number that is too large for any decimal is read as double, and fits nothing
+        exact, rough = value.try_cast("decimal(38,10)"), value.try_cast("double")
+        finite = F.when(~F.isnan(rough) & (F.abs(rough) < F.lit(float("inf"))), value)
+        rounded = F.bround(exact, kind.scale if isinstance(kind, DecimalType) else 0)
+        narrow = rounded.try_cast(kind if digits is None else DecimalType(digits, 0))
+        fitting = _fits(finite, narrow.isNotNull(), declared, key)
+        return F.when(fitting.isNotNull(), rounded).try_cast(kind)
     if landed.dataType == kind:
         return value
     if isinstance(kind, DateType):
         as_text = value.cast("string")
-        month = F.try_to_date(F.concat(F.when(as_text.rlike("^[0-9]{6}$"), as_text), F.lit("01")), "yyyyMMdd")
-        day = F.when(~as_text.rlike("^[0-9]{6}$"), F.coalesce(F.try_to_date(as_text, "yyyyMMdd"), as_text.try_cast("date")))
-        return F.coalesce(month, day)
-    if isinstance(kind, DecimalType):
-        number = F.bround(value.try_cast("decimal(38,10)"), kind.scale)
-        return _fits(number, number.try_cast(kind).isNotNull(), declared).try_cast(kind)
+        month = F.try_to_date(F.concat(F.when(as_text.rlike(_MONTH_TEXT), as_text), F.lit("01")), "yyyyMMdd")
+        day = F.try_to_date(F.when(as_text.rlike(_DAY_TEXT), as_text), "yyyyMMdd")
+        return F.coalesce(month, day, F.when(as_text.rlike(_HYPHENED), as_text).try_cast("date"))
     if isinstance(kind, StringType):
         return value.cast("string")
     return value.try_cast(kind)
@@ -355,12 +369,14 @@ def typed(context: Context, spec: DatasetSpec, landed: DataFrame, end: Column) -
     """
     fixed = {"today": F.to_date(context.clock), "cutoff": end, "null": F.lit(None)}
     tags = {name: fixed[v] if v in fixed else F.lit(v) for name, v in spec.constants}
+    known = [c for c in spec.key if c in landed.columns]
+    key = F.concat_ws(" ", F.lit("row"), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in known])
     columns = []
     for declared in spec.schema:
         if declared.name in tags:
             value = tags[declared.name]
         else:
-            value = coerce(landed.schema[declared.name], declared, declared.name in spec.cut_text)
+            value = coerce(landed.schema[declared.name], declared, declared.name in spec.cut_text, key)
         if declared.name in spec.cut_text:
             value = text.truncate_bytes(value, declared.metadata["max_bytes"])
         columns.append(value.cast(declared.dataType).alias(declared.name))
@@ -382,6 +398,17 @@ def from_source_columns(spec: DatasetSpec, raw: DataFrame) -> DataFrame:
     return raw.toDF(*spec.landed_columns, *raw.columns[len(spec.landed_columns):])
 
 
+# --- check -----------------------------------------------------------------------------
+
+
+def ensure_unique(spec: DatasetSpec, rows: DataFrame) -> None:
+    """Fail the load if a key comes twice in written rows. One action, and one offender is enough."""
+    twice = checks.violations(rows, spec.key, {}).first() if spec.key else None
+    if twice is not None:
+        key = ", ".join(f"{c} {twice[c]}" for c in spec.key)
+        raise ValueError(f"{spec.name}: {twice['n_rows']} rows with the key {key}")
+
+
 # --- publish ---------------------------------------------------------------------------
 
 
@@ -401,14 +428,15 @@ def publish(
             new = writes.absent_rows(table.read_batches(), rows, key, list(ARRIVAL), within)
             _commit(context, spec, batch, (table, new))
         case spec_rules.SLICES:
-            table.replace_partitions(rows, spec.slices, batch)
+            table.replace_partitions(rows, spec.slices, batch, partial(ensure_unique, spec))
         case spec_rules.LIKE:
             new = table.stage(rows.select(*names), batch)
             if not new.isEmpty():
-                table.write_version(writes.replace_like(table.read_version(), new, *spec.rules, planned))
+                after = writes.replace_like(table.read_version(), new, *spec.rules, planned)
+                table.write_version(after, partial(ensure_unique, spec))
         case spec_rules.SNAPSHOT:
             if not rows.isEmpty():
-                table.write_version(rows)
+                table.write_version(rows, partial(ensure_unique, spec))
         case spec_rules.RANGE:
             new = table.stage(rows.withColumn("_year", F.year(spec.date)), batch)
             table.write_marked(new, new, _slices(spec), table.next_batch(context.attempt))
@@ -540,7 +568,9 @@ def run_pair(
         loaded = not whole.isEmpty()
         if loaded:
             parts = [(table, rows.join(whole, unit, "left_semi")) for table, rows in ((one, left), (two, right))]
-            publish_together(context.batch, *parts, (kept, units.islands(whole, *unit)))
+            specs = {spec.name: spec for spec, _ in (first, second)}
+            unique = lambda table, rows: ensure_unique(specs[table.name], rows) if table.name in specs else None
+            publish_together(context.batch, *parts, (kept, units.islands(whole, *unit)), check=unique)
     except Exception:
         _log(context, first[0], end, failed=True)
         raise

@@ -262,6 +262,25 @@ def check_unique_key(t: Tables) -> DataFrame:
     return checks.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
+@query(f"""WITH landed AS (SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS trade_date, CAST(l_extendedprice AS DECIMAL(18,2)) AS close, l_quantity
+  FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-12-01' AND l_shipdate < TIMESTAMP '1999-02-01'),
+stored AS (SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS trade_date, CAST(count(*) AS BIGINT) AS n_stored FROM lineitem
+  WHERE l_shipdate < TIMESTAMP '{SPLIT}' AND l_returnflag = 'R' GROUP BY 1, 2),
+keys AS (SELECT symbol, trade_date, CAST(count(*) AS BIGINT) AS n_rows, bool_or(close >= 100000) AS wide, bool_or(l_quantity >= 50) AS many
+  FROM landed GROUP BY 1, 2)
+SELECT symbol, trade_date, n_rows, coalesce(n_stored, 0) AS n_stored,
+  concat_ws(',', CASE WHEN wide THEN 'close' END, CASE WHEN many THEN 'volume' END) AS misfits
+FROM keys LEFT JOIN stored USING (symbol, trade_date) WHERE n_rows + coalesce(n_stored, 0) > 1 OR wide OR many""")
+def check_before_publish(t: Tables) -> DataFrame:
+    """Keys that a load would have to fail for: they land twice, are stored already, or hold a value that
+    does not fit its column."""
+    trades = t.trades().select("symbol", "trade_date", F.col("price").alias("close"), "volume", "l_returnflag")
+    landed = trades.filter(F.col("trade_date").between("1998-12-01", "1999-01-31"))
+    stored = trades.filter((F.col("trade_date") < SPLIT) & (F.col("l_returnflag") == "R"))
+    rules = {"close": numbers.fits_decimal(F.col("close"), 7, 2), "volume": F.col("volume") < 50}
+    return checks.violations(landed, ["symbol", "trade_date"], rules, stored, within="trade_date")
+
+
 @query("""SELECT 'text' AS column_name, count(*) FILTER (WHERE strlen(text) > 2000) AS n_misfits FROM documents
 UNION ALL SELECT 'lang', count(*) FILTER (WHERE strlen(lang) > 1) FROM documents
 UNION ALL SELECT 'l_extendedprice', count(*) FILTER (WHERE TRY_CAST(l_extendedprice AS DECIMAL(6,2)) IS NULL) FROM lineitem

@@ -25,7 +25,7 @@ NAMED_TYPES = {
     "low": "dec(10,2)",
     "change": "dec(10,2)",
     "last_price": "dec(10,2)",
-    "volume": "long",
+    "volume": "long(10)",
     "industry": "string(32)",
 }
 SUFFIX_TYPES = (("_date", "date"), ("_pct", "dec(8,2)"))
@@ -41,7 +41,7 @@ def _type_of(name: str) -> str:
 
 
 def _field(token: str) -> T.StructField:
-    """``name`` or ``name=type``; string(n) carries its byte limit as metadata."""
+    """``name`` or ``name=type``; string(n) carries its byte limit, int(n) and long(n) their digits as metadata."""
     name, _, kind = token.partition("=")
     kind = kind or _type_of(name)
     numbers = [int(n) for n in re.findall(r"\d+", kind)]
@@ -52,7 +52,9 @@ def _field(token: str) -> T.StructField:
         return T.StructField(name, T.StringType(), True, metadata)
     if kind.startswith("dec"):
         return T.StructField(name, T.DecimalType(*numbers), True, metadata)
-    return T.StructField(name, _SIMPLE[kind], True, metadata)
+    if numbers:
+        metadata["max_digits"] = numbers[0]
+    return T.StructField(name, _SIMPLE[kind.partition("(")[0]], True, metadata)
 
 
 # --- dataset specification -------------------------------------------------------------
@@ -124,8 +126,8 @@ BOARD_BARS = (
     "amplitude_pct turnover_pct=dec(5,2)"
 )
 BOARD_NAMES = (
-    "trade_date rank=int board_name board_code last_price change change_pct=dec(10,2) market_cap "
-    "turnover_pct=dec(5,2) risers=int fallers=int leader=string(32) leader_change_pct=dec(5,2)"
+    "trade_date rank=int(4) board_name board_code last_price change change_pct=dec(10,2) market_cap "
+    "turnover_pct=dec(5,2) risers=int(4) fallers=int(4) leader=string(32) leader_change_pct=dec(5,2)"
 )
 MEMBERS = "trade_date board_code board_name symbol symbol_name"
 MARGIN_TOTALS = "trade_date margin_balance margin_buy short_volume short_balance short_sell_volume total_balance"
@@ -264,7 +266,7 @@ SPECS: tuple[DatasetSpec, ...] = (
     DatasetSpec(
         "stock_value_em", "valuation per security and day",
         "trade_date symbol=string(8) symbol_name exchange board_code=string(8) board_name market_cap float_cap close change_pct "
-        "total_shares=long float_shares=long "
+        "total_shares=long(16) float_shares=long(16) "
         + " ".join(f"{m}=dec(16,2)" for m in ("pe_ttm", "pe_lar", "pb", "pcf_ttm", "pcf_lar", "ps_ttm", "peg")),
         ("symbol", "trade_date", "board_code"), APPEND,
         "trade_date", "2018-01-01", cutoff="day_closing", windows="trading_days",
@@ -307,19 +309,19 @@ SPECS: tuple[DatasetSpec, ...] = (
     ),
     DatasetSpec(
         "stock_sse_summary", "overview of the Shanghai exchange",
-        "trade_date item=string(16) listed_count=int total_shares=dec(12,2) float_shares=dec(12,2) market_cap=dec(12,2) "
+        "trade_date item=string(16) listed_count=int(6) total_shares=dec(12,2) float_shares=dec(12,2) market_cap=dec(12,2) "
         "float_cap=dec(12,2) avg_pe=dec(8,2)", ("trade_date", "item"), APPEND,
         "trade_date", "1990-01-01", cutoff="yesterday_strict",
     ),
     DatasetSpec(
         "stock_sse_deal_daily", "daily deals of the Shanghai exchange",
-        "trade_date board=string(16) listed_count=int market_cap=dec(10,2) float_cap=dec(10,2) amount=dec(10,2) volume=dec(10,2) "
+        "trade_date board=string(16) listed_count=int(6) market_cap=dec(10,2) float_cap=dec(10,2) amount=dec(10,2) volume=dec(10,2) "
         "avg_pe=dec(6,2) turnover_pct=dec(5,2) float_turnover_pct=dec(5,2)", ("trade_date", "board"), APPEND,
         "trade_date", "1990-01-01", floor="2022-01-01", cutoff="day", windows="trading_days",
     ),
     DatasetSpec(
         "stock_szse_summary", "categories of the Shenzhen exchange",
-        "trade_date category=string(24) count=long amount=dec(24,5) market_cap=dec(24,5) float_cap=dec(24,5)",
+        "trade_date category=string(24) count=long(10) amount=dec(24,5) market_cap=dec(24,5) float_cap=dec(24,5)",
         ("trade_date", "category"), APPEND,
         "trade_date", "1990-01-01", floor="2010-01-02", windows="trading_days",
     ),
@@ -331,8 +333,8 @@ SPECS: tuple[DatasetSpec, ...] = (
     ),
     DatasetSpec(
         "stock_szse_sector_summary", "sectors of the Shenzhen exchange",
-        "month name=string(16) name_en=string(32) trade_days=int amount=long amount_pct=dec(5,2) volume volume_pct=dec(5,2) "
-        "deals=long deals_pct=dec(5,2)", ("month", "name"), APPEND,
+        "month name=string(16) name_en=string(32) trade_days=int(2) amount=long(18) amount_pct=dec(5,2) volume=long(18) volume_pct=dec(5,2) "
+        "deals=long(18) deals_pct=dec(5,2)", ("month", "name"), APPEND,
         "month", "1990-01-01", step=31, floor="2019-01-01", cutoff="month_end", windows="months_until_gap",
     ),
     DatasetSpec(
@@ -356,23 +358,23 @@ SPECS: tuple[DatasetSpec, ...] = (
     ),
     DatasetSpec(
         "stock_hk_short_sale", "reported short positions, Hong Kong",
-        "trade_date symbol symbol_name short_shares=long short_value=long", ("symbol", "trade_date"), APPEND,
+        "trade_date symbol symbol_name short_shares=long(16) short_value=long(16)", ("symbol", "trade_date"), APPEND,
         "trade_date", "2012-08-20", step=7, cutoff="prev_week_friday", windows="split:70",
     ),
     DatasetSpec(
         "stock_hk_short_sale_em", "short turnover, Hong Kong",
-        "trade_date symbol symbol_name last_price short_shares=long short_avg_price=dec(10,2) short_amount_10k=long "
-        "amount_10k=long short_pct=dec(5,2)", ("symbol", "trade_date"), APPEND,
+        "trade_date symbol symbol_name last_price short_shares=long(16) short_avg_price=dec(10,2) short_amount_10k=long(10) "
+        "amount_10k=long(10) short_pct=dec(5,2)", ("symbol", "trade_date"), APPEND,
         "trade_date", "1970-01-01", scope="symbol", floor="-1y", cutoff="day", windows="split:50",
     ),
     DatasetSpec(
         "stock_hk_ccass_records", "custody by participant, Hong Kong",
-        "trade_date symbol symbol_name participant_id=string(12) participant_name=string(48) holding=long pct=dec(5,2)",
+        "trade_date symbol symbol_name participant_id=string(12) participant_name=string(48) holding=long(16) pct=dec(5,2)",
         (), PAIR, "trade_date", "1970-01-01", scope="symbol", floor="-1y", cutoff="yesterday", windows="business_days",
     ),
     DatasetSpec(
         "stock_hk_ccass_records_summary", "custody by holder type, Hong Kong",
-        "trade_date symbol symbol_name holder_type=string(48) holding=long participants=int pct=dec(5,2)",
+        "trade_date symbol symbol_name holder_type=string(48) holding=long(16) participants=int(8) pct=dec(5,2)",
         ("symbol", "trade_date", "holder_type"), PAIR,
         "trade_date", "1970-01-01", scope="symbol", floor="-1y", cutoff="yesterday", windows="business_days",
     ),

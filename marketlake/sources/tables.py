@@ -20,7 +20,7 @@ published under one unit id appears together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +30,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from marketlake.operators import reshape
 
 ROWS_PER_FILE = 5_000_000
+Check = Callable[[DataFrame], None]
 
 
 def read_or_create(spark: SparkSession, path: str, schema: StructType, partition: Sequence[str]) -> DataFrame:
@@ -163,9 +164,12 @@ class LakeTable:
             return reshape.typed_empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/_version={newest}")
 
-    def write_version(self, df: DataFrame) -> None:
+    def write_version(self, df: DataFrame, check: Check | None = None) -> None:
+        """``check`` sees the written rows before they are committed, and fails the write by raising."""
         version = f"{int(self._newest() or 0) + 1:010d}"
         self._write(df, f"_version={version}")
+        if check is not None:
+            check(self.spark.read.schema(self.schema).parquet(f"{self.path}/_version={version}"))
         self.lake.commit(self.name, version)
 
     # --- partitions ---
@@ -174,23 +178,28 @@ class LakeTable:
         rows = read_or_create(self.spark, self.path, self.schema, columns)
         return rows.select(*self.schema.fieldNames())
 
-    def replace_partitions(self, df: DataFrame, columns: Sequence[str], batch: str) -> None:
-        """Replace every partition that occurs in ``df``; others stay.
+    def replace_partitions(self, df: DataFrame, columns: Sequence[str], batch: str, check: Check | None = None) -> None:
+        """Replace every partition that occurs in ``df``; others stay. ``check`` sees the staged rows.
 
         Rows are rebalanced by partition first: small partitions end in one file each, and one
         that holds most of the rows is split over many tasks.
         """
         staged = self.stage(df.select(*self.schema.fieldNames()), batch)
+        if check is not None:
+            check(staged)
         ordered = staged.hint("rebalance", *[F.col(c) for c in columns])
         ordered.sortWithinPartitions(*columns, *self.sort).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*columns).parquet(self.path)
 
 
-def publish_together(batch: str, *parts: tuple[LakeTable, DataFrame]) -> None:
-    """Several tables under one batch id, or none: the unit is committed after all writes."""
+def publish_together(batch: str, *parts: tuple[LakeTable, DataFrame], check: Callable[[LakeTable, DataFrame], None] | None = None) -> None:
+    """Several tables under one batch id, or none: the unit is committed after all writes. ``check``
+    sees each table's written rows, and keeps the unit from being committed by raising."""
     for table, rows in parts:
         table.write_batch(rows, batch, unit=batch)
+        if check is not None:
+            check(table, table.read_batch(batch))
     parts[0][0].lake.commit("units", batch)
 
 

@@ -344,6 +344,57 @@ def test_what_does_not_fit_fails_the_load(spark, lake, calendar):
     assert rows(runner.stored_rows(ctx, spec), "month", "market_pct") == [(date(2020, 3, 1), None)]
 
 
+def test_whole_numbers_that_do_not_fit_fail_the_load(spark, lake, calendar):
+    spec = schema.REGISTRY["stock_szse_sector_summary"]
+    ctx = context(lake, calendar, 2019, 7, 2, 9)
+    one = {"month": "201901", "name": "n"}
+    for column, value in (("trade_days", "99999999999"), ("trade_days", "100"), ("amount", "12345678901234567890"), ("deals", "1e40"), ("volume_pct", "1e40")):
+        with pytest.raises(Exception, match=f"{column}: value does not fit .*{value.replace('.', '[.]')} in row 201901 n"):
+            runner.run(ctx, spec, landed(spark, spec, [{**one, column: value}]))
+    assert rows(runner.stored_rows(ctx, spec)) == [] and log_of(ctx)[spec.name][0] == synclog.FAILED
+    runner.run(ctx, spec, landed(spark, spec, [{**one, "trade_days": "22", "amount": "123456789012345678", "deals": "n/a", "volume": "7.5"}]))
+    got = rows(runner.stored_rows(ctx, spec), "trade_days", "amount", "deals", "volume")
+    assert got == [(22, 123456789012345678, None, 8)]
+
+
+@pytest.mark.parametrize("text, day", [
+    ("20240105", date(2024, 1, 5)), ("2024-01-05", date(2024, 1, 5)), ("2024-1-5", date(2024, 1, 5)), ("2024-01-05 10:30:00", date(2024, 1, 5)),
+    ("202401", date(2024, 1, 1)), ("2024", None), ("20240", None), ("2024010", None), ("20241301", None), ("n/a", None), ("", None), (None, None),
+])
+def test_known_date_forms(text, day, spark):
+    spec = schema.REGISTRY["stock_margin_sse"]
+    df = landed(spark, spec, [{"trade_date": text}])
+    assert df.select(runner.coerce(df.schema["trade_date"], spec.schema["trade_date"])).first()[0] == day
+
+
+def test_keys_that_come_twice_fail_the_load(spark, lake, calendar):
+    ctx = context(lake, calendar, 2024, 2, 15, 9)
+    reports = schema.REGISTRY["stock_yjbb_em"]  # the last arrival does not count here: the key has to be unique
+    one = {"report_date": "20231231", "symbol": "000001", "eps": "1"}
+    with pytest.raises(ValueError, match="2 rows with the key report_date 2023-12-31, symbol 000001"):
+        runner.run(ctx, reports, landed(spark, reports, [one, {**one, "eps": "2"}, {**one, "symbol": "000002"}]))
+    assert rows(runner.stored_rows(ctx, reports)) == []
+    boards = schema.REGISTRY["stock_board_concept_name_em"]
+    with pytest.raises(ValueError, match="2 rows with the key board_name x"):
+        runner.run(ctx, boards, landed(spark, boards, [{"board_name": "x"}, {"board_name": "x"}]))
+    bars = schema.REGISTRY["stock_zh_a_hist_daily_qfq"]
+    universe = spark.createDataFrame([("1",)], "symbol string")
+    with pytest.raises(ValueError, match="2 rows with the key trade_date 2024-02-01, symbol 1"):
+        runner.run(ctx, bars, landed(spark, bars, [{"symbol": "1", "trade_date": "20240201"}] * 2), universe)
+    stocks = schema.REGISTRY["stock_basic_info"]
+    record = lambda b: landed(spark, stocks, [{"symbol": "1", "symbol_name": "n", "exchange": "SSE", "board": b, "list_date": "19990101"}])
+    runner.run(ctx, stocks, record("main"))
+    with pytest.raises(ValueError, match="2 rows with the key symbol 1, exchange SSE"):  # stored on another board
+        runner.run(ctx, stocks, record("star"))
+    assert rows(runner.stored_rows(ctx, stocks), "board") == [("main",)]
+    summary, detail = schema.REGISTRY["stock_hk_ccass_records_summary"], schema.REGISTRY["stock_hk_ccass_records"]
+    s = landed(spark, summary, [{"trade_date": "20240201", "symbol": "1", "holder_type": "t"}] * 2)
+    d = landed(spark, detail, [{"trade_date": "20240201", "symbol": "1", "participant_id": "a"}])
+    with pytest.raises(ValueError, match="holder_type t"):
+        runner.run_pair(ctx, (summary, s), (detail, d), universe)
+    assert rows(runner.stored_rows(ctx, summary)) == [] and {v[0] for v in log_of(ctx).values()} >= {synclog.FAILED}
+
+
 def test_one_sided_units_wait(spark, lake, calendar):
     summary, detail = schema.REGISTRY["stock_hk_ccass_records_summary"], schema.REGISTRY["stock_hk_ccass_records"]
     universe = spark.createDataFrame([("1",), ("2",)], "symbol string")
