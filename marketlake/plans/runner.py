@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
@@ -20,6 +20,7 @@ from marketlake.functions import dates, text
 from marketlake.operators import aggregates, checks, filters, joins, reshape, revision, synclog, writes
 from marketlake.plans import kept, units, windows
 from marketlake.schema import DatasetSpec
+from marketlake.sources import rejects
 from marketlake.sources.landing import ARRIVAL, folder_day, folder_of
 from marketlake.sources.tables import Lake, LakeTable, publish_together
 
@@ -541,6 +542,29 @@ def run(
     _log(context, spec, end, failed=False)
 
 
+def rejects_table(context: Context) -> LakeTable:
+    return LakeTable(context.lake, "rejected_rows", rejects.SCHEMA, ("table_name", "file"))
+
+
+def accept(context: Context, spec: DatasetSpec, judged: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Good rows of a judged landing, and the counts of rows and of rejects.
+
+    The landing is parsed once: judged rows are written, and counted by that write. Rejects that the
+    table of rejects does not hold yet are appended to it, so a landing may be read again.
+    """
+    counter = Observation()
+    counts = {"rows": F.count(F.lit(1)), "rejects": F.count_if(F.col(rejects.REASON).isNotNull())}
+    counted = judged.observe(counter, *[c.alias(n) for n, c in counts.items()])
+    label = f"{context.batch}-{spec.name}"
+    staged = context.table(spec).stage(counted, f"{label}-judged")
+    found = {n: int(counter.get[n]) for n in counts}
+    if found["rejects"]:
+        table = rejects_table(context)
+        new = joins.without(rejects.rejected(staged, spec.name), table.read_batches(), rejects.KEY)
+        table.write_batch(new, f"{label}-{uuid.uuid4().hex[:8]}")
+    return rejects.good(staged), found
+
+
 def run_pair(
     context: Context,
     first: tuple[DatasetSpec, DataFrame],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marketlake.functions import dates, numbers, text
+from marketlake.sources import rejects
 
 # Field names of the landed short-position report, in file order.
 SHORT_REPORT_FIELDS = "trade_date string, symbol string, symbol_name string, short_shares string, short_value string"
@@ -80,15 +81,20 @@ def read_landing(spark: SparkSession, path: str, schema: StructType | None = Non
     return with_arrival(reader.parquet(path))
 
 
+#: Column that holds a line or payload which could not be taken apart.
+BROKEN = "_broken"
+_LENIENT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+
+
+def read_short_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """Fields and arrival of all landed short-position reports of some folders, unreadable lines included."""
+    reader = spark.read.schema(f"{SHORT_REPORT_FIELDS}, {BROKEN} string").option("header", True).options(**_LENIENT)
+    return with_arrival(reader.csv(list(paths)), lines=True)
+
+
 def read_short_reports(spark: SparkSession, path: str) -> DataFrame:
     """All landed short-position reports of a directory, normalised."""
-    raw = (
-        spark.read.schema(SHORT_REPORT_FIELDS)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
-    return short_positions(raw)
+    return short_positions(read_short_lines(spark, path).drop(BROKEN, *ARRIVAL))
 
 
 def parse_short_report_lines(lines: DataFrame, column: str) -> DataFrame:
@@ -97,31 +103,70 @@ def parse_short_report_lines(lines: DataFrame, column: str) -> DataFrame:
     return short_positions(lines.select(fields.alias("_r")).select("_r.*"))
 
 
-def short_positions(raw: DataFrame) -> DataFrame:
-    """Report rows with a parsed date, a five-digit code and a positive position.
-
-    The code stays text, so its leading zeros survive.
-    """
+def _short_columns() -> list[Column]:
     day = dates.parse_date(text.strip_chars(F.col("trade_date"), "/"), "ddMMyyyy")
-    return raw.select(
+    return [
         day.alias("trade_date"),
         text.pad_code(F.col("symbol"), 5).alias("symbol"),
-        "symbol_name",
+        F.col("symbol_name"),
         numbers.to_number(F.col("short_shares"), "bigint").alias("short_shares"),
         numbers.to_number(F.col("short_value"), "bigint").alias("short_value"),
-    ).filter(F.col("short_shares") > 0)
+    ]
 
 
-def explode_payload(df: DataFrame, body: str, fields: dict[str, str]) -> DataFrame:
+def short_positions(raw: DataFrame) -> DataFrame:
+    """Report rows with a parsed date, a five-digit code and a positive position.
+
+    The code stays text, so its leading zeros survive.
+    """
+    return raw.select(*_short_columns()).filter(F.col("short_shares") > 0)
+
+
+def judged_short_positions(lines: DataFrame) -> DataFrame:
+    """The same with arrival, for :func:`read_short_lines`; lines without a readable date, code or
+    position are judged instead of dropped. A position that is not above zero is no reject: it is left out."""
+    fields = [f.split()[0] for f in SHORT_REPORT_FIELDS.split(", ")]
+    raw = F.coalesce(F.col(BROKEN), F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields]))
+    rows = lines.select(*_short_columns(), *ARRIVAL, BROKEN, raw.alias("_line"))
+    broken = {
+        "fields": F.col(BROKEN).isNotNull(),
+        "trade_date": F.col("trade_date").isNull(),
+        "symbol": F.col("symbol").isNull(),
+        "short_shares": F.col("short_shares").isNull(),
+    }
+    judged = rejects.judged(rows, F.col("_line"), broken).drop(BROKEN, "_line")
+    return judged.filter(F.col(rejects.REASON).isNotNull() | (F.col("short_shares") > 0))
+
+
+def explode_payload(df: DataFrame, body: str, fields: dict[str, str], broken: bool = False) -> DataFrame:
     """Rows of ``result.data[]`` in each payload, renamed; other columns are kept.
 
-    Values are read as text, and numbers are coerced by the caller.
+    Values are read as text, and numbers are coerced by the caller. With ``broken`` a payload that is no
+    JSON gives one row with its text in the column of that name.
     """
-    element = ", ".join(f"`{name}` string" for name in fields)
-    schema = f"result struct<data: array<struct<{element.replace('` string', '`: string')}>>>"
+    element = ", ".join(f"`{name}`: string" for name in fields)
+    schema = f"result struct<data: array<struct<{element}>>>, {BROKEN} string"
     kept = [c for c in df.columns if c != body]
-    rows = df.select(*kept, F.inline(F.from_json(F.col(body), schema)["result"]["data"]))
-    return rows.withColumnsRenamed(fields)
+    read = df.select(*kept, F.from_json(F.col(body), schema, _LENIENT).alias("_read"))
+    whole, text_ = F.col("_read")["result"]["data"], F.col("_read")[BROKEN]
+    if not broken:
+        return read.select(*kept, F.inline(whole)).withColumnsRenamed(fields)
+    rows = read.select(*kept, text_.alias(BROKEN), F.inline_outer(whole)).withColumnsRenamed(fields)
+    # a readable payload without rows gives none
+    return rows.filter(F.col(BROKEN).isNotNull() | F.coalesce(*fields.values()).isNotNull())
+
+
+def _valuation_columns() -> list[Column]:
+    measures = list(VALUATION_FIELDS.values())[6:]
+    return [
+        F.col("trade_date").try_cast("date").alias("trade_date"),
+        F.col("symbol"),
+        F.col("symbol_name"),
+        text.split_last(F.col("full_code"), ".").alias("exchange"),
+        F.col("board_code"),
+        F.col("board_name"),
+        *[F.bround(numbers.to_number(F.col(c)), 2).alias(c) for c in measures],
+    ]
 
 
 def valuation_rows(payloads: DataFrame, body: str = "body") -> DataFrame:
@@ -129,20 +174,18 @@ def valuation_rows(payloads: DataFrame, body: str = "body") -> DataFrame:
 
     Other columns of the payload table, such as its arrival order, are kept.
     """
-    rows = explode_payload(payloads, body, VALUATION_FIELDS)
     kept = [c for c in payloads.columns if c != body]
-    measures = list(VALUATION_FIELDS.values())[6:]
-    rounded = [F.bround(numbers.to_number(F.col(c)), 2).alias(c) for c in measures]
-    return rows.select(
-        *kept,
-        rows.trade_date.try_cast("date").alias("trade_date"),
-        "symbol",
-        "symbol_name",
-        text.split_last(rows.full_code, ".").alias("exchange"),
-        "board_code",
-        "board_name",
-        *rounded,
-    )
+    return explode_payload(payloads, body, VALUATION_FIELDS).select(*kept, *_valuation_columns())
+
+
+def judged_valuations(payloads: DataFrame, body: str = "body") -> DataFrame:
+    """The same, with payloads that are no JSON and rows without date or code judged."""
+    kept = [c for c in payloads.columns if c != body]
+    rows = explode_payload(payloads, body, VALUATION_FIELDS, broken=True)
+    raw = F.coalesce(F.col(BROKEN), F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in VALUATION_FIELDS.values()]))
+    broken = {"payload": F.col(BROKEN).isNotNull(), "trade_date": F.col("trade_date").isNull(), "symbol": F.col("symbol").isNull()}
+    rows = rows.select(*kept, BROKEN, raw.alias("_line"), *_valuation_columns())
+    return rejects.judged(rows, F.col("_line"), broken).drop(BROKEN, "_line")
 
 
 def first_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions import dates, numbers, text
+from marketlake.sources import rejects
 
 # Patterns of list rows, table rows, cells and links in landed pages.
 TABLE_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
@@ -56,15 +57,12 @@ def report_links(pages: DataFrame, page: str = "page_id", html: str = "html") ->
     )
 
 
-def short_turnover(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
-    """Short-turnover rows of the first table body of each page."""
-    body = pages.select(page, F.regexp_extract(html, TABLE_BODY, 1).alias("body"))
-    rows = fragments(body, page, "body", TABLE_ROW)
-    cells = rows.select(page, "pos", all_matches(F.col("fragment"), CELL).alias("cells"))
-    cell = lambda i: plain_text(F.col("cells")[i])
-    return cells.filter(F.size("cells") == 10).select(
-        page,
-        "pos",
+TURNOVER_CELLS = 10
+
+
+def _turnover_columns() -> list[Column]:
+    cell = lambda i: plain_text(F.get("cells", F.lit(i)))
+    return [
         dates.parse_date(text.strip_chars(cell(9), "-"), "yyyyMMdd").alias("trade_date"),
         cell(1).alias("symbol"),
         cell(2).alias("symbol_name"),
@@ -74,7 +72,31 @@ def short_turnover(pages: DataFrame, page: str = "page_id", html: str = "html")
         numbers.to_number(text.drop_unit(cell(6))).alias("short_amount_10k"),
         numbers.to_number(text.drop_unit(cell(7))).alias("amount_10k"),
         numbers.to_number(text.drop_unit(cell(8))).alias("short_pct"),
-    )
+    ]
+
+
+def short_turnover(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
+    """Short-turnover rows of the first table body of each page."""
+    body = pages.select(page, F.regexp_extract(html, TABLE_BODY, 1).alias("body"))
+    rows = fragments(body, page, "body", TABLE_ROW)
+    cells = rows.select(page, "pos", all_matches(F.col("fragment"), CELL).alias("cells"))
+    return cells.filter(F.size("cells") == TURNOVER_CELLS).select(page, "pos", *_turnover_columns())
+
+
+def judged_short_turnover(pages: DataFrame, html: str = "html") -> DataFrame:
+    """The same with arrival, from pages(html, _batch, _pos): rows with another number of cells, or
+    without a readable date or code, are judged. Numbers that cannot be read are null, as a price may be a dash."""
+    body = F.regexp_extract(html, TABLE_BODY, 1)
+    found = pages.select("_batch", F.col("_pos").alias("_page"), F.posexplode(all_matches(body, TABLE_ROW)).alias("_row", "fragment"))
+    cells = found.withColumn("cells", all_matches(F.col("fragment"), CELL))
+    place = F.struct(F.col("_page").alias("page"), F.col("_row").alias("row")).alias("_pos")
+    rows = cells.select("_batch", place, F.size("cells").alias("_cells"), "fragment", *_turnover_columns())
+    broken = {
+        "cells": F.col("_cells") != TURNOVER_CELLS,
+        "trade_date": F.col("trade_date").isNull(),
+        "symbol": F.coalesce(F.col("symbol"), F.lit("")) == "",
+    }
+    return rejects.judged(rows, F.col("fragment"), broken).drop("_cells", "fragment")
 
 
 # --- custody pages: two tables in one page ---------------------------------------------
@@ -187,23 +209,41 @@ CATALOGUE_LABELS = ("接口: ", "目标地址: ", "描述: ", "限量: ")
 FIRST_LABELLED, FEWEST_TAGS = 2, 6
 
 
-def interface_catalogue(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Interfaces described in pages(html): sections with more than six tags, of which the third
-    and fourth carry the fixed labels.
+def _catalogue_sections(pages: DataFrame, html: str, kept: list[str]) -> DataFrame:
+    """(kept, _section, s, tags, lines): the sections of each page with their first labelled lines.
 
     A section is read up to the next section start, which is all that its labelled lines need.
     """
-    sections = pages.select(F.explode(after_first(F.split(html, r"(?i)<section\b"))).alias("s"))
+    sections = pages.select(*kept, F.posexplode(after_first(F.split(html, r"(?i)<section\b"))).alias("_section", "s"))
     own = F.regexp_replace("s", r"(?is)</section\b.*", "")
-    tags = sections.select(F.split(own, r"<(?=[a-zA-Z])").alias("tags"))
+    tags = sections.select(*kept, "_section", "s", F.split(own, r"<(?=[a-zA-Z])").alias("tags"))
     # tags[0] is the rest of the section tag; the text of a tag runs to its closing tag
     rest = lambda i: F.concat(F.lit("<"), F.array_join(F.slice("tags", F.lit(i + 2), F.size("tags")), "<"))
     content = lambda i: F.regexp_replace(
         F.regexp_extract(rest(i), r"(?s)^<(\w+)\b[^>]*>(.*?)</\1>", 2), ANY_TAG, ""
     )
-    lines = [content(FIRST_LABELLED + i) for i in range(4)]
-    wanted = lines[0].startswith(CATALOGUE_PREFIX) & lines[1].startswith(CATALOGUE_LABELS[1])
+    lines = F.array(*[content(FIRST_LABELLED + i) for i in range(4)])
+    return tags.withColumn("lines", F.when(F.size("tags") - 1 > FEWEST_TAGS, lines))
+
+
+def _catalogue_columns() -> list[Column]:
     names = ("interface", "url", "description", "note")
-    return tags.filter((F.size("tags") - 1 > FEWEST_TAGS) & wanted).select(
-        *[text.strip_label(v, label).alias(n) for v, label, n in zip(lines, CATALOGUE_LABELS, names)]
-    )
+    return [text.strip_label(F.col("lines")[i], CATALOGUE_LABELS[i]).alias(n) for i, n in enumerate(names)]
+
+
+def interface_catalogue(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Interfaces described in pages(html): sections with more than six tags, of which the third
+    and fourth carry the fixed labels."""
+    wanted = F.col("lines")[0].startswith(CATALOGUE_PREFIX) & F.col("lines")[1].startswith(CATALOGUE_LABELS[1])
+    return _catalogue_sections(pages, html, []).filter(wanted).select(*_catalogue_columns())
+
+
+def judged_catalogue(pages: DataFrame, html: str = "html") -> DataFrame:
+    """The same with arrival, from pages(html, _batch, _pos): a section that names an interface of
+    the wanted kind, but lacks the label or the text of its address, is judged. Other sections are no rejects."""
+    found = _catalogue_sections(pages, html, ["_batch", "_pos"]).filter(F.col("lines")[0].startswith(CATALOGUE_PREFIX))
+    place = F.struct(F.col("_pos").alias("page"), F.col("_section").alias("section")).alias("_pos")
+    labelled = F.col("lines")[1].startswith(CATALOGUE_LABELS[1]).alias("_labelled")
+    rows = found.select("_batch", place, "s", labelled, *_catalogue_columns())
+    broken = {"label": ~F.col("_labelled"), "url": F.trim("url") == ""}
+    return rejects.judged(rows, F.col("s"), broken).drop("_labelled", "s")
