@@ -40,3 +40,17 @@ def transpose(df: DataFrame, metric: str, columns: Sequence[str], metrics: Seque
     """
     long = df.unpivot(metric, list(columns), name, "_value")
     return long.groupBy(name).pivot(metric, list(metrics)).agg(F.first("_value", ignorenulls=True))
+
+
+def transpose_reports(
+    df: DataFrame, report: Sequence[str], metric: str, columns: Sequence[str], metrics: Mapping[str, str], name: str
+) -> DataFrame:
+    """Many reports of metric rows x named columns: one row per report and column, one column per
+    metric. ``metrics`` maps the labels to their names; other labels, and columns that hold nothing in a
+    report, are left out. A report's cells are combined on the map side."""
+    wanted = df.filter(F.col(metric).isin(*metrics))
+    # columns of one unpivot share their type
+    cells = wanted.select(*report, metric, *[F.col(c).cast("string").alias(c) for c in columns])
+    long = cells.unpivot([*report, metric], list(columns), name, "_value").filter("_value IS NOT NULL")
+    wide = [F.max(F.when(F.col(metric) == label, F.col("_value"))).alias(column) for label, column in metrics.items()]
+    return long.groupBy(*report, name).agg(*wide)

@@ -62,6 +62,12 @@ def _slices(spec: DatasetSpec) -> list[str]:
 
 def stored_rows(context: Context, spec: DatasetSpec) -> DataFrame:
     """Rows of the table, from whichever layout its write mode uses."""
+    if spec.name in spec_rules.KEPT_BY_CHILD:
+        return _with_kept_column(context, spec)
+    return _own_rows(context, spec)
+
+
+def _own_rows(context: Context, spec: DatasetSpec) -> DataFrame:
     table = context.table(spec)
     if spec.write in (spec_rules.APPEND, spec_rules.INSERT, spec_rules.PAIR):
         return table.read_batches()
@@ -72,6 +78,41 @@ def stored_rows(context: Context, spec: DatasetSpec) -> DataFrame:
     return table.read_marked(_slices(spec)).select(*spec.schema.fieldNames())
 
 
+# --- a parent's column that loads of its child keep ---------------------------------------
+
+
+def parent_table(context: Context, spec: DatasetSpec) -> LakeTable:
+    """Date per scope key that the loads of a child table keep for its parent."""
+    parent, column = spec.parent
+    fields = [spec.schema[spec.scope], StructField(column, DateType())]
+    return LakeTable(context.lake, f"{parent}__{column}", StructType(fields))
+
+
+def parent_dates(context: Context, spec: DatasetSpec) -> DataFrame:
+    table = parent_table(context, spec)
+    newest = table.read_newest()
+    return reshape.typed_empty(context.lake.spark, table.schema) if newest is None else newest
+
+
+def _with_kept_column(context: Context, spec: DatasetSpec) -> DataFrame:
+    """The parent's rows, with the column as its child's loads left it."""
+    column, key = spec_rules.KEPT_BY_CHILD[spec.name]
+    child = next(c for c in spec_rules.SPECS if c.parent == (spec.name, column))
+    kept_dates = parent_dates(context, child)
+    return _own_rows(context, spec).drop(column).join(kept_dates, key, "left").select(*spec.schema.fieldNames())
+
+
+def _dates_after(context: Context, spec: DatasetSpec, planned: DataFrame, rows: DataFrame) -> DataFrame:
+    """The parent's dates after a load by years: the latest row of the last planned year, or the end of the
+    year before where that year had no rows; unplanned keys keep theirs."""
+    column = spec.parent[1]
+    last = load_dates(context, spec, planned).groupBy(spec.scope).agg(F.max("_year").alias("_last"))
+    found = rows.withColumn("_year", F.year(spec.date)).join(last, spec.scope).filter("_year = _last")
+    fallback = F.make_date(F.col("_last") - 1, F.lit(12), F.lit(31))
+    new = writes.update_parent_date(last, found, spec.scope, spec.date, column, fallback).select(spec.scope, column)
+    return joins.without(parent_dates(context, spec), new, [spec.scope]).unionByName(new)
+
+
 # --- kept state --------------------------------------------------------------------------
 
 
@@ -159,6 +200,10 @@ def plan(
     For a dataset with rules, ``universe`` holds the rules, and there is a range per rule. ``marks`` replaces the stored watermark where a parent table keeps it.
     """
     default = _default_mark(context, spec)
+    if marks is None and spec.parent:
+        known = parent_dates(context, spec)
+        marks = universe.select(spec.scope).distinct().join(known, spec.scope, "left")
+        marks = marks.select(spec.scope, F.coalesce(spec.parent[1], default).alias("watermark"))
     if marks is None:
         by_state = spec.write in kept.MODES
         stored, date = (state(context, spec), "last_date") if by_state else (stored_rows(context, spec), spec.date)
@@ -394,9 +439,33 @@ def cleaned(spec: DatasetSpec, rows: DataFrame) -> DataFrame:
     return rows
 
 
+def _source_columns(raw: DataFrame) -> list[str]:
+    """Columns of the source file: all but arrival and folder."""
+    folder = folder_of(raw)
+    return [c for c in raw.columns if c not in (*ARRIVAL, *(folder[:1] if folder else ()))]
+
+
 def from_source_columns(spec: DatasetSpec, raw: DataFrame) -> DataFrame:
-    """Source files name their columns in their own language: rename them by position."""
-    return raw.toDF(*spec.landed_columns, *raw.columns[len(spec.landed_columns):])
+    """Source files name their columns in their own language: rename them by position. Another number
+    of columns than the dataset has would shift all values, and fails."""
+    source, wanted = _source_columns(raw), spec.landed_columns
+    if len(source) != len(wanted):
+        raise ValueError(f"{spec.name}: {len(source)} source columns for {len(wanted)}: {', '.join(source)}")
+    return raw.select(*[F.col(s).alias(w) for s, w in zip(source, wanted)], *[c for c in raw.columns if c not in source])
+
+
+def from_reports(spec: DatasetSpec, raw: DataFrame, date: str | None = None) -> DataFrame:
+    """Landed reports whose rows are metrics and whose columns are the table's rows: first the label of
+    the metric, then a column per row. ``date`` names a column with the reports' day, for reports that do not
+    name it. One report is what came in one file; its arrival is that of its first row."""
+    label, *names = [c for c in _source_columns(raw) if c != date]
+    by = ["_batch", *([date] if date else [])]
+    column = spec.key[1]  # a report has one row per day and item
+    raw = raw.withColumnRenamed(label, "_metric")
+    rows = reshape.transpose_reports(raw, by, "_metric", names, dict(spec.report), column)
+    if date and date != spec.date:
+        rows = rows.withColumnRenamed(date, spec.date)
+    return rows.withColumn("_pos", F.lit(0))
 
 
 # --- check -----------------------------------------------------------------------------
@@ -418,7 +487,8 @@ def publish(
 ) -> None:
     """Write normalised rows in the dataset's mode. An empty load leaves the table as it is.
 
-    ``planned`` holds the rules that were due, where the dataset has rules.
+    ``planned`` holds the rules that were due, where the dataset has rules, and the keys and years
+    where a parent keeps their date.
     """
     table, batch = context.table(spec), context.batch
     names = spec.schema.fieldNames()
@@ -440,7 +510,13 @@ def publish(
                 table.write_version(rows, partial(ensure_unique, spec))
         case spec_rules.RANGE:
             new = table.stage(rows.withColumn("_year", F.year(spec.date)), batch)
-            table.write_marked(new, new, _slices(spec), table.next_batch(context.attempt))
+            batch = table.next_batch(context.attempt)
+            parts = [(table, new), table.marks(_slices(spec), new, batch)]
+            if planned is not None:
+                beside = parent_table(context, spec)
+                after = beside.stage(_dates_after(context, spec, planned, new), context.batch)
+                beside.write_batch(after, beside.next_batch(context.attempt), unit=batch)
+            publish_together(batch, *parts)
         case spec_rules.REVISE:
             _publish_revised(context, spec, rows.select(*names), history.select(*names))
         case _:
@@ -527,7 +603,8 @@ def run(
         if spec.rules and universe is None:
             universe = rows.select(*spec.rules).distinct()
         planned = plan(context, spec, end, universe, marks)
-        if spec.rules:
+        tell = bool(spec.rules or (spec.parent and marks is None))
+        if tell:
             planned = _written(context, spec, planned)
         due = pick(context, spec, rows, planned)
         whole = None
@@ -535,7 +612,7 @@ def run(
             first = _default_mark(context, spec)
             source = rows if history is None else typed(context, spec, history, end)
             whole = cleaned(spec, source.filter(F.col(spec.date).between(first, end)))
-        publish(context, spec, cleaned(spec, due), whole, planned if spec.rules else None)
+        publish(context, spec, cleaned(spec, due), whole, planned if tell else None)
     except Exception:
         _log(context, spec, end, failed=True)
         raise

@@ -29,6 +29,7 @@ from marketlake.queries.base import (
     sql_doubles,
 )
 from marketlake.queries.measures import ticks
+from marketlake.queries.shaping import PRIORITIES
 from marketlake.session import scratch_dir
 from marketlake.sources import landing
 from marketlake.sources.tables import Lake, LakeTable, publish_pair
@@ -192,26 +193,66 @@ def maintain_margin(t: Tables) -> DataFrame:
     return doubles(runner.stored_rows(context, spec).select("trade_date", "symbol", "margin_balance"), "margin_balance")
 
 
-@query(f"""WITH {SQL_HOLDINGS} SELECT CAST(fund_code AS VARCHAR) AS fund_code, CAST(symbol AS VARCHAR) AS symbol, report_date,
+@query(f"""WITH {SQL_HOLDINGS}, h AS (SELECT * FROM holdings WHERE report_date <= DATE '2001-06-15')
+SELECT 'holding' AS kind, CAST(fund_code AS VARCHAR) AS fund_code, CAST(symbol AS VARCHAR) AS symbol, report_date,
   CAST(holding_value + CASE WHEN year(report_date) >= 1999 THEN 1 ELSE 0 END AS DOUBLE) AS holding_value
-FROM holdings WHERE year(report_date) BETWEEN 1996 AND 2001""")
+FROM h WHERE fund_code % 3 > 0 AND year(report_date) BETWEEN 1996 AND 2001
+UNION ALL SELECT 'fund', CAST(s_suppkey AS VARCHAR), NULL, CASE WHEN s_suppkey % 3 > 0 THEN coalesce(last, DATE '2000-12-31') END, NULL
+FROM supplier LEFT JOIN (SELECT fund_code, max(report_date) AS last FROM h WHERE year(report_date) = 2001 GROUP BY 1) ON fund_code = s_suppkey""")
 def maintain_funds(t: Tables) -> DataFrame:
-    """Two runs of the fund holdings, planned from a watermark in the parent table. The second
-    starts after 1998 and replaces the years since then, in which every value was corrected."""
-    lake, spec = _lake(t, "funds"), schema.REGISTRY["fund_portfolio_hold_em"]
+    """The fund master and two runs of the holdings, planned from the date that the master keeps per
+    fund. The second starts after 1998 and replaces the years since then, in which every value was corrected.
+    Every third fund is not followed, and keeps no date."""
+    lake = _lake(t, "funds")
+    master = schema.REGISTRY["fund_name_em"]
+    spec = replace(schema.REGISTRY["fund_portfolio_hold_em"], default="1995-12-31")
     holdings = t.staged(t.holdings(), "landing")
     code = F.col("fund_code").cast("string")
-    parents = t.supplier.select(F.col("s_suppkey").cast("string").alias("fund_code"))
-    runs = ((datetime(1999, 2, 10, 9), "1995-12-31", 0), (datetime(2001, 6, 15, 9), "1998-12-31", 1))
-    for now, loaded, correction in runs:
+    funds = t.supplier.select(F.col("s_suppkey").cast("string").alias("fund_code"), F.lit("x").alias("fund_type"))
+    followed = t.supplier.filter("s_suppkey % 3 > 0").select(F.col("s_suppkey").cast("string").alias("fund_code"))
+    runner.run(runner.Context(lake, t.calendar(), datetime(1999, 2, 9, 9)), master, _landed(master, funds))
+    for now, correction in ((datetime(1999, 2, 10, 9), 0), (datetime(2001, 6, 15, 9), 1)):
         landed = _landed(
-            spec, holdings, fund_code=code, symbol=F.col("symbol").cast("string"),
-            holding_value=F.col("holding_value") + correction,
+            spec, holdings.filter(F.col("report_date") <= F.lit(now).cast("date")), fund_code=code,
+            symbol=F.col("symbol").cast("string"), holding_value=F.col("holding_value") + correction,
         )
         context = runner.Context(lake, t.calendar(), now)
-        runner.run(context, spec, landed, marks=parents.withColumn("watermark", day(loaded)))
-    table = runner.stored_rows(context, spec).select("fund_code", "symbol", "report_date", "holding_value")
-    return doubles(table, "holding_value")
+        runner.run(context, spec, landed, followed)
+    table = runner.stored_rows(context, spec).select(F.lit("holding").alias("kind"), "fund_code", "symbol", "report_date", "holding_value")
+    dates_ = runner.stored_rows(context, master).select(
+        F.lit("fund").alias("kind"), "fund_code", F.col("latest_holding_date").alias("report_date")
+    )
+    return doubles(table.unionByName(dates_, allowMissingColumns=True), "holding_value")
+
+
+@query(f"""WITH {SQL_CALENDAR}, o AS (SELECT CAST(o_orderdate AS DATE) AS trade_date, o_orderpriority AS item, CAST(count(*) AS INTEGER) AS listed_count,
+  CAST(count(*) * 1000.25 AS DECIMAL(12,2)) AS market_cap FROM orders GROUP BY 1, 2)
+SELECT trade_date, item, listed_count, CAST(market_cap AS DOUBLE) AS market_cap FROM o
+WHERE trade_date BETWEEN DATE '1998-01-01' AND (SELECT max(trade_date) FROM calendar WHERE trade_date < DATE '1998-06-15')""")
+def maintain_sse_overview(t: Tables) -> DataFrame:
+    """Two runs of the exchange overview, whose daily reports land as metric rows and item columns."""
+    lake, spec = _lake(t, "overview"), replace(schema.REGISTRY["stock_sse_summary"], default="1997-12-31")
+    daily = t.orders_by_day().groupBy("o_orderdate").pivot("o_orderpriority", list(PRIORITIES)).count()
+    day_text = F.date_format("o_orderdate", "yyyyMMdd")
+
+    def row(label: str, value) -> Column:
+        cells = [F.when(F.col(p).isNotNull(), value(F.col(p))).cast("string").alias(p) for p in PRIORITIES]
+        return F.struct(F.lit(label).alias("item"), *cells)
+
+    rows = [
+        row("报告时间", lambda n: day_text), row("上市股票", lambda n: n), row("总市值", lambda n: n * F.lit(1000.25)), row("注", lambda n: F.lit("note")),
+    ]
+    reports = daily.select(F.date_format("o_orderdate", "yyyyMMdd").alias("_batch"), F.inline(F.array(*rows)))
+    landed = t.staged(reports.withColumn("_pos", F.lit(0)), "landing")
+    for now in (datetime(1998, 3, 2, 9), datetime(1998, 6, 15, 9)):
+        context = runner.Context(lake, t.calendar(), now)
+        runner.run(context, spec, _complete(spec, runner.from_reports(spec, landed)))
+    return doubles(runner.stored_rows(context, spec).select("trade_date", "item", "listed_count", "market_cap"), "market_cap")
+
+
+def _complete(spec: schema.DatasetSpec, df: DataFrame) -> DataFrame:
+    """Columns that the landing lacks are null."""
+    return df.withColumns({c: F.lit(None).cast("string") for c in spec.landed_columns if c not in df.columns})
 
 
 @query("""WITH c AS (SELECT max(CAST(ts AS DATE)) AS last FROM events WHERE isodow(ts) < 6),

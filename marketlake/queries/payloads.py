@@ -38,8 +38,8 @@ def _with_rejects(context: runner.Context, stored: DataFrame) -> DataFrame:
 SELECT lpad(CAST(s AS VARCHAR), CAST(greatest(5, length(CAST(s AS VARCHAR))) AS INTEGER), '0') AS symbol, d AS trade_date, shares AS short_shares,
   CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS raw, CAST(1 AS BIGINT) AS n_rows FROM d
   WHERE s % 7 <> 0 AND s % 5 <> 0 AND d BETWEEN DATE '1998-01-02' AND DATE '2001-06-08'
-UNION ALL SELECT NULL, NULL, NULL, 'trade_date', 'n/a,' || s || ',"Co, Ltd",' || shares || ',' || shares * 2, CAST(count(*) AS BIGINT) FROM d WHERE s % 7 = 0 GROUP BY s, shares
-UNION ALL SELECT NULL, NULL, NULL, 'fields', 'broken line of ' || r_name, CAST(1 AS BIGINT) FROM region""".replace(""",\"Co, Ltd\",""", """,Co, Ltd,"""))
+UNION ALL SELECT NULL, NULL, NULL, 'trade_date', 'n/a,' || s || ',Co, Ltd,' || shares || ',' || shares * 2, CAST(count(*) AS BIGINT) FROM d WHERE s % 7 = 0 GROUP BY s, shares
+UNION ALL SELECT NULL, NULL, NULL, 'fields', 'broken line of ' || r_name, CAST(1 AS BIGINT) FROM region""")
 def maintain_short_positions(t: Tables) -> DataFrame:
     """Weekly short-position reports as CSV files, loaded in two runs. Every seventh company's lines have
     no date, a file holds lines with one field; every fifth company's positions are zero, which is no reject."""

@@ -79,6 +79,8 @@ class DatasetSpec:
     ``step`` is the number of days from the watermark to the first day to load, ``cutoff``
     the rule that ends the load, ``windows`` how the range is cut up. ``constants`` are
     columns that the run adds to the landed ones, ``excluded`` scope values that are not loaded.
+    ``parent`` names the table and the column that keep the watermark per scope key. ``report`` maps the
+    labels of a landed report's rows to columns, where each landed column is a row of the table.
     """
 
     name: str
@@ -101,6 +103,8 @@ class DatasetSpec:
     complete: bool = False
     cut_text: tuple[str, ...] = ()
     excluded: tuple[str, ...] = ()
+    parent: tuple[str, str] | None = None
+    report: tuple[tuple[str, str], ...] = ()
     lenient: bool = False
 
     @cached_property
@@ -172,6 +176,27 @@ ANNOUNCED = ("report_date", "symbol", "announce_date")
 # Concept boards whose history the source cannot deliver.
 BROKEN_BOARDS = ("BK1631", "BK1632", "BK1633", "BK1634")
 
+# Row labels of the two landed reports of the Shanghai exchange, and the columns that they fill.
+SSE_OVERVIEW = (
+    ("报告时间", "trade_date"),
+    ("上市股票", "listed_count"),
+    ("总股本", "total_shares"),
+    ("流通股本", "float_shares"),
+    ("总市值", "market_cap"),
+    ("流通市值", "float_cap"),
+    ("平均市盈率", "avg_pe"),
+)
+SSE_DEALS = (
+    ("挂牌数", "listed_count"),
+    ("市价总值", "market_cap"),
+    ("流通市值", "float_cap"),
+    ("成交金额", "amount"),
+    ("成交量", "volume"),
+    ("平均市盈率", "avg_pe"),
+    ("换手率", "turnover_pct"),
+    ("流通换手率", "float_turnover_pct"),
+)
+
 # Exchanges and the part of a board's name that is listed and loaded on its own.
 SECURITY_RULES = (
     ("SSE", "主板A股"),
@@ -250,6 +275,7 @@ SPECS: tuple[DatasetSpec, ...] = (
         "fund_code symbol symbol_name nav_pct=dec(5,2) shares holding_value report_date",
         ("fund_code", "symbol", "report_date"), RANGE,
         "report_date", "2010-03-31", scope="fund_code", windows="years", slices=("fund_code",),
+        parent=("fund_name_em", "latest_holding_date"),
         keep_last=True, cut_text=("symbol_name",),
     ),
     _bars("daily", "bfq", "unadjusted", write=APPEND, default="1990-01-01", cutoff="day_close"),
@@ -311,13 +337,13 @@ SPECS: tuple[DatasetSpec, ...] = (
         "stock_sse_summary", "overview of the Shanghai exchange",
         "trade_date item=string(16) listed_count=int(6) total_shares=dec(12,2) float_shares=dec(12,2) market_cap=dec(12,2) "
         "float_cap=dec(12,2) avg_pe=dec(8,2)", ("trade_date", "item"), APPEND,
-        "trade_date", "1990-01-01", cutoff="yesterday_strict",
+        "trade_date", "1990-01-01", cutoff="yesterday_strict", report=SSE_OVERVIEW,
     ),
     DatasetSpec(
         "stock_sse_deal_daily", "daily deals of the Shanghai exchange",
         "trade_date board=string(16) listed_count=int(6) market_cap=dec(10,2) float_cap=dec(10,2) amount=dec(10,2) volume=dec(10,2) "
         "avg_pe=dec(6,2) turnover_pct=dec(5,2) float_turnover_pct=dec(5,2)", ("trade_date", "board"), APPEND,
-        "trade_date", "1990-01-01", floor="2022-01-01", cutoff="day", windows="trading_days",
+        "trade_date", "1990-01-01", floor="2022-01-01", cutoff="day", windows="trading_days", report=SSE_DEALS,
     ),
     DatasetSpec(
         "stock_szse_summary", "categories of the Shenzhen exchange",
@@ -391,3 +417,6 @@ SPECS: tuple[DatasetSpec, ...] = (
 )
 
 REGISTRY: dict[str, DatasetSpec] = {spec.name: spec for spec in SPECS}
+
+#: Column that a table's rows get from the loads of another table, and the column that both are keyed by.
+KEPT_BY_CHILD = {spec.parent[0]: (spec.parent[1], spec.scope) for spec in SPECS if spec.parent}

@@ -522,6 +522,48 @@ def test_source_columns_are_renamed_by_position(spark):
     assert runner.from_source_columns(spec, raw).columns == [*spec.schema.fieldNames(), "_batch", "_pos"]
 
 
+    with pytest.raises(ValueError, match="6 source columns for 5"):
+        runner.from_source_columns(spec, raw.withColumnRenamed("_pos", "x6"))
+
+
+def test_the_parent_keeps_the_date_of_the_last_planned_year(spark, lake, calendar):
+    spec, master = schema.REGISTRY["fund_portfolio_hold_em"], schema.REGISTRY["fund_name_em"]
+    ctx = lambda *clock: context(lake, calendar, *clock)
+    runner.run(ctx(2022, 2, 9, 9), master, landed(spark, master, [{"fund_code": f, "fund_type": "x"} for f in "fgh"]))
+    shown = lambda: dict(rows(runner.stored_rows(ctx(2024, 1, 1, 9), master), "fund_code", "latest_holding_date"))
+    assert shown() == {"f": None, "g": None, "h": None}
+    spec = replace(spec, default="2020-12-31")
+    hold = lambda f, q: {"fund_code": f, "report_date": q, "symbol": "1", "holding_value": "1"}
+    universe = spark.createDataFrame([("f",), ("g",)], "fund_code string")
+    source = [hold("f", "20211231"), hold("f", "20220331"), hold("g", "20210331"), hold("h", "20220331")]
+    runner.run(ctx(2022, 5, 10, 9), spec, landed(spark, spec, source), universe)
+    # g had no rows in 2022, the last planned year
+    assert shown() == {"f": date(2022, 3, 31), "g": date(2021, 12, 31), "h": None}
+    runner.run(ctx(2022, 6, 10, 9), spec, landed(spark, spec, source), universe)  # f is not due, g has no rows again
+    assert shown() == {"f": date(2022, 3, 31), "g": date(2021, 12, 31), "h": None}
+    runner.run(ctx(2022, 8, 10, 9), spec, landed(spark, spec, [*source, hold("f", "20220630"), hold("g", "20220630")]), universe)
+    assert shown() == {"f": date(2022, 6, 30), "g": date(2022, 6, 30), "h": None}
+
+
+def test_reports_of_metrics_and_items(spark, lake, calendar):
+    spec = schema.REGISTRY["stock_sse_deal_daily"]
+    raw = [
+        ("挂牌数", "10", "3", None, "a", 0, "2024-01-02"), ("成交金额", "1.5", "2.25", None, "a", 1, "2024-01-02"), ("别的", "9", "9", "9", "a", 2, "2024-01-02"),
+        ("挂牌数", "11", "4", "5", "b", 0, "2024-01-03"), ("市价总值", "1", None, "7", "b", 1, "2024-01-03"),
+    ]
+    reports = spark.createDataFrame(raw, "what string, `主板A` string, `主板B` string, `科创板` string, _batch string, _pos int, day string")
+    source = runner.from_reports(spec, reports, date="day")
+    ctx = context(lake, calendar, 2024, 1, 3, 17)
+    missing = {c: F.lit(None).cast("string") for c in spec.landed_columns if c not in source.columns}
+    runner.run(ctx, replace(spec, floor=None, default="2023-12-31"), source.withColumns(missing))
+    got = rows(runner.stored_rows(ctx, spec), "trade_date", "board", "listed_count", "amount", "market_cap")
+    number = lambda v: None if v is None else float(v)
+    assert [(d.day, b, n, number(a), number(m)) for d, b, n, a, m in got] == [
+        (2, "主板A", 10, 1.5, None), (2, "主板B", 3, 2.25, None),
+        (3, "主板A", 11, None, 1.0), (3, "主板B", 4, None, None), (3, "科创板", 5, None, 7.0),
+    ]
+
+
 def test_data_dictionary(spark):
     specs = list(schema.SPECS)
     columns = dictionary.columns_of(spark, "LAKE", [(s.name, s.schema) for s in specs])
