@@ -161,6 +161,58 @@ def stream_resume(t: Tables) -> DataFrame:
     return table.read_batches()
 
 
+@query(f"""WITH {sql_bars()} SELECT CAST(symbol AS VARCHAR) AS symbol, trade_date, volume,
+  CAST(CASE WHEN symbol % 7 = 0 THEN close * 2 ELSE close END AS DOUBLE) AS close, {sql_doubles('open', 'high', 'low', 'amount')} FROM bars""")
+def stream_revisions(t: Tables) -> DataFrame:
+    """Forward-adjusted bars from a stream. The second delivery brings each symbol's last bar again and
+    newer ones, with every seventh symbol recalculated; in the end all deliveries come once more."""
+    lake, spec = _lake(t, "stream-revisions"), schema.REGISTRY["stock_zh_a_hist_daily_qfq"]
+    table = runner.Context(lake, t.calendar(), datetime(2001, 6, 15, 17)).table(spec)
+    given = {c: F.col(c).cast(spec.schema[c].dataType) for c in ("symbol", "trade_date", "volume", *BAR_VALUES)}
+    columns = [given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in spec.schema]
+    daily = t.staged(t.daily_bars().select(*columns), "bars")
+    revised = daily.withColumn("close", (F.col("close") * F.when(F.col("symbol").cast("int") % 7 == 0, 2).otherwise(1)).cast("decimal(10,2)"))
+    old = daily.filter(F.col("trade_date") < SPLIT)
+    last = old.groupBy("symbol").agg(F.max("trade_date").alias("last_date"))
+    newer = revised.join(last, "symbol", "left").filter("last_date IS NULL OR trade_date >= last_date").drop("last_date")
+    folder = f"{lake.root}/landing"
+    for delivery, checkpoint in ((old, "one"), (newer, "one"), (None, "two")):
+        if delivery is not None:
+            delivery.write.mode("append").parquet(folder)
+        context = runner.Context(lake, t.calendar(), datetime(2001, 6, 15, 17))
+        stream = loads.file_stream(t.spark, folder, table.schema)
+        loads.load_revised(stream, context, spec, f"{lake.root}/checkpoint-{checkpoint}", revised)
+    stored = runner.stored_rows(context, spec).select("symbol", "trade_date", "volume", *BAR_VALUES)
+    return doubles(stored, *BAR_VALUES)
+
+
+@query("""WITH d AS (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS trade_date, CAST(l_partkey AS VARCHAR) AS participant_id,
+  CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS holding FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01' AND l_shipdate < TIMESTAMP '1999-04-01'
+  GROUP BY 1, 2, 3), whole AS (SELECT * FROM d WHERE NOT (CAST(symbol AS BIGINT) % 5 = 0 AND trade_date < DATE '1999-02-01'))
+SELECT 'detail' AS kind, symbol, trade_date, participant_id AS label, holding FROM whole
+UNION ALL SELECT 'summary', symbol, trade_date, CAST(count(*) AS VARCHAR), CAST(sum(holding) AS BIGINT) FROM whole GROUP BY 2, 3""")
+def stream_pair(t: Tables) -> DataFrame:
+    """Custody detail and summary from two streams, stored unit by unit once both sides have landed. The
+    summary of a quarter lands first, the detail month by month, and all of it once more in the end; every
+    fifth symbol's January detail never comes."""
+    lake = _lake(t, "stream-pair")
+    quarter = t.trades().filter(F.col("trade_date").between("1999-01-01", "1999-03-31"))
+    code, part = F.col("symbol").cast("string"), F.col("l_partkey").cast("string")
+    detail = quarter.groupBy(code.alias("symbol"), "trade_date", part.alias("participant_id")).agg(F.sum("volume").alias("holding"))
+    detail = t.staged(detail, "detail")
+    summary = detail.groupBy("symbol", "trade_date").agg(F.count(F.lit(1)).cast("string").alias("participants"), F.sum("holding").alias("holding"))
+    tables = [(LakeTable(lake, n, df.schema), f"{lake.root}/landing-{n}") for n, df in (("summary", summary), ("detail", detail))]
+    came = detail.filter((F.col("symbol").cast("int") % 5 > 0) | (F.col("trade_date") >= "1999-02-01"))
+    summary.write.parquet(tables[0][1])
+    for month, checkpoint in ((1, "one"), (2, "one"), (3, "one"), (None, "two")):
+        if month is not None:
+            came.filter(F.month("trade_date") == month).write.mode("append").parquet(tables[1][1])
+        loads.load_pair(t.spark, *tables, "symbol", "trade_date", f"{lake.root}/checkpoint-{checkpoint}", delay="120 days")
+    out = [table.read_batches() for table, _ in tables]
+    labelled = lambda kind, df, label: df.select(F.lit(kind).alias("kind"), "symbol", "trade_date", F.col(label).alias("label"), "holding")
+    return labelled("summary", out[0], "participants").unionByName(labelled("detail", out[1], "participant_id"))
+
+
 # --- dataset runs ----------------------------------------------------------------------
 
 

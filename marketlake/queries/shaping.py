@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.numbers import money
-from marketlake.operators import aggregates, filters, joins, projections, reshape
+from marketlake.operators import aggregates, asof, filters, joins, projections, reshape
 from marketlake.queries.base import (
     SPLIT,
     SQL_MARKS,
@@ -366,3 +366,15 @@ def dedup_keep_last(t: Tables) -> DataFrame:
 @query("SELECT DISTINCT p_brand, p_type FROM part")
 def dedup_full_row(t: Tables) -> DataFrame:
     return t.part.select("p_brand", "p_type").distinct()
+
+
+@query(f"""WITH {sql_bars()}, mondays AS (SELECT symbol, trade_date AS bar_date, close FROM bars WHERE isodow(trade_date) = 1 AND symbol % 9 > 0)
+SELECT l_orderkey, l_linenumber, l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS trade_date, bar_date, CAST(close AS DOUBLE) AS close
+FROM lineitem ASOF LEFT JOIN mondays ON l_suppkey = symbol AND CAST(l_shipdate AS DATE) >= bar_date""")
+def join_asof_keyed(t: Tables) -> DataFrame:
+    """Every trade with its symbol's last Monday bar at or before its day; every ninth symbol has none."""
+    bars = t.daily_bars().filter((F.weekday("trade_date") == 0) & (F.col("symbol") % 9 > 0))
+    mondays = bars.select("symbol", F.col("trade_date").alias("bar_date"), "close")
+    trades = t.trades().select("l_orderkey", "l_linenumber", "symbol", "trade_date")
+    joined = asof.keyed_asof(trades, mondays, "symbol", "trade_date", "bar_date", ["bar_date", "close"])
+    return joined.withColumn("close", F.col("close").cast("double"))

@@ -116,6 +116,10 @@ class LakeTable:
         self._write(df, f"_batch={batch}")
         self.lake.commit(self.name, batch, unit)
 
+    def is_committed(self, attempt: str) -> bool:
+        """Whether a batch of this attempt is visible."""
+        return not self.lake.committed(self.name).filter(F.col("batch").endswith(attempt)).isEmpty()
+
     def next_batch(self, attempt: str) -> str:
         """Id of the next batch in a growing sequence, whatever the clock says. One writer at a time."""
         number = F.regexp_extract("batch", "^([0-9]+)-", 1).try_cast("bigint")

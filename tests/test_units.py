@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marketlake.functions import dates
+from marketlake.operators import asof
 from marketlake.plans import units
 
 START = date(2023, 12, 20)
@@ -61,3 +62,27 @@ def test_gaps(spark, sets, low, high):
         missing = [d for d in inside if d not in sets.get(k, ())]
         want += [(k, *r) for r in runs(missing)]
     assert got == want
+
+
+# --- as-of per key -----------------------------------------------------------------------
+
+ASOF_ROW = st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.sampled_from(DAYS)), st.integers(0, 3))
+
+
+@settings(max_examples=8, deadline=None, phases=[Phase.explicit, Phase.generate])
+@given(st.lists(ASOF_ROW, max_size=12), st.lists(ASOF_ROW, max_size=12), st.booleans())
+def test_keyed_asof(spark, left, right, strict):
+    one = spark.createDataFrame(left, "k string, d date, n int")
+    two = spark.createDataFrame(right, "k string, at date, v int")
+    got = asof.keyed_asof(one, two, "k", "d", "at", ["at", "v"], order=["v"], strict=strict)
+    want = []
+    for k, d, n in left:
+        earlier = [(at, v) for rk, at, v in right if k is not None and rk == k and at is not None and d is not None and (at < d or at == d and not strict)]
+        want.append((k, d, n, *max(earlier, default=(None, None))))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_asof_windows_are_partitioned(spark):
+    df = spark.createDataFrame([("a", DAYS[0])], "k string, d date")
+    plan = asof.keyed_asof(df, df.withColumnRenamed("d", "at"), "k", "d", "at", ["at"])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "CartesianProduct" not in plan
