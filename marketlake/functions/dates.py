@@ -85,6 +85,15 @@ def intraday_cutoff(now: Column, last_day: Column, prev_day: Column, compat: boo
     )
 
 
+def micros(time: Column, zoned: bool) -> Column:
+    """Microseconds since 1970; of a time without zone as its own clock counts them."""
+    if zoned:
+        return F.unix_micros(time)
+    day = F.unix_date(F.to_date(time)).cast("long") * 86_400_000_000
+    second = (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("long")
+    return day + F.hour(time).cast("long") * 3_600_000_000 + F.minute(time).cast("long") * 60_000_000 + second
+
+
 def next_start(watermark: Column, days: int = 0, weeks: int = 0, months: int = 0) -> Column:
     start = F.date_add(watermark, days + 7 * weeks)
     return F.add_months(start, months) if months else start

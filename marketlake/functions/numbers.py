@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +32,32 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double") * 100.0, whole.cast("double"))
 
 
+def packed(parts: Sequence[tuple[Column, int]]) -> Column:
+    """Whole numbers as one fixed-width order key, decimal(38,0): it sorts as the numbers do one after another.
+
+    Each part has its number of digits; only the last may be negative, with half of its range. A number
+    with more digits fails, so no order is wrong silently. Aggregates over such a key keep hash buffers,
+    where a struct would make them sort.
+    """
+    if sum(digits for _, digits in parts) > 38:
+        raise ValueError("an order key has 38 digits at most")
+    # neighbouring parts share a long where they fit
+    longs: list[tuple[Column, int]] = []
+    for value, digits in parts:
+        checked = F.when(F.abs(value) >= 10**digits, F.raise_error(F.lit("order key: a number has too many digits"))).otherwise(value.cast("long"))
+        if longs and longs[-1][1] + digits <= 18:
+            before, width = longs.pop()
+            longs.append((before * 10**digits + checked, width + digits))
+        else:
+            longs.append((checked, digits))
+    behind, key = 0, F.lit(0).cast("decimal(38,0)")
+    for value, digits in reversed(longs):
+        weight = F.lit("1" + "0" * behind).cast(f"decimal({behind + 1},0)")
+        key = (key + (value.cast(f"decimal({digits + 1},0)") * weight).cast("decimal(38,0)")).cast("decimal(38,0)")
+        behind += digits
+    return key
+
+
 def fits_decimal(value: Column, precision: int, scale: int) -> Column:
     """Whether a number, rounded to ``scale``, has at most ``precision`` digits. A comparison
     with the first number that does not fit, so no cast has to fail for every misfit."""

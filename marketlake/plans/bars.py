@@ -6,13 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from marketlake.functions import numbers
+from marketlake.functions import dates, numbers
 
 
+#: Digits of a tick's microseconds, its id and its price in cents, together one order key.
+TICK_DIGITS = (17, 12, 9)
 BAR_COLUMNS = ("high", "low", "volume", "amount")
 
 
+def _order_key(trades: DataFrame, order: Sequence[str], digits: Sequence[int], price: str) -> Column:
+    """Order columns and, at last, the price in cents as one fixed-width key."""
+
+    def whole(column: str) -> Column:
+        kind = trades.schema[column].dataType
+        if isinstance(kind, (TimestampType, TimestampNTZType)):
+            return dates.micros(F.col(column), isinstance(kind, TimestampType))
+        return F.col(column)
+
+    cents = (F.col(price) * 100).cast("long")
+    return numbers.packed(list(zip([*map(whole, order), cents], digits, strict=True)))
+
+
 def from_trades(
     trades: DataFrame,
     keys: Sequence[Column | str],
@@ -20,26 +36,32 @@ def from_trades(
     price: str = "price",
     volume: str = "volume",
     amount: str = "amount",
+    digits: Sequence[int] | None = None,
 ) -> DataFrame:
     """Bars per key: first and last price in ``order`` (ties go by price), extremes, sums.
 
     One aggregation with map-side combine; a symbol with a third of all trades still reaches
-    the reducers as one partial row per bar and task.
+    the reducers as one partial row per bar and task. ``digits``, of each order column and of the price in
+    cents, makes the order one fixed-width key, so that the combine hashes where it would sort.
     """
-    tick = F.struct(*order, F.col(price).alias("_price"))
-    grouped = trades.groupBy(*keys).agg(
-        F.min(tick).alias("_first"),
-        F.max(tick).alias("_last"),
+    if digits is None:
+        key, first, last = F.struct(*order, F.col(price).alias("_price")), F.min("_tick"), F.max("_tick")
+    else:
+        key, first, last = _order_key(trades, order, digits, price), F.min_by(price, "_tick"), F.max_by(price, "_tick")
+    grouped = trades.withColumn("_tick", key).groupBy(*keys).agg(
+        first.alias("_first"),
+        last.alias("_last"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
         F.sum(volume).alias("volume"),
         F.sum(amount).alias("amount"),
     )
     names = [c for c in grouped.columns if c not in ("_first", "_last", *BAR_COLUMNS)]
+    part = "._price" if digits is None else ""
     return grouped.select(
         *names,
-        F.col("_first._price").alias("open"),
-        F.col("_last._price").alias("close"),
+        F.col(f"_first{part}").alias("open"),
+        F.col(f"_last{part}").alias("close"),
         *BAR_COLUMNS,
     )
 

@@ -87,8 +87,9 @@ class Tables:
         )
 
     def daily_bars(self, symbol: str = "l_suppkey") -> DataFrame:
-        order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "volume"]
-        return bar_plans.from_trades(self.trades(symbol), ["symbol", "trade_date"], order)
+        other = "l_partkey" if symbol == "l_suppkey" else "l_suppkey"  # the symbol is one within a bar
+        order = ["l_orderkey", "l_linenumber", other, "volume"]
+        return bar_plans.from_trades(self.trades(symbol), ["symbol", "trade_date"], order, digits=(13, 1, 11, 2, 11))
 
     def orders_by_day(self) -> DataFrame:
         return self.orders.withColumn("o_orderdate", F.to_date("o_orderdate"))

@@ -88,7 +88,7 @@ SELECT symbol, bar_time, CAST(arg_min(price, (ts, event_id)) AS DOUBLE) AS open,
   CAST(sum(price) AS DOUBLE) AS amount FROM ticks GROUP BY 1, 2""")
 def bars_30min(t: Tables) -> DataFrame:
     keys = ["symbol", bars.slots(F.col("ts")).alias("bar_time")]
-    result = bars.from_trades(ticks(t.events), keys, ["ts", "event_id"])
+    result = bars.from_trades(ticks(t.events), keys, ["ts", "event_id"], digits=bars.TICK_DIGITS)
     result = result.withColumn("bar_time", F.date_format("bar_time", "yyyy-MM-dd HH:mm:ss"))
     return doubles(result, *BAR_VALUES)
 

@@ -152,7 +152,7 @@ def bars_30min(ticks: DataFrame, delay: str = "1 hour", minutes: int = 30) -> Da
     the watermark has passed its end; later ticks for it are dropped."""
     timed = ticks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     keys = ["symbol", F.window("ts", f"{minutes} minutes").alias("slot")]
-    out = bars.from_trades(timed, keys, ["ts", "event_id"])
+    out = bars.from_trades(timed, keys, ["ts", "event_id"], digits=bars.TICK_DIGITS)
     return out.select("symbol", F.col("slot.start").alias("bar_time"), "open", "close", "high", "low", "volume", "amount")
 
 

@@ -1,10 +1,11 @@
 """Measures: the documented sample of adjusted bars, gaps, zero guards, skewed keys."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake.functions import numbers
 from marketlake.operators import aggregates, reshape
 from marketlake.plans import bars, boards, funds, markets, statements
 from tests.conftest import rows
@@ -107,3 +108,25 @@ def test_leader_tie_goes_to_the_lowest_symbol(spark):
     df = spark.createDataFrame([(2, "b", 5.0), (1, "b", 5.0), (3, "b", None)], "symbol int, board string, change_pct double")
     got = boards.leaders(df.withColumn("trade_date", F.lit("2024-01-02"))).first()
     assert (got.leader, got.leader_change_pct) == (1, 5.0)
+
+
+def test_packed_order_keys(spark):
+    """Bars by a packed key equal those by a struct, negative prices and ties among them, and need no sort."""
+    import random
+
+    rng = random.Random(3)
+    stamp = lambda: datetime(2024, 1, rng.choice([1, 2]), rng.randint(0, 23), rng.choice([0, 59]), 59, rng.choice([0, 999999]))
+    ticks = [(rng.choice("ab"), stamp(), rng.randint(0, 2), rng.randint(-300, 300) / 100, 1) for _ in range(400)]
+    df = spark.createDataFrame(ticks, "symbol string, ts timestamp_ntz, event_id long, price double, volume int")
+    df = df.withColumns({"price": F.col("price").cast("decimal(18,2)"), "amount": F.col("price").cast("decimal(18,2)")})
+    for kind in ("timestamp_ntz", "timestamp"):
+        source = df.withColumn("ts", F.col("ts").cast(kind))
+        packed = bars.from_trades(source, ["symbol"], ["ts", "event_id"], digits=bars.TICK_DIGITS)
+        assert rows(packed) == rows(bars.from_trades(source, ["symbol"], ["ts", "event_id"]))
+        plan = packed.select("*")._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and plan.count("HashAggregate") == 2
+    wide = df.withColumn("event_id", F.lit(10**12))
+    with pytest.raises(Exception, match="too many digits"):
+        bars.from_trades(wide, ["symbol"], ["ts", "event_id"], digits=bars.TICK_DIGITS).collect()
+    with pytest.raises(ValueError):
+        numbers.packed([(F.lit(1), 20), (F.lit(1), 19)])
