@@ -3,7 +3,7 @@ their rows by Spark."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions import text
@@ -143,23 +143,21 @@ SQL_CUSTODY = """c AS (SELECT p_partkey, DATE '2000-01-03' + CAST(p_size AS INTE
   FROM part WHERE p_partkey % 6 <> 0)"""
 
 
-@query(f"""WITH {SQL_CUSTODY}
-SELECT 'summary' AS kind, CAST(trade_date AS DATE) AS trade_date, symbol, symbol_name, p_type AS label, CAST(1000 + p_partkey AS BIGINT) * 1000 AS holding,
-  CAST(p_size AS DOUBLE) AS participants, p_size + 0.5 AS pct FROM c
-UNION ALL SELECT 'detail', CAST(trade_date AS DATE), symbol, symbol_name, 'C' || p_size || ' Broker', CAST(1000 + p_partkey AS BIGINT) * 1000, -1,
-  CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE p_size + 0.25 END FROM c
-UNION ALL SELECT 'detail', CAST(trade_date AS DATE), symbol, symbol_name, 'B01 Bank', CAST(p_size AS BIGINT), -1, 0.01 FROM c""".replace("p_size + 0.5 AS pct", "CAST(p_size + 0.5 AS DOUBLE) AS pct"))
-def html_two_outputs(t: Tables) -> DataFrame:
-    """One custody page per stock, parsed once into summary and detail rows. Every sixth page
-    answers another date than the asked one; every fifth lacks one percentage cell."""
-    asked = F.date_add(F.lit("2000-01-03").cast("date"), F.col("p_size"))
+def custody_day() -> Column:
+    return F.date_add(F.lit("2000-01-03").cast("date"), F.col("p_size"))
+
+
+def custody_page(bank: Column | None = None) -> Column:
+    """A custody page of a part: one holder type, a broker, and a bank with the given holding."""
+    asked = custody_day()
     shown = F.when(F.col("p_partkey") % 6 == 0, F.date_add(asked, 1)).otherwise(asked)
     key, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    bank = size if bank is None else bank
     count = F.format_number((F.lit(1000) + key) * 1000, 0)
     percent_cell = F.when(key % 5 == 0, "").otherwise(
         F.concat(_body("col-shareholding-percent text-right", F.concat(size, F.lit(".25%"))))
     )
-    html = F.concat(
+    return F.concat(
         F.lit('<div class="search-bar__selectedItem-filter searchDate">Shareholding Date: <b>'),
         F.date_format(shown, "yyyy/MM/dd"),
         F.lit('</b></div><div class="search-bar__selectedItem-filter searchStock"> '),
@@ -180,11 +178,22 @@ def html_two_outputs(t: Tables) -> DataFrame:
         F.lit("</tr><tr>"),
         _body("col-participant-id", F.lit("B01")),
         _body("col-participant-name", F.lit("Bank")),
-        _body("col-shareholding text-right", size),
+        _body("col-shareholding text-right", bank),
         _body("col-shareholding-percent text-right", F.lit("0.01%")),
         F.lit("</tr></tbody></table>"),
     )
-    rows = pages.custody_rows(t.part.select(asked.alias("asked_date"), html.alias("html")))
+
+
+@query(f"""WITH {SQL_CUSTODY}
+SELECT 'summary' AS kind, CAST(trade_date AS DATE) AS trade_date, symbol, symbol_name, p_type AS label, CAST(1000 + p_partkey AS BIGINT) * 1000 AS holding,
+  CAST(p_size AS DOUBLE) AS participants, p_size + 0.5 AS pct FROM c
+UNION ALL SELECT 'detail', CAST(trade_date AS DATE), symbol, symbol_name, 'C' || p_size || ' Broker', CAST(1000 + p_partkey AS BIGINT) * 1000, -1,
+  CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE p_size + 0.25 END FROM c
+UNION ALL SELECT 'detail', CAST(trade_date AS DATE), symbol, symbol_name, 'B01 Bank', CAST(p_size AS BIGINT), -1, 0.01 FROM c""".replace("p_size + 0.5 AS pct", "CAST(p_size + 0.5 AS DOUBLE) AS pct"))
+def html_two_outputs(t: Tables) -> DataFrame:
+    """One custody page per stock, parsed once into summary and detail rows. Every sixth page
+    answers another date than the asked one; every fifth lacks one percentage cell."""
+    rows = pages.custody_rows(t.part.select(custody_day().alias("asked_date"), custody_page().alias("html")))
     participant = F.concat_ws(" ", "participant_id", "participant_name")
     return rows.select(
         "kind",

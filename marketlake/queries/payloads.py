@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake import schema
+from marketlake.functions import text
 from marketlake.plans import runner
 from marketlake.queries.base import SQL_CALENDAR, Tables, query
+from marketlake.queries.landed import SQL_CUSTODY, custody_day, custody_page
 from marketlake.session import scratch_dir
 from marketlake.sources import landing, pages
 from marketlake.sources.tables import Lake
@@ -141,3 +143,28 @@ def maintain_valuation(t: Tables) -> DataFrame:
     context = _load(t, lake, spec, judged, [datetime(1999, 1, 5, 9), datetime(2000, 6, 15, 17)])
     stored = runner.stored_rows(context, spec).select("symbol", "trade_date", F.col("close").cast("double").alias("close"))
     return _with_rejects(context, stored)
+
+
+@query(f"""WITH {SQL_CUSTODY}, due AS (SELECT * FROM c WHERE isodow(trade_date) < 6 AND p_partkey % 2 = 0)
+SELECT symbol, CAST(trade_date AS DATE) AS trade_date, 'C' || p_size || ' Broker' AS label, CAST(1000 + p_partkey AS BIGINT) * 1000 AS holding, CAST(NULL AS VARCHAR) AS reason,
+  CAST(NULL AS VARCHAR) AS raw, CAST(1 AS BIGINT) AS n_rows FROM due
+UNION ALL SELECT symbol, CAST(trade_date AS DATE), p_type, CAST(1000 + p_partkey AS BIGINT) * 1000, NULL, NULL, 1 FROM due
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'holding', NULL, CAST(count(*) AS BIGINT) FROM c""")
+def maintain_custody_pages(t: Tables) -> DataFrame:
+    """Custody pages parsed once into both tables, for every second symbol in two runs. The bank's holding
+    on each page cannot be read; every sixth page answers another date and is left out."""
+    lake = Lake(t.spark, scratch_dir(t.spark, "custody-pages"))
+    summary, detail = (schema.REGISTRY[f"stock_hk_ccass_records{n}"] for n in ("_summary", ""))
+    t.part.select(custody_day().alias("asked_date"), custody_page(F.lit("n/a")).alias("html")).write.parquet(f"{lake.root}/landing")
+    judged = pages.judged_custody(landing.read_landing(t.spark, f"{lake.root}/landing"))
+    symbols = t.part.filter("p_partkey % 2 = 0").select(text.pad_code(F.col("p_partkey"), 5).alias("symbol"))
+    for now in (datetime(2000, 2, 1, 9), datetime(2000, 3, 1, 9)):
+        context = runner.Context(lake, t.calendar(), now)
+        rows, _ = runner.accept(context, detail, judged)
+        runner.run_pair(context, (summary, pages.custody_summary(rows)), (detail, pages.custody_detail(rows)), symbols)
+    participant = F.concat_ws(" ", "participant_id", "participant_name")
+    head = ["symbol", F.col("trade_date")]
+    stored = runner.stored_rows(context, detail).select(*head, participant.alias("label"), "holding").unionByName(
+        runner.stored_rows(context, summary).select(*head, F.col("holder_type").alias("label"), "holding")
+    )
+    return _with_rejects(context, stored)

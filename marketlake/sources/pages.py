@@ -131,9 +131,9 @@ def _cut(html: Column | str, pattern: str) -> Column:
     return plain_text(F.regexp_extract(html, pattern, 1))
 
 
-def _custody_fragments(pages: DataFrame) -> DataFrame:
-    """Fragments of both custody tables. Pages that answer another date than the asked one are
-    left out."""
+def _custody_fragments(pages: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
+    """Fragments of both custody tables, with their place in the page. Pages that answer another date
+    than the asked one are left out."""
     shown = F.right(_cut("html", _block(DATE_BLOCK)), F.lit(10))
     stock = _cut("html", _block(STOCK_BLOCK))
     marker = rf"""<div\b[^>]*\bclass=["'](?:[^"']* )?{SUMMARY_BLOCK}(?: [^"']*)?["']"""
@@ -141,11 +141,14 @@ def _custody_fragments(pages: DataFrame) -> DataFrame:
     rows = all_matches(F.regexp_extract("html", TABLE_BODY, 1), TABLE_ROW)
     tagged = lambda kind: lambda f: F.struct(F.lit(kind).alias("kind"), f.alias("fragment"))
     both = F.concat(F.transform(blocks, tagged("summary")), F.transform(rows, tagged("detail")))
+    places = F.transform(both, lambda f, i: F.struct(i.alias("_place"), f["kind"].alias("kind"), f["fragment"].alias("fragment")))
     return (
         pages.filter(dates.parse_date(shown, "yyyy/MM/dd") == F.col("asked_date"))
         .withColumn("stock", stock)
-        .select("asked_date", "stock", F.inline(both))
+        .select("asked_date", "stock", *kept, F.inline(places))
         .select(
+            *kept,
+            "_place",
             F.col("asked_date").alias("trade_date"),
             text.split_part(F.col("stock"), 0).alias("symbol"),
             text.split_part(F.col("stock"), 1).alias("symbol_name"),
@@ -166,9 +169,7 @@ def _count(cell: Column) -> Column:
 CUSTODY_HEAD = ("trade_date", "symbol", "symbol_name")
 
 
-def custody_rows(pages: DataFrame) -> DataFrame:
-    """Rows of both custody tables, told apart by ``kind``, from pages(asked_date, html). Each
-    page is read once. A detail row without a percentage cell counts as 0 percent."""
+def _custody_columns() -> list[Column]:
     summed = F.col("kind") == "summary"
     in_summary = lambda css: _cut("fragment", _inner(css, VALUE_BLOCK))
     in_detail = lambda css: _cut("fragment", _inner(css, BODY_BLOCK))
@@ -177,27 +178,48 @@ def custody_rows(pages: DataFrame) -> DataFrame:
     has_percent = summed | F.col("fragment").contains(percent)
     holding = F.when(summed, in_summary(sum_held)).otherwise(in_detail(held))
     share = F.when(summed, in_summary(sum_percent)).otherwise(in_detail(percent))
-    return _custody_fragments(pages).select(
-        *CUSTODY_HEAD,
-        "kind",
+    return [
+        *map(F.col, CUSTODY_HEAD),
+        F.col("kind"),
         F.when(summed, _cut("fragment", _block(CATEGORY))).alias("holder_type"),
         F.when(~summed, in_detail(code)).alias("participant_id"),
         F.when(~summed, in_detail(name)).alias("participant_name"),
         _count(holding).alias("holding"),
         F.when(summed, _count(in_summary(sum_count))).alias("participants"),
         F.when(has_percent, _percent(share)).otherwise(0.0).alias("pct"),
-    )
+    ]
+
+
+def custody_rows(pages: DataFrame) -> DataFrame:
+    """Rows of both custody tables, told apart by ``kind``, from pages(asked_date, html). Each
+    page is read once. A detail row without a percentage cell counts as 0 percent."""
+    return _custody_fragments(pages).select(*_custody_columns())
+
+
+def judged_custody(pages: DataFrame) -> DataFrame:
+    """The same with arrival, from pages(asked_date, html, _batch, _pos): rows without a readable code,
+    holding, holder type or participant are judged."""
+    found = _custody_fragments(pages, ("_batch", "_pos"))
+    place = F.struct(F.col("_pos").alias("page"), F.col("_place").alias("row")).alias("_pos")
+    label = F.coalesce("holder_type", "participant_id", F.lit("")) == ""
+    broken = {"symbol": F.coalesce(F.col("symbol"), F.lit("")) == "", "label": label, "holding": F.col("holding").isNull()}
+    rows = found.select("_batch", place, "fragment", *_custody_columns())
+    return rejects.judged(rows, F.col("fragment"), broken).drop("fragment")
+
+
+def _arrival(rows: DataFrame) -> list[str]:
+    return [c for c in ("_batch", "_pos") if c in rows.columns]
 
 
 def custody_summary(rows: DataFrame) -> DataFrame:
     return rows.filter("kind = 'summary'").select(
-        *CUSTODY_HEAD, "holder_type", "holding", "participants", "pct"
+        *CUSTODY_HEAD, "holder_type", "holding", "participants", "pct", *_arrival(rows)
     )
 
 
 def custody_detail(rows: DataFrame) -> DataFrame:
     return rows.filter("kind = 'detail'").select(
-        *CUSTODY_HEAD, "participant_id", "participant_name", "holding", "pct"
+        *CUSTODY_HEAD, "participant_id", "participant_name", "holding", "pct", *_arrival(rows)
     )
 
 
