@@ -5,7 +5,9 @@ length hold the same anchor, the k-gram with the smallest hash, at the same plac
 at anchors only, and each anchor carries the bytes around it, its context, that such a string can reach.
 
 1. Exact copies: of equal texts only the first goes on; the others are covered wholly.
-2. Anchors are sorted by k-gram, context digest and place. Lone k-grams drop out. Where a context
+2. Where a context repeats within a batch of texts, all but its first place are covered at once, and
+   travel apart from their k-gram: of a hot passage a k-gram gets one anchor a batch, not one a document.
+   The others are sorted by k-gram, context digest and place. Lone k-grams drop out. Where a context
    repeats, the later ones are covered; the first of each different context goes on.
 3. Contexts of a k-gram are sorted as suffixes with their common-prefix lengths. A stack scan yields the
    prefix intervals; inside an interval the left extensions are scanned in the same way, so that each
@@ -16,7 +18,11 @@ A text is told by its id ``d`` and ``t``, the first 60 bits of its MD5: what is
 own text, however many texts share an id. Texts that agree in both stand one after another, at their ``base``.
 
 Step 3 holds the contexts of at most ``GROUP`` anchors of a k-gram. Beyond that, each string goes on its
-own, as a 128-bit digest, and equal ones stand next to each other and stream by.
+own, as a 128-bit digest, and equal ones stand next to each other and stream by; those that repeat
+within a batch are covered at once here too.
+
+Contexts are told apart by a 64-bit digest under a 64-bit k-gram hash: two different ones are taken for
+equal with a probability below 2^-64 a pair of anchors that share their k-gram.
 """
 
 from __future__ import annotations
@@ -122,16 +128,43 @@ def _anchor_rows(text: str, names: list[str]):
                 len(place),
             )
             doc, half, base = np.array(owners, np.int64)[row].T
-            columns = [hashes.view(np.int64), context.view(np.int64), doc, half, base + place - starts[row]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "c", "d", "t", "p"])
+            rows = np.stack([hashes.view(np.int64), context.view(np.int64), doc, half, base + place - starts[row]])
+            later = _later(rows)
+            deal = np.where(later, _spread(rows[2], rows[4]), rows[0])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (deal, *rows)] + [pa.array(later)], ANCHOR)
 
     return run
 
 
+#: Anchor rows: how they are dealt out, k-gram, context digest, place, and whether they are known to be covered.
+ANCHOR = ["r", "h", "c", "d", "t", "p", "later"]
+
+
+def _later(rows: np.ndarray) -> np.ndarray:
+    """Whether a row (what repeats in two fields, place in three) has an equal with a smaller place among these."""
+    order = np.lexsort(rows[::-1])
+    own = rows[:, order]
+    first = np.concatenate([[True], (own[:2, 1:] != own[:2, :-1]).any(0)]) if own.shape[1] else np.zeros(0, bool)
+    start = np.flatnonzero(first)[np.cumsum(first) - 1]
+    out = np.empty(own.shape[1], bool)
+    # the same place again is no repeat
+    out[order] = (own[2:] != own[2:, start]).any(0)
+    return out
+
+
+def _spread(*fields: np.ndarray) -> np.ndarray:
+    """A number that deals rows out evenly, whatever their k-gram."""
+    mixed = np.zeros(len(fields[0]), np.uint64)
+    for field in fields:
+        mixed = (mixed ^ field.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return mixed.view(np.int64)
+
+
 def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams anchors sorted by (h, c, d, t, p): what repeats wholly (kind 0), and what is to be compared (1, 2: large group).
+    """Streams anchors sorted by (r, c, d, t, p): what repeats wholly (kind 0), and what is to be compared (1, 2: large group).
 
-    Of the group that is still open, at most GROUP requests are held back.
+    Anchors that are known to be covered pass through; the others are dealt by their k-gram. Of the group that is still open, at most GROUP requests are held back.
     """
     schema = ["d", "t", "p", "h", "kind"]
     last_h, last_c, last_place = None, None, (None, None, None)
@@ -147,9 +180,13 @@ def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(rows, np.full(len(rows), 2 if count > GROUP else 1))
 
     for batch in batches:
-        if not batch.num_rows:
+        known = batch.column(6).to_numpy(zero_copy_only=False)
+        h, c, d, t, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6))
+        if known.any():
+            yield out(np.stack([d, t, p, h], 1)[known], np.zeros(known.sum()))
+            h, c, d, t, p = (x[~known] for x in (h, c, d, t, p))
+        if not len(h):
             continue
-        h, c, d, t, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
         new_h = h != np.concatenate([[~h[0] if last_h is None else last_h], h[:-1]])
         new = new_h | (c != np.concatenate([[0 if last_c is None else last_c], c[:-1]]))
         # equal rows of the table give the same anchors again
@@ -189,6 +226,7 @@ def _context_rows(text: str, names: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in table_batches(batches, 4 << 20):
             rows: list[tuple] = []
+            whole: list[tuple] = []  # strings of large groups
             bounds, (places, grams, kinds) = _lists(batch.column(marks))
             columns = (batch.column(c).to_pylist() for c in (d, t, tag, parts))
             for i, (body, doc, half, key, own) in enumerate(zip(utf8(batch.column(text)), *columns)):
@@ -207,16 +245,25 @@ def _context_rows(text: str, names: list[str]):
                     else:
                         for start in range(low, high - LENGTH + 1):
                             string = xxhash.xxh3_128_digest(body[start : start + LENGTH])
-                            rows.append((int.from_bytes(string[:8], "big", signed=True), None, string, doc, half, base + start))
-                    if len(rows) > 50_000:
-                        yield _rows(rows)
-                        rows = []
-            if rows:
-                yield _rows(rows)
+                            whole.append((int.from_bytes(string[:8], "big", signed=True), None, string, doc, half, base + start))
+                    if len(rows) + len(whole) > 200_000:
+                        yield _rows(rows + _dealt(whole))
+                        rows, whole = [], []
+            if rows or whole:
+                yield _rows(rows + _dealt(whole))
 
     return run
 
 
+def _dealt(whole: list[tuple]) -> list[tuple]:
+    """Strings of large groups: those that an earlier one among them repeats lose their digest, and are dealt out by their place."""
+    if not whole:
+        return whole
+    halves = np.array([(r[0], int.from_bytes(r[2][8:], "big", signed=True), *r[3:]) for r in whole], np.int64).T
+    deal = _spread(halves[2], halves[4])
+    return [(int(deal[i]), None, None, *r[3:]) if late else r for i, (r, late) in enumerate(zip(whole, _later(halves).tolist()))]
+
+
 CONTEXT = pa.schema([("h", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("d", pa.int64()), ("t", pa.int64()), ("p", pa.int64())])
 
 
@@ -311,6 +358,9 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            if row[2] is None:  # known to be covered
+                ranges.append((*row[3:5], row[5], row[5] + LENGTH))
+                continue
             if row == last or row == covered:  # a whole string that two anchors share, or a row that is there again
                 continue
             if last is not None and row[:3] == last[:3]:
@@ -441,8 +491,8 @@ def _applied(docs: DataFrame, id_col: str, text_col: str, give: Callable, extra:
     info = placed.join(firsts, "tag").groupBy("d", "t").agg(F.collect_list(own).alias("parts"))
     info = staged(info, "copies").select(F.col("d").alias(d), F.col("t").alias(t), F.col("parts").alias(parts))
     placed_docs = source.join(info.hint("shuffle_hash"), [d, t])
-    found = placed_docs.mapInArrow(_anchor_rows(text_col, [d, t, tag, parts]), "h long, c long, d long, t long, p long")
-    marked = found.repartition("h").sortWithinPartitions("h", "c", "d", "t", "p").mapInArrow(_marks, "d long, t long, p long, h long, kind byte")
+    found = placed_docs.mapInArrow(_anchor_rows(text_col, [d, t, tag, parts]), "r long, h long, c long, d long, t long, p long, later boolean")
+    marked = found.repartition("r").sortWithinPartitions("r", "c", "d", "t", "p").mapInArrow(_marks, "d long, t long, p long, h long, kind byte")
     by_text = [F.col("d").alias(d), F.col("t").alias(t)]
     asked = placed_docs.join(marked.groupBy(*by_text).agg(F.collect_list(F.struct("p", "h", "kind")).alias(marks)).hint("shuffle_hash"), [d, t], "left")
     contexts = asked.mapInArrow(
