@@ -130,14 +130,16 @@ def _anchor_rows(text: str, names: list[str]):
             doc, half, base = np.array(owners, np.int64)[row].T
             rows = np.stack([hashes.view(np.int64), context.view(np.int64), doc, half, base + place - starts[row]])
             later = _later(rows)
-            deal = np.where(later, _spread(rows[2], rows[4]), rows[0])
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (deal, *rows)] + [pa.array(later)], ANCHOR)
+            # nothing is compared for what is covered: it needs neither k-gram nor digest
+            rows[0] = np.where(later, _spread(rows[2], rows[4]), rows[0])
+            rows[1][later] = 0
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows] + [pa.array(later)], ANCHOR)
 
     return run
 
 
-#: Anchor rows: how they are dealt out, k-gram, context digest, place, and whether they are known to be covered.
-ANCHOR = ["r", "h", "c", "d", "t", "p", "later"]
+#: Anchor rows: k-gram (of a covered one a number that deals it out), context digest, place, and whether it is known to be covered.
+ANCHOR = ["h", "c", "d", "t", "p", "later"]
 
 
 def _later(rows: np.ndarray) -> np.ndarray:
@@ -162,7 +164,7 @@ def _spread(*fields: np.ndarray) -> np.ndarray:
 
 
 def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams anchors sorted by (r, c, d, t, p): what repeats wholly (kind 0), and what is to be compared (1, 2: large group).
+    """Streams anchors sorted by (h, c, d, t, p): what repeats wholly (kind 0), and what is to be compared (1, 2: large group).
 
     Anchors that are known to be covered pass through; the others are dealt by their k-gram. Of the group that is still open, at most GROUP requests are held back.
     """
@@ -180,8 +182,8 @@ def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(rows, np.full(len(rows), 2 if count > GROUP else 1))
 
     for batch in batches:
-        known = batch.column(6).to_numpy(zero_copy_only=False)
-        h, c, d, t, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6))
+        known = batch.column(5).to_numpy(zero_copy_only=False)
+        h, c, d, t, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
         if known.any():
             yield out(np.stack([d, t, p, h], 1)[known], np.zeros(known.sum()))
             h, c, d, t, p = (x[~known] for x in (h, c, d, t, p))
@@ -491,8 +493,8 @@ def _applied(docs: DataFrame, id_col: str, text_col: str, give: Callable, extra:
     info = placed.join(firsts, "tag").groupBy("d", "t").agg(F.collect_list(own).alias("parts"))
     info = staged(info, "copies").select(F.col("d").alias(d), F.col("t").alias(t), F.col("parts").alias(parts))
     placed_docs = source.join(info.hint("shuffle_hash"), [d, t])
-    found = placed_docs.mapInArrow(_anchor_rows(text_col, [d, t, tag, parts]), "r long, h long, c long, d long, t long, p long, later boolean")
-    marked = found.repartition("r").sortWithinPartitions("r", "c", "d", "t", "p").mapInArrow(_marks, "d long, t long, p long, h long, kind byte")
+    found = placed_docs.mapInArrow(_anchor_rows(text_col, [d, t, tag, parts]), "h long, c long, d long, t long, p long, later boolean")
+    marked = found.repartition("h").sortWithinPartitions("h", "c", "d", "t", "p").mapInArrow(_marks, "d long, t long, p long, h long, kind byte")
     by_text = [F.col("d").alias(d), F.col("t").alias(t)]
     asked = placed_docs.join(marked.groupBy(*by_text).agg(F.collect_list(F.struct("p", "h", "kind")).alias(marks)).hint("shuffle_hash"), [d, t], "left")
     contexts = asked.mapInArrow(
