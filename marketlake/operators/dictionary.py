@@ -19,21 +19,22 @@ COLUMN_SCHEMA = (
 DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
 
 
-def _base(kind: DataType, max_bytes: int | None) -> tuple[str, int | None, int | None, int | None]:
+def _base(kind: DataType, max_bytes: int | None, digits: int | None = None) -> tuple[str, int | None, int | None, int | None]:
     """(base type, length, precision, scale) of a Spark type."""
     if isinstance(kind, StringType):
         return ("VARCHAR2", max_bytes, None, None) if max_bytes else ("CLOB", None, None, None)
     if isinstance(kind, DecimalType):
         return ("NUMBER", None, kind.precision, kind.scale)
     if isinstance(kind, IntegralType):
-        return ("NUMBER", None, DIGITS[kind.simpleString()], 0)
-    return {"date": "DATE", "double": "NUMBER", "float": "NUMBER"}.get(kind.simpleString(), "TIMESTAMP"), None, None, None
+        return ("NUMBER", None, digits or DIGITS[kind.simpleString()], 0)
+    names = {"date": "DATE", "double": "NUMBER", "float": "NUMBER", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+    return names.get(kind.simpleString(), "CLOB"), None, None, None  # lists and the like are kept as text
 
 
 def columns_of(spark: SparkSession, owner: str, tables: Iterable[tuple[str, StructType]]) -> DataFrame:
     """Column facts of declared schemas; as many rows as there are columns, whatever the data."""
     rows = [
-        (owner, name, f.name, *_base(f.dataType, f.metadata.get("max_bytes")), f.nullable, position)
+        (owner, name, f.name, *_base(f.dataType, f.metadata.get("max_bytes"), f.metadata.get("max_digits")), f.nullable, position)
         for name, schema in tables
         for position, f in enumerate(schema, 1)
     ]
