@@ -12,14 +12,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import fold, table_batches, utf8
+from marketlake.llm.common import fold, row_key, table_batches, utf8
 
 ORDERS, BITS, WIDTH = (2, 3, 4), 16, 16
 #: Texts of a language that the model is fitted on, at most, and of these the share that calibrates it.
-PER_LANGUAGE, CALIBRATE = 500, 0.2
+PER_LANGUAGE, CALIBRATE = 1_500, 0.2
 #: Largest share of accepted calibration texts that may be wrong.
 WRONG = 0.01
 #: Digits, punctuation and white space separate; A-Z are lower-cased.
@@ -160,21 +160,18 @@ def fit(texts: list[bytes], labels: list[str], epochs: int = 4, rate: float = 0.
 def train(docs: DataFrame, train_fold, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Fits on at most ``per_language`` texts of every language among the rows for which ``train_fold`` holds.
 
-    The choice goes by a hash of the id. Rows without language or text are not used.
+    The choice goes by a hash of id and text, in one pass over the rows of all languages; equal rows count
+    once. Rows without language or text are not used. Below 50 texts nothing is left out to calibrate
+    on, and every text is accepted.
     """
-    known = docs.filter(train_fold & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("y"))
-    languages = sorted(r[0] for r in known.select("y").distinct().collect())
-    order = [F.xxhash64("id"), F.col("id")]
-    parts = [known.filter(F.col("y") == y).orderBy(*order).limit(per_language) for y in languages]
-    if not parts:
-        return fit([], [])
-    chosen = parts[0]
-    for part in parts[1:]:
-        chosen = chosen.unionByName(part)
-    texts = docs.filter(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("y"), F.col(text_col).cast("binary").alias("text")
-    )
-    rows = texts.join(F.broadcast(chosen.distinct()), ["id", "y"]).select("text", "y").toPandas()
+    known = docs.filter(train_fold & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    one, two = row_key(id_col, text_col)
+    keyed = known.select(one.alias("k1"), two.alias("k2"), F.col(lang_col).alias("y"), F.col(text_col).cast("binary").alias("text"))
+    # planned with a group limit before the shuffle: a task sends so many keys a language, and their equals
+    ranked = keyed.select("y", "k1", "k2").withColumn("rank", F.dense_rank().over(Window.partitionBy("y").orderBy("k1", "k2")))
+    chosen = ranked.filter(F.col("rank") <= per_language).select("y", "k1", "k2").distinct()
+    found = keyed.join(F.broadcast(chosen), ["y", "k1", "k2"]).dropDuplicates(["y", "k1", "k2"])
+    rows = found.select("text", "y").toPandas()
     rows = rows.assign(text=[bytes(t) for t in rows["text"]]).sort_values(["y", "text"])
     return fit(list(rows["text"]), list(rows["y"]))
 
