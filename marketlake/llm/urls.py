@@ -17,7 +17,7 @@ from marketlake.llm.common import fresh, staged
 
 #: URLs per block: 16 bits for a URL.
 PER_BLOCK = 16
-#: Blocks at most: the broadcast filter stays below 2^18 * 40 bytes = 10 MB. A longer list only lets more false positives through to the join.
+#: Blocks that are broadcast at most, 2^18 * 40 bytes = 10 MB. The filter of a longer list is joined by block instead.
 MOST_BLOCKS = 1 << 18
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)[?]?([^#]*)"
@@ -84,7 +84,7 @@ def _bits(key: Column) -> list[Column]:
 
 def bloom_filter(listed: DataFrame, key: str, count: int) -> tuple[DataFrame, int]:
     """(block, w0..w3) of the keys, and the number of blocks; combined on the map side."""
-    blocks = min(MOST_BLOCKS, max(1, -(-count // PER_BLOCK)))
+    blocks = max(1, -(-count // PER_BLOCK))
     own = listed.select(_block(F.col(key), blocks).alias("block"), *[b.alias(f"w{j}") for j, b in enumerate(_bits(F.col(key)))])
     return own.groupBy("block").agg(*[F.bit_or(f"w{j}").alias(f"w{j}") for j in range(4)]), blocks
 
@@ -107,7 +107,8 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, url_col: str =
     urls = listed.select(canonical(listed_col).alias("canonical_url")).filter("canonical_url <> ''").distinct()
     urls = staged(urls, "listed")
     bits, blocks = bloom_filter(urls, "canonical_url", urls.count())
-    bits = F.broadcast(bits.select(F.col("block").alias(block), *[F.col(f"w{j}").alias(w) for j, w in enumerate(words)]))
+    bits = bits.select(F.col("block").alias(block), *[F.col(f"w{j}").alias(w) for j, w in enumerate(words)])
+    bits = F.broadcast(bits) if blocks <= MOST_BLOCKS else staged(bits, "filter")
     probed = parts.withColumn(block, _block(F.col("canonical_url"), blocks)).join(bits, block, "left")
     masks = _bits(F.col("canonical_url"))
     maybe = reduce(lambda a, b: a & b, [F.col(w).isNotNull() & (F.col(w).bitwiseAND(m) == m) for w, m in zip(words, masks)])

@@ -358,7 +358,7 @@ def test_automaton_agrees_with_pattern(label):
 # --- URL filter ---
 
 
-def test_urls(spark):
+def test_urls(spark, monkeypatch):
     rules = [urls.Rule("allow", "com", "/"), urls.Rule("block", "bad.com", "/x/")]
     rows = [
         (1, "https://WWW.Bad.com/x/1?b=2&a=1&utm_q=3#f"),
@@ -389,6 +389,9 @@ def test_urls(spark):
         (9, "sub.bad.com", "/x/", "bad.com/x/", False, "block"),
     ]
     assert urls.judge(pages, rules, listed.limit(0)).filter("listed").count() == 0
+    # a filter that is too large to be broadcast is joined by block
+    monkeypatch.setattr(urls, "MOST_BLOCKS", 0)
+    assert sorted(map(tuple, urls.judge(pages, rules, listed).collect()), key=repr) == sorted(map(tuple, got.collect()), key=repr)
     assert urls.judge(pages.limit(0), rules, listed).collect() == []
 
 
