@@ -84,7 +84,7 @@ def _bags(texts: list[bytes]) -> list[np.ndarray]:
     bags = []
     for text in texts:
         data, _ = joined([text])
-        bags.append(np.concatenate([subwords(data, n) for n in ORDERS]).astype(np.int64))
+        bags.append(np.concatenate([subwords(data, n) for n in ORDERS]).astype(np.uint16))
     return bags
 
 
@@ -161,14 +161,16 @@ def train(docs: DataFrame, train_fold, id_col: str = "doc_id", text_col: str = "
     """Fits on at most ``per_language`` texts of every language among the rows for which ``train_fold`` holds.
 
     The choice goes by a hash of id and text, in one pass over the rows of all languages; equal rows count
-    once. Rows without language or text are not used. Below 50 texts nothing is left out to calibrate
+    once (a language of which three quarters are equal rows may give fewer texts). Rows without language or text are not used. Below 50 texts nothing is left out to calibrate
     on, and every text is accepted.
     """
     known = docs.filter(train_fold & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     one, two = row_key(id_col, text_col)
     keyed = known.select(one.alias("k1"), two.alias("k2"), F.col(lang_col).alias("y"), F.col(text_col).cast("binary").alias("text"))
-    # planned with a group limit before the shuffle: a task sends so many keys a language, and their equals
-    ranked = keyed.select("y", "k1", "k2").withColumn("rank", F.dense_rank().over(Window.partitionBy("y").orderBy("k1", "k2")))
+    # hashes are spread evenly: of a large language only the low ones need a rank
+    counts = known.groupBy(F.col(lang_col).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    low = F.col("k1") / F.lit(2.0**64) + 0.5 <= F.lit(4.0 * per_language) / F.col("n")
+    ranked = keyed.select("y", "k1", "k2").join(counts, "y").filter(low).withColumn("rank", F.dense_rank().over(Window.partitionBy("y").orderBy("k1", "k2")))
     chosen = ranked.filter(F.col("rank") <= per_language).select("y", "k1", "k2").distinct()
     found = keyed.join(F.broadcast(chosen), ["y", "k1", "k2"]).dropDuplicates(["y", "k1", "k2"])
     rows = found.select("text", "y").toPandas()
