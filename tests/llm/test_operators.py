@@ -516,15 +516,16 @@ def test_windows_score_each_token_once(size):
     assert seen == Counter(range(size))
 
 
-def test_classes_are_frequent_in_all_texts(spark, monkeypatch):
+def test_frequent_ids_are_those_of_all_texts(spark, monkeypatch):
     monkeypatch.setattr(scoring, "SAMPLE", 1)
     monkeypatch.setattr(scoring, "STEPS", 1)
     rows = [(i, word * 40) for i in range(6) for word in (" apple", " house", " river")]
-    model, _ = scoring.train(spark.createDataFrame([(3 * i + k, t) for k, (i, t) in enumerate(rows)], "doc_id long, text string"), F.lit(True))
+    docs = spark.createDataFrame([(3 * i + k, t) for k, (i, t) in enumerate(rows)], "doc_id long, text string")
+    model = scoring.fit(scoring.encode(docs, F.lit(True)))
     encoder = packing.Encoder(packing.default_vocabulary())
-    ids = {int(x) for _, t in rows for x in np.frombuffer(encoder.encode([t])[0], "<u4")}
-    classes, inputs = ([int(v[i]) for i in sorted(ids)] for v in (model.vocabulary.classes, model.vocabulary.inputs))
-    assert max(classes) <= len(ids) and max(inputs) <= len(ids)
+    ids = {int(x) for _, t in rows for x in np.frombuffer(encoder.encode([t])[0], "<u4")} | {50256}
+    ranks, inputs = ([int(v[i]) for i in sorted(ids)] for v in (model.vocabulary.ranks, model.vocabulary.inputs))
+    assert sorted(ranks) == sorted(inputs) == list(range(len(ids)))
 
 
 def test_scored_places_see_half_a_window():
@@ -545,34 +546,97 @@ def test_training_reaches_every_id_of_short_texts(monkeypatch):
     encoder = packing.Encoder(path)
     size = encoder.tokenizer.get_vocab_size()
     vocabulary = scoring.Vocabulary.of(np.zeros(size), 50256)
-    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 7])], ["text"]) for i in range(0, len(texts), 7)]
-    out = list(scoring._trained(path, vocabulary, scoring.start_weights())(iter(batches)))
-    windows = len(scoring.windows(np.array([len(e) // 4 + 1 for e in encoder.encode(texts)]))[0])
-    weight = [r["value"] for b in out for r in b.to_pylist()]
-    assert weight[-1:] == [windows] and sum(goals) == sum(len(e) // 4 + 1 for e in encoder.encode(texts))
+    encoded = encoder.encode(texts)
+    batches = [pa.RecordBatch.from_arrays([pa.array(encoded[i : i + 7], pa.binary())], ["ids"]) for i in range(0, len(texts), 7)]
+    out = list(scoring._trained(vocabulary, scoring.start_weights(vocabulary))(iter(batches)))
+    windows = len(scoring.windows(np.array([len(e) // 4 + 1 for e in encoded]), scoring.CONTEXT)[0])
+    weight = [r["value"] for b in out for r in b.to_pylist() if r["place"] == -1]
+    assert weight == [windows] and sum(goals) == sum(len(e) // 4 + 1 for e in encoded)
+
+
+@pytest.fixture
+def small_model(monkeypatch):
+    """A model of 1,100 ids with random weights, of which many share classes."""
+    monkeypatch.setattr(scoring, "HEAD", 20)
+    monkeypatch.setattr(scoring, "BUCKET", 200)
+    monkeypatch.setattr(scoring, "OWN", 300)
+    monkeypatch.setattr(scoring, "SHARED", 50)
+    rng = np.random.default_rng(0)
+    vocabulary = scoring.Vocabulary.of(rng.integers(0, 50, 1100), 7)
+    weights = scoring.start_weights(vocabulary)
+    weights["tail"] += rng.normal(size=weights["tail"].shape).astype(np.float32) * 0.2
+    return scoring.Model(vocabulary, weights)
 
 
-def test_gradient_and_fast_states():
-    weights = {k: v.astype(np.float64) for k, v in scoring.start_weights().items()}
+def test_gradient_and_fast_states(small_model):
+    weights = {k: v.astype(np.float64) for k, v in small_model.weights.items()}
     rng = np.random.default_rng(0)
-    ids, goals = rng.integers(0, scoring.INPUTS, (3, scoring.CONTEXT)), rng.integers(0, scoring.CLASSES, (3, scoring.CONTEXT))
+    ids, goals = rng.integers(0, 350, (3, scoring.CONTEXT)), rng.integers(0, 1100, (3, scoring.CONTEXT))
     used = rng.random((3, scoring.CONTEXT)) < 0.7
     slopes = scoring.gradient(weights, ids, goals, used)[1]
     for name, w in weights.items():
+        slope = slopes[name]
+        if isinstance(slope, tuple):
+            rows, values = slope
+            slope = np.zeros_like(w)
+            slope[rows] = values
         at = (ids[0, 0], 0) if name == "embed" else tuple(rng.integers(0, s) for s in w.shape)
         w[at] += 1e-5
         up = scoring.gradient(weights, ids, goals, used)[0]
         w[at] -= 2e-5
         down = scoring.gradient(weights, ids, goals, used)[0]
         w[at] += 1e-5
-        assert slopes[name][at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-8)
-    model = scoring.Model(scoring.Vocabulary(np.zeros(9, int), np.zeros(9, int), 1), scoring.start_weights(), np.zeros(9))
-    assert np.allclose(model._states(ids).reshape(-1, scoring.WIDTH), scoring._attention(model.weights, ids)[0], atol=1e-4)
-
-
-def test_next_id_probabilities_add_up():
+        assert slope[at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-8)
+    assert np.allclose(small_model._states(ids).reshape(-1, scoring.WIDTH), scoring._attention(small_model.weights, ids)[0], atol=1e-4)
+
+
+def plain_shares(model, ids):
+    """Probability of every id of the vocabulary after ``ids``, place by place and head by head."""
+    w = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    own = [w["embed"][model.vocabulary.inputs[i]] for i in ids]
+    x = [own[t] + w["place"][t] + (own[t - 1] @ w["before"] if t else 0) for t in range(len(ids))]
+    width, mixed = scoring.WIDTH // scoring.HEADS, []
+    for head in range(scoring.HEADS):
+        q, k, v = (np.array([row @ w["qkv"][:, s : s + width] for row in x]) for s in (scoring.WIDTH * part + width * head for part in range(3)))
+        weight = np.exp([q[-1] @ key / math.sqrt(width) for key in k])
+        mixed.append(sum(a * row for a, row in zip(weight / weight.sum(), v)))
+    y = x[-1] + np.concatenate(mixed) @ w["join"]
+    h = y + np.maximum(y @ w["up"] + w["up_bias"], 0) @ w["down"]
+    softmax = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    kinds = softmax(h @ w["out"] + w["out_bias"])
+    tails = [kinds[scoring.HEAD + b] * softmax(w["tail"][b] @ h + w["tail_bias"][b]) for b in range(len(w["tail"]))]
+    return np.concatenate([kinds[: scoring.HEAD], *tails])[model.vocabulary.ranks]
+
+
+def test_scores_equal_a_plain_version(small_model):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 1100, n) for n in (0, 1, 31, 32, 50, 90)]
+    got = small_model.score([t.astype("<u4").tobytes() for t in texts])
+    for text, value in zip(texts, got):
+        line, want = [7, *text, 7], 0.0
+        for t in range(1, len(line)):
+            begin = 0 if t <= scoring.CONTEXT else -(-(t - scoring.CONTEXT) // scoring.STRIDE) * scoring.STRIDE
+            shares = plain_shares(small_model, line[begin:t])
+            assert shares.sum() == pytest.approx(1)
+            want += math.log10(shares[line[t]])
+        assert value == pytest.approx(want, rel=1e-5)
+
+
+def test_untrained_ids_have_their_shares():
     counts = np.arange(3000.0)
     vocabulary = scoring.Vocabulary.of(counts, 7)
-    within = scoring._within(vocabulary, counts)
-    shares = np.bincount(vocabulary.classes, 10**within, scoring.CLASSES)
-    assert np.allclose(shares, 1)
+    weights = scoring.start_weights(vocabulary)
+    kinds = np.exp(weights["out_bias"] - weights["out_bias"].max())
+    tails = np.exp(weights["tail_bias"])
+    shares = np.concatenate([kinds[: scoring.HEAD], (kinds[scoring.HEAD :, None] * tails / tails.sum(1, keepdims=True)).ravel()])
+    assert np.allclose(shares[vocabulary.ranks] / kinds.sum(), (counts + 0.5) / (counts + 0.5).sum(), rtol=1e-4)
+
+
+def test_model_beats_word_counts(spark, monkeypatch):
+    """Texts of a few sentences that come again in other orders: context tells the next word, counts do not."""
+    monkeypatch.setattr(scoring, "STEPS", 150)
+    rng = np.random.default_rng(3)
+    lines = [prose(8, k) + "." for k in range(12)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(lines, 12))) for i in range(300)], "doc_id long, text string")
+    got = scoring.score(docs, F.col("doc_id") % 5 != 1).filter("doc_id % 5 = 1").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > 0.7 * got[1]
