@@ -20,17 +20,77 @@ from marketlake.llm.common import WORD_TABLE, table_batches, utf8
 #: Phrases that are always looked for, and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Wording of common notices and licenses, as templates; labels of the method.
+#: Wording of common notices and whole licenses as templates, by label of the method. Clause numbers
+#: and links are optional, names of holders replaceable, all other words mandatory.
 TEMPLATES = {
     "mit-notice": "released under <<optional>>the terms of<</optional>> <<optional>>the<</optional>> mit license",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of"
-    " <<optional>>this software and associated documentation files the software<</optional>>"
-    " <<optional>>to deal in the software<</optional>>",
+    "mit-text": """
+        permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation the
+        rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit
+        persons to whom the software is furnished to do so subject to the following conditions
+        the above copyright notice and this permission notice <<optional>>including the next paragraph<</optional>>
+        shall be included in all copies or substantial portions of the software
+        the software is provided as is without warranty of any kind express or implied including but not limited to the
+        warranties of merchantability fitness for a particular purpose and noninfringement in no event shall <<var 8>>
+        be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising
+        from out of or in connection with the software or the use or other dealings in the software""",
     "apache-2.0": "licensed under the apache license version 2 0 <<optional>>the license<</optional>>",
+    "apache-2.0-header": """
+        licensed under the apache license version 2 0 the license you may not use this file except in compliance with
+        the license you may obtain a copy of the license at
+        <<optional>>http<</optional>> <<optional>>https<</optional>> <<optional>>www<</optional>> apache org licenses license
+        2 0 <<optional>>txt<</optional>> <<optional>>html<</optional>>
+        unless required by applicable law or agreed to in writing software distributed under the license is distributed
+        on an as is basis without warranties or conditions of any kind either express or implied
+        see the license for the specific language governing permissions and limitations under the license""",
     "gpl-notice": "licensed under the <<optional>>terms of the<</optional>> gnu <<optional>>lesser<</optional>>"
     " general public license <<optional>>as published by the <<var 3>> foundation either<</optional>> version <<var 1>>",
-    "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted"
-    " <<optional>>provided that the following conditions are met<</optional>>",
+    **{
+        f"{label}-header": f"""
+        is free software you can redistribute it and or modify it under the terms of the gnu {kind} general public license
+        as published by the free software foundation <<optional>>either<</optional>> version <<var 2>> of the license
+        <<optional>>or <<optional>>at your option<</optional>> any later version<</optional>>
+        <<var 4>> is distributed in the hope that it will be useful but without any warranty without even the implied
+        warranty of merchantability or fitness for a particular purpose see the gnu {kind} general public license for more
+        details"""
+        for label, kind in {"gpl": "", "lgpl": "lesser", "agpl": "affero"}.items()
+    },
+    **{
+        label: f"""
+        redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met
+        <<optional>><<var 1>><</optional>> redistributions of source code must retain the above copyright notice this list of
+        conditions and the following disclaimer
+        <<optional>><<var 1>><</optional>> redistributions in binary form must reproduce the above copyright notice this list
+        of conditions and the following disclaimer in the documentation and or other materials provided with the
+        distribution {clause}
+        this software is provided by <<var 12>> as is and any express or implied warranties including but not limited to
+        the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall
+        <<var 12>> be liable for any direct indirect incidental special exemplary or consequential damages including but not
+        limited to procurement of substitute goods or services loss of use data or profits or business interruption
+        however caused and on any theory of liability whether in contract strict liability or tort including negligence
+        or otherwise arising in any way out of the use of this software even if advised of the possibility of such
+        damage"""
+        for label, clause in {
+            "bsd-2-text": "",
+            "bsd-3-text": """
+        <<optional>><<var 1>><</optional>> neither the name of <<var 12>> nor the names of <<var 1>> contributors may be used to
+        endorse or promote products derived from this software without specific prior written permission""",
+        }.items()
+    },
+    "isc-text": """
+        permission to use copy modify and <<optional>>or<</optional>> distribute this software for any purpose with or without
+        fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies
+        the software is provided as is and <<var 8>> disclaims all warranties with regard to this software including all
+        implied warranties of merchantability and fitness in no event shall <<var 8>> be liable for any special direct
+        indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether
+        in an action of contract negligence or other tortious action arising out of or in connection with the use or
+        performance of this software""",
+    "mpl-2.0-header": """
+        this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not
+        distributed with this file you can obtain one at <<optional>>http<</optional>> <<optional>>https<</optional>>
+        <<optional>>www<</optional>> mozilla org mpl 2 0""",
     "cc-notice": "licensed under <<optional>>the<</optional>> <<optional>>creative commons<</optional>> cc by"
     " <<optional>>nc<</optional>> <<optional>>sa<</optional>> <<optional>>nd<</optional>> <<var 1>> <<optional>>0<</optional>>",
 }
@@ -179,7 +239,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """One row per row of ``docs``: (id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans).
 
     score is 1 if a template is accepted, 0.5 if only a base phrase is found, else 0; spans are the
-    accepted runs of words. Null and empty texts have no words. Repeated rows and ids keep a row each;
+    accepted runs of words, the longest from each place where one starts, so that spans may overlap. Null and empty texts have no words. Repeated rows and ids keep a row each;
     an empty table gives no rows.
     """
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

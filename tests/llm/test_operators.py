@@ -331,6 +331,51 @@ def test_licenses(spark):
     assert (rows[6]["n_words"], rows[6]["first_word"], rows[6]["score"]) == (0, None, 0.0)
 
 
+def license_text(template, fill="Some Holder"):
+    """A text that the template accepts: with all optional words, one name in each replaceable region."""
+
+    def words(items):
+        for item in items:
+            if isinstance(item, list):
+                yield from words(item)
+            else:
+                yield (fill if item > 1 else "1.") if isinstance(item, int) else item
+
+    return list(words(licences.parse(template)))
+
+
+WHOLE = [label for label in licences.TEMPLATES if label.endswith(("-text", "-header"))]
+
+
+@pytest.mark.parametrize("label", WHOLE)
+def test_one_mandatory_word_decides(label):
+    scanner = licences.Scanner(licences.TEMPLATES, licences.BASE)
+    words = license_text(licences.TEMPLATES[label])
+
+    def labels(some):
+        return set(scanner.scan(("Preface. " + ", ".join(some).upper() + "\nmore").encode())[3])
+
+    assert label in labels(words)
+    mandatory = licences.parse(licences.TEMPLATES[label])
+    plain = [i for i, w in enumerate(words) if w in mandatory]
+    assert len(plain) > 20
+    for i in plain[3:-1:5]:
+        assert label not in labels([*words[:i], "otherwise-worded", *words[i + 1 :]])
+        if words[i] not in (words[i - 1], words[i + 1]):
+            assert label not in labels([*words[:i], *words[i + 1 :]])
+    assert label not in labels(words[: len(words) // 2])
+
+
+def test_license_scan_edges(spark):
+    text = " ".join(license_text(licences.TEMPLATES["mit-text"]))
+    rows = [(1, text, 3), (1, text, 4), (2, "word " * 200_000 + text, 5), (None, "MIT license", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words int")
+    got = licences.scan(docs)
+    seen = sorted(((r["doc_id"] or 0, r["labels"], r["score"]) for r in got.collect()))
+    assert seen == [(0, "mit", 0.5), (1, "mit-text", 1.0), (1, "mit-text", 1.0), (2, "mit-text", 1.0)]
+    assert licences.scan(docs.limit(0)).collect() == [] and got.columns[:2] == ["doc_id", "n_words"]
+
+
 @pytest.mark.parametrize("label", list(licences.TEMPLATES))
 def test_automaton_agrees_with_pattern(label):
     import re
