@@ -82,6 +82,17 @@ def html_list_items(t: Tables) -> DataFrame:
     return items.select("page_id", "pos", pages.plain_text(F.col("fragment")).alias("item"))
 
 
+@query("""SELECT p_partkey AS page_id, '中 ' || p_name || ' & &lt; &#0; <' || p_brand || '>' AS name FROM part""")
+def html_entities(t: Tables) -> DataFrame:
+    """Names written as decimal entities, brands as hexadecimal ones, and what must not be decoded twice."""
+    decimal = F.transform(F.split("p_name", ""), lambda c: F.concat(F.lit("&#"), F.ascii(c).cast("string"), F.lit(";")))
+    hexadecimal = F.transform(F.split("p_brand", ""), lambda c: F.concat(F.lit("&#x"), F.hex(F.ascii(c)), F.lit(";")))
+    html = F.concat(
+        F.lit("<td> &#20013; <b>"), F.array_join(decimal, ""), F.lit("</b> & &amp;lt; &#0; &lt;"), F.array_join(hexadecimal, ""), F.lit("&gt;</td>")
+    )
+    return t.part.select(F.col("p_partkey").alias("page_id"), pages.plain_text(html).alias("name"))
+
+
 @query("""SELECT o_orderkey AS page_id, CAST(o_orderdate AS DATE) AS report_date, '/reports/' || o_orderkey || '.csv' AS href,
   CAST(1 AS INTEGER) AS pos FROM orders""")
 def html_report_list(t: Tables) -> DataFrame:

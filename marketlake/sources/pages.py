@@ -25,12 +25,37 @@ def all_matches(html: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
 
 
+# Named entities that are decoded, and the form of any entity at the start of what follows "&".
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "amp": "&"}
+ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|lt|gt|quot|apos|nbsp|amp);"
+
+
+def _entity_piece(piece: Column) -> Column:
+    """What follows an "&", with the entity that it starts with decoded; otherwise with its "&" again."""
+    name = F.regexp_extract(piece, ENTITY, 1)
+    rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+    digits = F.when(F.lower(F.substring(name, 1, 2)) == "#x", F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10))
+    point = F.coalesce(digits, F.substring(name, F.lit(2), F.length(name))).try_cast("int")
+    is_char = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+    named = F.lit(None).cast("string")
+    for entity, char in ENTITIES.items():
+        named = F.when(name == entity, F.lit(char)).otherwise(named)
+    numeric = F.when(is_char, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+    char = F.when(name.startswith("#"), numeric).otherwise(named)
+    return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+
+def decoded(value: Column) -> Column:
+    """The text with named and numeric entities decoded, each once: ``&amp;lt;`` becomes ``&lt;``. Numbers that are
+    no characters, and other names, stay as they are."""
+    pieces = F.split(value, "&", -1)
+    whole = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(after_first(pieces), _entity_piece), ""))
+    return F.when(F.contains(value, F.lit("&")), whole).otherwise(value)
+
+
 def plain_text(fragment: Column) -> Column:
-    """Fragment without tags, trimmed, with the basic entities decoded."""
-    bare = F.trim(F.regexp_replace(fragment, ANY_TAG, ""))
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
-        bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return bare
+    """Fragment without tags, trimmed, with entities decoded."""
+    return decoded(F.trim(F.regexp_replace(fragment, ANY_TAG, "")))
 
 
 def after_first(pieces: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.sources import landing, pages
@@ -100,3 +101,22 @@ def test_landing_keeps_arrival_order(spark, tmp_path):
     spark.range(5).coalesce(1).write.parquet(str(tmp_path / "in"))
     got = landing.read_landing(spark, str(tmp_path / "in")).collect()
     assert [r._pos for r in got] == [r.id for r in got] and len({r._batch for r in got}) == 1
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("A &amp; B", "A & B"),
+        ("&lt;b&gt; &quot;x&quot;&nbsp;&apos;y&apos;", "<b> \"x\" 'y'"),
+        ("&#20013;&#x56fd;&#X1F600;", "中国\U0001f600"),
+        ("it&#39;s", "it's"),
+        ("&amp;lt; &#38;amp; &amp;#39;", "&lt; &amp; &#39;"),
+        ("&#0; &#55296; &#1114112; &#9999999; &#; &#x; &other; &amp AT&T &", "&#0; &#55296; &#1114112; &#9999999; &#; &#x; &other; &amp AT&T &"),
+        ("&&amp;&", "&&&"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_entities_are_decoded_once(spark, html, want):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(pages.plain_text(F.col("html"))).first()[0] == want
