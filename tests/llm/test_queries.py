@@ -1,15 +1,17 @@
 """The registered queries and the pipeline on the smallest driver tables, against SQL and plain versions."""
 
 import hashlib
+import zlib
 from collections import Counter
 from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketlake.llm import contamination, queries, suffixes, toxicity
+from marketlake.llm import contamination, packing, queries, suffixes, toxicity
 from marketlake.llm.common import ascii_words, read
 from tests.llm.test_operators import plain_fingerprint, plain_groups, plain_repeats
 
@@ -125,3 +127,105 @@ def test_pipeline_stage_by_stage(spark, docs):
     run = corpus_pipeline.run(spark, FOLDER)
     key = lambda r: hashlib.md5(repr((r["doc_id"], r["piece"], r["length"], r["ids_crc32"])).encode()).hexdigest()
     assert sorted(map(key, run.collect())) == sorted(map(key, pieces))
+
+
+@pytest.fixture(scope="module")
+def odd_folder(spark, tmp_path_factory):
+    """A folder of tables with nulls everywhere, empty and long texts, repeated rows and columns of clashing names."""
+    folder = str(tmp_path_factory.mktemp("odd"))
+    rng = np.random.default_rng(8)
+    words = ["".join(w) for w in rng.choice(list("abcdefghij"), (800, 5))]
+    prose = lambda n: " ".join(rng.choice(words, n))
+    passage, item, copy = prose(40), prose(30), prose(60)
+    rows = [
+        (1, copy, "en", "a", 1),
+        (2, copy, None, None, None),
+        (2, copy, None, None, None),
+        (3, None, None, None, None),
+        (4, "", "en", "a", 0),
+        (5, " \t\n", "en", "a", 3),
+        (None, prose(50), None, None, None),
+        (None, prose(50), "en", "b", 5),
+        (6, prose(20) + passage + prose(20), "en", "b", 7),
+        (7, prose(30) + passage + prose(30), "en", "b", 7),
+        (8, prose(30) + " " + item + " " + prose(300), "en", "b", 7),
+        (9, prose(60_000), "en", "b", 7),
+        (10, "vile " * 30 + prose(5), "en", "b", 7),
+    ]
+    rows += [(20 + k, ("vile nasty " * 10 if k % 2 else "") + prose(15), "en", "c", 9) for k in range(600)]
+    docs = spark.createDataFrame([(*r, "x", 2, 3.0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, id string, k1 int, score double")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    marked = [(20 + k, 1, k % 2) for k in range(600)] + [(1, None, None), (None, 1, 1), (999, 1, 1)]
+    spark.createDataFrame(marked, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    own = read(spark, FOLDER, "benchmark")
+    items = own.limit(3).withColumn("text", F.lit(item)).unionByName(own.limit(1).withColumn("text", F.lit(None).cast("string")))
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    return folder, passage
+
+
+def test_pipeline_on_odd_rows(spark, odd_folder):
+    folder, passage = odd_folder
+    frame = read(spark, folder, "documents")
+    columns, steps = frame.columns, []
+    for _, stage in corpus_pipeline.STAGES:
+        frame = corpus_pipeline.staged(stage(spark, frame, folder), "odd")
+        steps.append(frame)
+    assert all(f.columns == columns for f in steps[:-1])
+    rows = [[(r["doc_id"], r["text"]) for r in f.collect()] for f in steps[:-1]]
+    ids = [sorted(i for i, _ in r if i is not None) for r in rows]
+    assert ids[0] == [1, 2, 2, 3, 4, 5, 6, 7, 8, 9, *range(20, 620, 2)]
+    # one of the copies, one of the texts without words
+    assert ids[1] == [1, 3, 6, 7, 8, 9, *range(20, 620, 2)]
+    assert ids[2] == ids[1] and sum(passage in (t or "") for _, t in rows[2]) == 1
+    assert ids[3] == [i for i in ids[1] if i != 8]
+    assert all(sum(i is None for i, _ in r) == 2 for r in rows)
+    assert [dict(r)[3] for r in rows] == [None, None, "", ""] and len(dict(rows[3])[9]) > 300_000
+    pieces = steps[-1].collect()
+    assert Counter(r["doc_id"] for r in pieces if r["piece"] == 0) == Counter(i for i, _ in rows[3])
+    assert [r["length"] for r in pieces if r["doc_id"] == 3] == [1]
+
+
+def test_pipeline_on_no_rows(spark, odd_folder):
+    folder, _ = odd_folder
+    frame = read(spark, folder, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        frame = corpus_pipeline.staged(stage(spark, frame, folder), "none")
+        assert frame.count() == 0
+
+
+def test_op4(spark, docs):
+    """The registered query against the tokenizer itself, gapless places and the fill of the sequences."""
+    from tokenizers import Tokenizer
+
+    tokenizer, got = Tokenizer.from_file(packing.default_vocabulary()), queries.QUERIES["op4_packing"](spark, FOLDER).collect()
+    pieces, sequences = {}, {}
+    for r in got:
+        pieces.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert set(pieces) == set(docs)
+    for i, text in docs.items():
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        own, at = sorted(pieces[i], key=lambda r: r["piece"]), 0
+        for number, r in enumerate(own):
+            part = ids[at : at + r["length"]]
+            assert (r["piece"], r["start"], r["ids_crc32"]) == (number, at, zlib.crc32(np.array(part, "<u4").tobytes()))
+            assert number == 0 or r["length"] == 1024
+            at += r["length"]
+        assert at == len(ids) and len(own) == -(-len(ids) // 1024)
+    for parts in sequences.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [0, *np.cumsum([n for _, n in parts]).tolist()][:-1] and sum(n for _, n in parts) <= 1024
+    assert len(sequences) <= 1.02 * -(-sum(r["length"] for r in got) // 1024) + 1
+
+
+def test_op8(spark, docs):
+    got = queries.QUERIES["op8_lm_scores"](spark, FOLDER).collect()
+    words = {i: [*(text or "").encode().lower().split(), None] for i, text in docs.items()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in docs}
+    counts = Counter(w for i, ws in words.items() if not held[i] for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    base = {i: sum(np.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws) for i, ws in words.items()}
+    want = sorted((i, held[i], len(ws), sum(counts[w] > 0 for w in ws), n, pytest.approx(base[i])) for i, ws in words.items())
+    assert sorted(tuple(r)[:6] for r in got) == want
+    # 152 training texts are few for the model; over sf0.01 and sf0.1 it beats the words
+    assert sum(r["score"] for r in got if r["held_out"]) > 1.2 * sum(b for i, b in base.items() if held[i])
