@@ -26,6 +26,11 @@ from marketlake.sources.tables import Lake, LakeTable, publish_together
 
 YEAR = StructField("_year", IntegerType())
 INTRADAY_BACK_DAYS = 50
+#: Rows beyond which a written plan is not broadcast: its file says little of its size in memory, as keys that
+#: are due for the same days compress to almost nothing.
+BROADCAST_ROWS = 100_000
+#: Windows that hold all days of a range that follow a rule of the day alone.
+DAY_WINDOWS = ("trading_days", "business_days", "split")
 
 
 @dataclass(frozen=True)
@@ -289,6 +294,35 @@ def _written(context: Context, spec: DatasetSpec, planned: DataFrame) -> DataFra
     return context.table(spec).stage(planned, f"{context.batch}-plan-{uuid.uuid4().hex[:8]}")
 
 
+def _side(df: DataFrame, n_rows: int) -> DataFrame:
+    """A written side of a join, which is shuffled where it has many rows, whatever its file's size."""
+    return df.hint("merge") if n_rows > BROADCAST_ROWS else df
+
+
+def _days_of_ranges(context: Context, spec: DatasetSpec, planned: DataFrame) -> DataFrame:
+    """The days that the ranges of all keys hold together: one row a day at most."""
+    ranges = planned.select("start", "end").distinct()
+    return load_dates(context, spec, ranges).select(spec.date).distinct()
+
+
+def _in_keyed_days(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFrame) -> DataFrame:
+    """Landed rows on the planned days of their key. Each row meets the ranges of its key and the rule of the
+    day: the days of every key are not written out, as there are many times more of them than keys."""
+    planned = _written(context, spec, planned.select(spec.scope, "start", "end"))
+    low, high, n_rows = planned.agg(F.min("start"), F.max("end"), F.count(F.lit(1))).first()
+    if low is None or high is None:
+        return landed.limit(0)
+    days = _days_of_ranges(context, spec, planned) if folder_of(landed) else None
+    landed = pruned(spec, landed, planned, days).filter(F.col(spec.date).between(F.lit(low), F.lit(high)))
+    if spec.windows == "trading_days":
+        landed = landed.join(context.calendar.select(F.col("trade_date").alias(spec.date)), spec.date, "left_semi")
+    elif spec.windows == "business_days":
+        landed = landed.filter(F.weekday(spec.date) < 5)
+    ranges = planned.select(F.col(spec.scope).alias("_key"), F.col("start").alias("_from"), F.col("end").alias("_to"))
+    wanted = (F.col(spec.scope) == F.col("_key")) & F.col(spec.date).between(F.col("_from"), F.col("_to"))
+    return landed.join(_side(ranges, n_rows), wanted, "left_semi")
+
+
 def planned_folders(spec: DatasetSpec, planned: DataFrame, days: DataFrame | None, name: str, grain: str) -> DataFrame:
     """First days of all folders that a plan may ask for, over all keys: one row a folder at most."""
     if days is None:
@@ -325,6 +359,8 @@ def pick(context: Context, spec: DatasetSpec, landed: DataFrame, planned: DataFr
         landed = pruned(spec, landed, planned, None)
         fit = joins.by_rule(landed.select(*spec.rules).distinct(), planned, *spec.rules)
         return landed.join(fit.select(*spec.rules).distinct(), list(spec.rules), "left_semi")
+    if keys and spec.windows.partition(":")[0] in DAY_WINDOWS:
+        return _in_keyed_days(context, spec, landed, planned)
     days = load_dates(context, spec, planned)
     if days is not None:
         days = _written(context, spec, days.select(*keys, "_year" if spec.windows == "years" else spec.date))
@@ -637,11 +673,20 @@ def accept(context: Context, spec: DatasetSpec, judged: DataFrame) -> tuple[Data
     found = {n: int(counter.get[n]) for n in counts}
     if found["rejects"]:
         table = rejects_table(context)
-        new = joins.without(rejects.rejected(staged, spec.name), table.read_batches(), rejects.KEY)
+        # many rejects differ in a few characters only: their files are far smaller than they are
+        stored = table.read_batches().select(*rejects.KEY).hint("merge")
+        new = joins.without(rejects.rejected(staged, spec.name), stored, rejects.KEY)
         table.write_batch(new, f"{label}-{uuid.uuid4().hex[:8]}")
     return rejects.good(staged), found
 
 
+def _on_both(left: DataFrame, right: DataFrame, unit: list[str]) -> DataFrame:
+    """Units that both sides have rows of, from one grouping; a unit with a null is none."""
+    sides = [side.select(*unit, F.lit(n).alias("_side")) for n, side in enumerate((left, right))]
+    seen = sides[0].unionByName(sides[1]).dropna("any", subset=unit).groupBy(*unit)
+    return seen.agg(F.min("_side").alias("_first"), F.max("_side").alias("_last")).filter("_first < _last").select(*unit)
+
+
 def run_pair(
     context: Context,
     first: tuple[DatasetSpec, DataFrame],
@@ -664,11 +709,11 @@ def run_pair(
             sides.append((context.table(spec), context.table(spec).stage(due, context.batch)))
         (one, left), (two, right) = sides
         kept = units_table(context, first[0])
-        whole = left.select(*unit).distinct().join(right.select(*unit).distinct(), unit, "left_semi")
-        whole = kept.stage(whole, context.batch)
-        loaded = not whole.isEmpty()
+        whole = kept.stage(_on_both(left, right, unit), context.batch)
+        n_units = whole.count()
+        loaded = n_units > 0
         if loaded:
-            parts = [(table, rows.join(whole, unit, "left_semi")) for table, rows in ((one, left), (two, right))]
+            parts = [(table, rows.join(_side(whole, n_units), unit, "left_semi")) for table, rows in ((one, left), (two, right))]
             specs = {spec.name: spec for spec, _ in (first, second)}
             unique = lambda table, rows: ensure_unique(specs[table.name], rows) if table.name in specs else None
             publish_together(context.batch, *parts, (kept, units.islands(whole, *unit)), check=unique)

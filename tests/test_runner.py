@@ -572,3 +572,24 @@ def test_data_dictionary(spark):
     assert result.count() == sum(len(s.schema) for s in specs)
     row = result.filter("table_name = 'stock_yjbb_em' AND column_name = 'eps'").first()
     assert (row.type_text, row.nullable_flag, row.column_position, row.column_comment) == ("NUMBER(10,2)", "YES", 4, "eps")
+
+
+def test_a_keyed_plan_is_joined_by_its_ranges_not_by_its_days(spark, lake, calendar, monkeypatch):
+    """What a plan writes and joins is a row a key, and beyond a number of rows that is not broadcast, however
+    small its file is."""
+    monkeypatch.setattr(runner, "BROADCAST_ROWS", 10)
+    written = []
+    stage = runner._written
+    monkeypatch.setattr(runner, "_written", lambda c, s, planned: written.append(stage(c, s, planned)) or written[-1])
+    for name, kept_days in (("stock_hk_ccass_records_summary", ["20240105"]), ("stock_hk_short_sale_em", ["20240105", "20240106"])):
+        spec = schema.REGISTRY[name]
+        ctx = context(lake, calendar, 2024, 5, 14, 17)
+        end = runner.cutoff(ctx, spec)
+        source = landed(spark, spec, [{"symbol": str(s), "trade_date": d} for s in (3, 99) for d in ("20220105", "20240105", "20240106", "20250106")])
+        universe = spark.range(20).selectExpr("CAST(id AS string) AS symbol")
+        planned = runner.plan(ctx, spec, end, universe, universe.selectExpr("symbol", "DATE'2023-12-31' AS watermark"))
+        picked = runner.pick(ctx, spec, runner.typed(ctx, spec, source, end), planned)
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert rows(picked.selectExpr("symbol", "date_format(trade_date, 'yyyyMMdd')")) == [("3", d) for d in kept_days]
+    assert [df.count() for df in written] == [20, 20]
