@@ -7,14 +7,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from marketlake import schema
 from marketlake.functions import text
-from marketlake.operators import aggregates, dictionary
+from marketlake.operators import aggregates, checks, dictionary
 from marketlake.plans import bars, markets, runner
 from marketlake.queries.base import (
     BAR_VALUES,
@@ -515,24 +515,24 @@ def stream_two_sources(t: Tables) -> DataFrame:
 
 # --- data dictionary -------------------------------------------------------------------
 
-# Every table with the type text that each of its columns must render to, and a star at its key columns.
+# Every table with the type text that each of its columns must render to.
 TABLE_COLUMNS = {
-    "region": "r_regionkey* NUMBER(10), r_name CLOB",
-    "nation": "n_nationkey* NUMBER(10), n_name CLOB, n_regionkey NUMBER(10)",
-    "customer": "c_custkey* NUMBER(19), c_name CLOB, c_nationkey NUMBER(10), c_acctbal NUMBER, c_mktsegment CLOB",
-    "supplier": "s_suppkey* NUMBER(19), s_name CLOB, s_nationkey NUMBER(10), s_acctbal NUMBER",
-    "part": "p_partkey* NUMBER(19), p_name CLOB, p_brand CLOB, p_type CLOB, p_size NUMBER(10), p_retailprice NUMBER",
-    "orders": "o_orderkey* NUMBER(19), o_custkey NUMBER(19), o_orderstatus CLOB, o_totalprice NUMBER, "
+    "region": "r_regionkey NUMBER(10), r_name CLOB",
+    "nation": "n_nationkey NUMBER(10), n_name CLOB, n_regionkey NUMBER(10)",
+    "customer": "c_custkey NUMBER(19), c_name CLOB, c_nationkey NUMBER(10), c_acctbal NUMBER, c_mktsegment CLOB",
+    "supplier": "s_suppkey NUMBER(19), s_name CLOB, s_nationkey NUMBER(10), s_acctbal NUMBER",
+    "part": "p_partkey NUMBER(19), p_name CLOB, p_brand CLOB, p_type CLOB, p_size NUMBER(10), p_retailprice NUMBER",
+    "orders": "o_orderkey NUMBER(19), o_custkey NUMBER(19), o_orderstatus CLOB, o_totalprice NUMBER, "
     "o_orderdate TIMESTAMP, o_orderpriority CLOB",
-    "lineitem": "l_orderkey* NUMBER(19), l_partkey NUMBER(19), l_suppkey NUMBER(19), l_linenumber* NUMBER(10), l_quantity NUMBER, "
+    "lineitem": "l_orderkey NUMBER(19), l_partkey NUMBER(19), l_suppkey NUMBER(19), l_linenumber NUMBER(10), l_quantity NUMBER, "
     "l_extendedprice NUMBER, l_discount NUMBER, l_tax NUMBER, l_returnflag CLOB, l_linestatus CLOB, l_shipdate TIMESTAMP",
-    "events": "event_id* NUMBER(19), ts TIMESTAMP, user_id NUMBER(19), event_type CLOB, value NUMBER, props CLOB",
-    "documents": "doc_id* NUMBER(19), text CLOB, lang CLOB, source CLOB, n_chars NUMBER(19)",
-    "embeddings": "vec_id* NUMBER(19), embedding CLOB, label NUMBER(10)",
-    "pages": "page_id* NUMBER(19), url CLOB, html CLOB",
-    "benchmark": "item_id* NUMBER(19), text CLOB",
-    "labels": "doc_id* NUMBER(19), quality NUMBER(10), toxic NUMBER(10)",
-    "conversations": "conv_id* NUMBER(19), turn* NUMBER(19), role CLOB, text CLOB",
+    "events": "event_id NUMBER(19), ts TIMESTAMP, user_id NUMBER(19), event_type CLOB, value NUMBER, props CLOB",
+    "documents": "doc_id NUMBER(19), text CLOB, lang CLOB, source CLOB, n_chars NUMBER(19)",
+    "embeddings": "vec_id NUMBER(19), embedding CLOB, label NUMBER(10)",
+    "pages": "page_id NUMBER(19), url CLOB, html CLOB",
+    "benchmark": "item_id NUMBER(19), text CLOB",
+    "labels": "doc_id NUMBER(19), quality NUMBER(10), toxic NUMBER(10)",
+    "conversations": "conv_id NUMBER(19), turn NUMBER(19), role CLOB, text CLOB",
 }
 
 
@@ -541,26 +541,24 @@ def _sql_dictionary() -> str:
     for table, columns in TABLE_COLUMNS.items():
         for position, column in enumerate(columns.split(", "), 1):
             name, kind = column.split()
-            flag, name = "NO" if name.endswith("*") else "YES", name.rstrip("*")
             parts.append(
                 f"SELECT 'LAKE' AS owner, '{table}' AS table_name, 'table ' || '{table}' AS table_comment, '{name}' AS column_name, "
-                f"'{kind}' AS type_text, '{flag}' AS nullable_flag, CAST({position} AS INTEGER) AS column_position, "
-                f"replace('{name}', '_', ' ') AS column_comment"
+                f"'{kind}' AS type_text, CASE WHEN count(*) > count({name}) THEN 'YES' ELSE 'NO' END AS nullable_flag, "
+                f"CAST({position} AS INTEGER) AS column_position, replace('{name}', '_', ' ') AS column_comment FROM {table}"
             )
     return "\nUNION ALL ".join(parts)
 
 
 @query(_sql_dictionary())
 def dict_columns(t: Tables) -> DataFrame:
-    """Dictionary of all tables, from the schemas of their files and their declared keys: a key column
-    cannot be null. No row is read."""
-    keys = {table: {c.split()[0].rstrip("*") for c in columns.split(", ") if "*" in c} for table, columns in TABLE_COLUMNS.items()}
-    schemas = {
-        name: StructType([StructField(f.name, f.dataType, f.name not in keys[name], {"label": f.name.replace("_", " ")}) for f in getattr(t, name).schema])
-        for name in TABLE_COLUMNS
-    }
-    columns = dictionary.columns_of(t.spark, "LAKE", list(schemas.items()))
-    comments = t.spark.createDataFrame([("LAKE", n, f"table {n}") for n in schemas], "owner string, table_name string, table_comment string")
-    labels = [("LAKE", n, f.name, f.metadata["label"]) for n, s in schemas.items() for f in s]
+    """Dictionary of all tables; a column counts as nullable if its data holds a null."""
+    tables = {name: getattr(t, name) for name in TABLE_COLUMNS}
+    columns = dictionary.columns_of(t.spark, "LAKE", [(n, df.schema) for n, df in tables.items()])
+    profiles = [checks.null_profile(df, df.columns).withColumn("table_name", F.lit(n)) for n, df in tables.items()]
+    nulls = reduce(DataFrame.unionByName, profiles)
+    columns = columns.drop("nullable").join(nulls, ["table_name", "column_name"])
+    columns = columns.withColumn("nullable", F.col("n_misfits") > 0)
+    comments = t.spark.createDataFrame([("LAKE", n, f"table {n}") for n in tables], "owner string, table_name string, table_comment string")
+    labels = [("LAKE", n, c, c.replace("_", " ")) for n, df in tables.items() for c in df.columns]
     labels = t.spark.createDataFrame(labels, "owner string, table_name string, column_name string, column_comment string")
     return dictionary.dictionary(columns, comments, labels, "lake")
