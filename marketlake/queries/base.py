@@ -59,6 +59,11 @@ class Tables:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """The rows dealt out evenly, before costly work on each: a small compressed file of many rows is one task."""
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(max(tasks, self.spark.sparkContext.defaultParallelism))
+
     # --- roles ---
 
     def securities(self) -> DataFrame:

@@ -90,7 +90,7 @@ def html_entities(t: Tables) -> DataFrame:
     html = F.concat(
         F.lit("<td> &#20013; <b>"), F.array_join(decimal, ""), F.lit("</b> & &amp;lt; &#0; &lt;"), F.array_join(hexadecimal, ""), F.lit("&gt;</td>")
     )
-    return t.part.select(F.col("p_partkey").alias("page_id"), pages.plain_text(html).alias("name"))
+    return t.spread(t.part).select(F.col("p_partkey").alias("page_id"), pages.plain_text(html).alias("name"))
 
 
 @query("""SELECT o_orderkey AS page_id, CAST(o_orderdate AS DATE) AS report_date, '/reports/' || o_orderkey || '.csv' AS href,
@@ -204,7 +204,7 @@ UNION ALL SELECT 'detail', CAST(trade_date AS DATE), symbol, symbol_name, 'B01 B
 def html_two_outputs(t: Tables) -> DataFrame:
     """One custody page per stock, parsed once into summary and detail rows. Every sixth page
     answers another date than the asked one; every fifth lacks one percentage cell."""
-    rows = pages.custody_rows(t.part.select(custody_day().alias("asked_date"), custody_page().alias("html")))
+    rows = pages.custody_rows(t.spread(t.part).select(custody_day().alias("asked_date"), custody_page().alias("html")))
     participant = F.concat_ws(" ", "participant_id", "participant_name")
     return rows.select(
         "kind",

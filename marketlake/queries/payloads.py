@@ -66,7 +66,7 @@ def maintain_short_positions(t: Tables) -> DataFrame:
 
 
 def _landed_pages(t: Tables, lake: Lake, html: Column) -> DataFrame:
-    t.part.select(html.alias("html")).write.parquet(f"{lake.root}/landing")
+    t.spread(t.part).select(html.alias("html")).write.parquet(f"{lake.root}/landing")
     return landing.read_landing(t.spark, f"{lake.root}/landing")
 
 
@@ -155,7 +155,7 @@ def maintain_custody_pages(t: Tables) -> DataFrame:
     on each page cannot be read; every sixth page answers another date and is left out."""
     lake = Lake(t.spark, scratch_dir(t.spark, "custody-pages"))
     summary, detail = (schema.REGISTRY[f"stock_hk_ccass_records{n}"] for n in ("_summary", ""))
-    t.part.select(custody_day().alias("asked_date"), custody_page(F.lit("n/a")).alias("html")).write.parquet(f"{lake.root}/landing")
+    t.spread(t.part).select(custody_day().alias("asked_date"), custody_page(F.lit("n/a")).alias("html")).write.parquet(f"{lake.root}/landing")
     judged = pages.judged_custody(landing.read_landing(t.spark, f"{lake.root}/landing"))
     symbols = t.part.filter("p_partkey % 2 = 0").select(text.pad_code(F.col("p_partkey"), 5).alias("symbol"))
     for now in (datetime(2000, 2, 1, 9), datetime(2000, 3, 1, 9)):

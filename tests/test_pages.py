@@ -5,9 +5,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake.queries import REGISTRY, Tables, payloads
 from marketlake.sources import landing, pages
 from tests.conftest import rows
 
+PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
 CUSTODY = """<html><div class="search-bar__selectedItem-filter searchDate">
  Shareholding Date: <span>{shown}</span></div>
 <div class="search-bar__selectedItem-filter searchStock"> 00700 TENCENT HOLDINGS </div>
@@ -120,3 +123,19 @@ def test_landing_keeps_arrival_order(spark, tmp_path):
 def test_entities_are_decoded_once(spark, html, want):
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(pages.plain_text(F.col("html"))).first()[0] == want
+
+
+@pytest.mark.parametrize("name", ["html_entities", "html_two_outputs"])
+def test_pages_from_one_small_file_are_parsed_by_many_tasks(name, spark, tmp_path):
+    one = spark.createDataFrame([(k, "name", "Brand", "TYPE", 3, 1.5) for k in range(1, 21)], PART)
+    one.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    df = REGISTRY[name].run(Tables(spark, str(tmp_path)))
+    sizes = df.rdd.mapPartitions(lambda found: [sum(1 for _ in found)]).collect()
+    assert len([n for n in sizes if n]) > 1
+
+
+def test_rendered_pages_land_in_many_files(spark, lake, tmp_path):
+    one = spark.createDataFrame([(k, "name", "Brand", "TYPE", 3, 1.5) for k in range(1, 21)], PART)
+    one.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    landed = payloads._landed_pages(Tables(spark, str(tmp_path)), lake, F.col("p_name"))
+    assert len(landed.inputFiles()) > 1 and landed.count() == 20
