@@ -55,13 +55,24 @@ def batch_bounds(df: DataFrame, batch: Sequence[str], date: str) -> DataFrame:
     return df.groupBy(*batch).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"))
 
 
+#: Column that holds the hash of a row's key, beside the key itself.
+KEY_HASH = "_key_hash"
+
+
+def with_key_hash(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    return df.withColumn(KEY_HASH, F.xxhash64(*key))
+
+
 def keep_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row per key in arrival order. ``order`` must be total.
 
     ``row_number() = 1`` is planned with a group limit before the shuffle, so each map
-    task sends at most one row per key.
+    task sends at most one row per key. Rows are sorted by the key's hash first: one number tells nearly all
+    keys apart, where a symbol is followed by all of its days. A frame that has the hash keeps it.
     """
-    arrival = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    if KEY_HASH not in df.columns:
+        return keep_last(with_key_hash(df, key), key, order).drop(KEY_HASH)
+    arrival = Window.partitionBy(KEY_HASH, *key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     return df.withColumn("_rank", F.row_number().over(arrival)).filter("_rank = 1").drop("_rank")
 
 

@@ -32,11 +32,14 @@ def absent_rows(
     are read, and with ``within`` (a key column by which the files are clustered, such as the
     date) only row groups in the incoming range.
     """
-    candidates = aggregates.keep_last(filters.complete_keys(incoming, key), key, order)
+    candidates = aggregates.keep_last(aggregates.with_key_hash(filters.complete_keys(incoming, key), key), key, order)
     if within is not None:
         low, high = (_range_of(incoming, within, f) for f in (F.min, F.max))
         existing = existing.filter((F.col(within) >= low) & (F.col(within) <= high))
-    return joins.without(candidates, existing, key)
+    if any(existing.schema[k].dataType != incoming.schema[k].dataType for k in key):
+        return joins.without(candidates.drop(aggregates.KEY_HASH), existing, key)  # equal keys may hash differently
+    stored = aggregates.with_key_hash(existing.select(*key), key)
+    return joins.without(candidates, stored, [aggregates.KEY_HASH, *key]).drop(aggregates.KEY_HASH)
 
 
 def insert_if_absent(

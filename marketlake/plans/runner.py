@@ -7,13 +7,25 @@ row is a join or an aggregation over all keys at once.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from marketlake import schema as spec_rules
 from marketlake.functions import dates, text
@@ -402,35 +414,47 @@ def _if_due(landed: DataFrame, ranges: DataFrame) -> DataFrame:
 # --- normalise -------------------------------------------------------------------------
 
 
-def _fits(value: Column, ok: Column, declared: StructField, key: Column) -> Column:
-    """The value, or the failure of the load, naming the row's key, where a given value does not fit its column."""
-    kind = declared.dataType.simpleString()
-    message = F.concat(F.lit(f"{declared.name}: value does not fit {kind}: "), value.cast("string"), F.lit(" in "), key)
-    return F.when(value.isNotNull() & ~ok, F.raise_error(message)).otherwise(value)
+def _misfit(value: Column, declared: StructField, key: Sequence[str] | None) -> Column:
+    """The failure of the load, naming the row's key. One formatted text: the step that casts a row holds the
+    message of each of its columns, and Java compiles no method above 8,000 bytes."""
+    row = "a row" if key is None else " ".join(["row", *["%s" for _ in key]])
+    message = f"{declared.name}: value does not fit {declared.dataType.simpleString()}: %s in {row}"
+    return F.raise_error(F.format_string(message, value.cast("string"), *[F.col(c).cast("string") for c in key or ()]))
+
+
+def _fits(value: Column, ok: Column, declared: StructField, key: Sequence[str] | None) -> Column:
+    """The value, or the failure of the load where a given value does not fit its column."""
+    return F.when(value.isNotNull() & ~ok, _misfit(value, declared, key)).otherwise(value)
+
+
+def _unrounded(landed: DataType, declared: DataType) -> bool:
+    """Whether all values of a landed number type have no more decimal places than the declared one."""
+    scale = landed.scale if isinstance(landed, DecimalType) else 0 if isinstance(landed, IntegralType) else None
+    return scale is not None and scale <= (declared.scale if isinstance(declared, DecimalType) else 0)
 
 
 #: Texts that are read as dates: a day with or without hyphens, a time behind it, or a month.
 _DAY_TEXT, _HYPHENED, _MONTH_TEXT = "^[0-9]{8}$", "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$", "^[0-9]{6}$"
 
 
-def coerce(landed: StructField, declared: StructField, cut: bool = False, key: Column | None = None) -> Column:
+def coerce(landed: StructField, declared: StructField, cut: bool = False, key: Sequence[str] | None = None) -> Column:
     """Landed value to the declared type. What cannot be read becomes null; what can be read but
     does not fit the column fails the load. Values that already have the type pass through, so
     that filters on them still reach the scan, unless the column limits their digits. ``cut`` text is
-    cut to its limit later. ``key`` is the text that names a row in the failure."""
-    value, kind, key = F.col(landed.name), declared.dataType, F.lit("a row") if key is None else key
+    cut to its limit later. ``key`` names the columns that tell a row in the failure."""
+    value, kind = F.col(landed.name), declared.dataType
     limit, digits = declared.metadata.get("max_bytes"), declared.metadata.get("max_digits")
     if isinstance(kind, StringType) and limit and not cut:
         as_text = value.cast("string")
         return _fits(as_text, F.octet_length(as_text) <= limit, declared, key)
     if isinstance(kind, (DecimalType, IntegerType, LongType)) and (landed.dataType != kind or digits):
-        # a number that is too large for any decimal is read as double, and fits nothing
-        exact, rough = value.try_cast("decimal(38,10)"), value.try_cast("double")
-        finite = F.when(~F.isnan(rough) & (F.abs(rough) < F.lit(float("inf"))), value)
-        rounded = F.bround(exact, kind.scale if isinstance(kind, DecimalType) else 0)
-        narrow = rounded.try_cast(kind if digits is None else DecimalType(digits, 0))
-        fitting = _fits(finite, narrow.isNotNull(), declared, key)
-        return F.when(fitting.isNotNull(), rounded).try_cast(kind)
+        if _unrounded(landed.dataType, kind):
+            exact, given = value, value.isNotNull()
+        else:  # a number that is too large for any decimal is read as double, and fits nothing
+            exact = F.bround(value.try_cast("decimal(38,10)"), kind.scale if isinstance(kind, DecimalType) else 0)
+            given = F.abs(value.try_cast("double")) < F.lit(float("inf"))
+        narrow = exact.try_cast(kind if digits is None else DecimalType(digits, 0))
+        return F.coalesce(narrow, F.when(given, _misfit(value, declared, key))).try_cast(kind)
     if landed.dataType == kind:
         return value
     if isinstance(kind, DateType):
@@ -451,8 +475,7 @@ def typed(context: Context, spec: DatasetSpec, landed: DataFrame, end: Column) -
     """
     fixed = {"today": F.to_date(context.clock), "cutoff": end, "null": F.lit(None)}
     tags = {name: fixed[v] if v in fixed else F.lit(v) for name, v in spec.constants}
-    known = [c for c in spec.key if c in landed.columns]
-    key = F.concat_ws(" ", F.lit("row"), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in known])
+    key = [c for c in spec.key if c in landed.columns]
     columns = []
     for declared in spec.schema:
         if declared.name in tags:

@@ -1,5 +1,6 @@
 """Dataset runs end to end on literal landings."""
 
+import re
 from dataclasses import replace
 from datetime import date, datetime
 
@@ -357,6 +358,34 @@ def test_whole_numbers_that_do_not_fit_fail_the_load(spark, lake, calendar):
     assert got == [(22, 123456789012345678, None, 8)]
 
 
+def test_numbers_that_need_no_rounding(spark, lake, calendar):
+    """Landed whole numbers and decimals fit or fail as text does; the failure names nulls in the key."""
+    spec = schema.REGISTRY["stock_zh_a_hist_daily_bfq"]
+    good = landed(spark, spec, [{"trade_date": "20240105", "symbol": "a"}]).withColumns(
+        {"close": F.lit("12345678.90").cast("decimal(28,2)"), "open": F.lit(7), "high": F.lit("1.005").cast("decimal(18,3)"), "volume": F.lit(9999999999)}
+    )
+    ctx = context(lake, calendar, 2024, 5, 14, 17)
+    typed = lambda df: runner.typed(ctx, spec, df, runner.cutoff(ctx, spec))
+    assert [str(v) for v in typed(good).select("close", "open", "high", "volume", "low").first()] == ["12345678.90", "7.00", "1.00", "9999999999", "None"]
+    for column, value in (("close", F.lit("123456789.00").cast("decimal(28,2)")), ("open", F.lit(123456789)), ("volume", F.lit(-10000000000))):
+        for day, text in (("20240105", "20240105"), (None, "null")):
+            df = good.withColumns({column: value, "trade_date": F.lit(day).cast("string")})
+            with pytest.raises(Exception, match=f"{column}: value does not fit .*: -?1[0-9.]+ in row (a {text}|{text} a)"):
+                typed(df).collect()
+
+
+@pytest.mark.parametrize("name", ["stock_zh_a_hist_daily_bfq", "stock_zh_a_hist_daily_qfq", "stock_zh_a_hist_30min_qfq"])
+def test_casting_bars_is_compiled(name, spark, lake, calendar, tmp_path, capsys):
+    """Java interprets methods above 8,000 bytes."""
+    spec = schema.REGISTRY[name]
+    one = landed(spark, spec, [{"symbol": "a"}]).withColumns({c: F.lit(1).cast("decimal(18,2)") for c in ("open", "close", "high", "low", "amount")})
+    one.write.parquet(str(tmp_path / "landing"))
+    ctx = context(lake, calendar, 2024, 5, 14, 17)
+    runner.typed(ctx, spec, spark.read.parquet(str(tmp_path / "landing")), runner.cutoff(ctx, spec)).explain("codegen")
+    sizes = [int(n) for n in re.findall("maxMethodCodeSize:([0-9]+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 @pytest.mark.parametrize("text, day", [
     ("20240105", date(2024, 1, 5)), ("2024-01-05", date(2024, 1, 5)), ("2024-1-5", date(2024, 1, 5)), ("2024-01-05 10:30:00", date(2024, 1, 5)),
     ("202401", date(2024, 1, 1)), ("2024", None), ("20240", None), ("2024010", None), ("20241301", None), ("n/a", None), ("", None), (None, None),

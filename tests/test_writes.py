@@ -131,3 +131,14 @@ def test_checks_and_overlap(spark):
         "symbol string, symbol_name string",
     )
     assert rows(filters.universe(named), "symbol") == [("000001",), ("920001",)]
+
+
+def test_absent_rows_with_keys_of_another_type(spark):
+    """Equal keys hash differently where their types differ, and are found all the same."""
+    stored = spark.createDataFrame([(1, 0.0), (2, 5.0)], "id long, at double")
+    for kind in ("long", "int", "string"):
+        come = spark.createDataFrame([(1, -0.0, 1), (2, 6.0, 1), (2, 6.0, 2), (3, 0.0, 1), (3, -0.0, 2)], "id long, at double, n int")
+        come = come.withColumn("id", F.col("id").cast(kind))
+        got = writes.absent_rows(stored, come, ["id", "at"], ["n"])
+        assert got.columns == ["id", "at", "n"] and got.schema["id"].dataType == come.schema["id"].dataType
+        assert rows(got.select(F.col("id").cast("long"), F.abs("at"), "n")) == [(2, 6.0, 2), (3, 0.0, 2)]
