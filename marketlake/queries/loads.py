@@ -173,7 +173,8 @@ def stream_revisions(t: Tables) -> DataFrame:
     daily = t.staged(t.daily_bars().select(*columns), "bars")
     revised = daily.withColumn("close", (F.col("close") * F.when(F.col("symbol").cast("int") % 7 == 0, 2).otherwise(1)).cast("decimal(10,2)"))
     old = daily.filter(F.col("trade_date") < SPLIT)
-    last = old.groupBy("symbol").agg(F.max("trade_date").alias("last_date"))
+    # written, as its size then tells that it may be sent to the bars
+    last = t.staged(old.groupBy("symbol").agg(F.max("trade_date").alias("last_date")), "marks")
     newer = revised.join(last, "symbol", "left").filter("last_date IS NULL OR trade_date >= last_date").drop("last_date")
     folder = f"{lake.root}/landing"
     for delivery, checkpoint in ((old, "one"), (newer, "one"), (None, "two")):

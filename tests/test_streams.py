@@ -9,6 +9,7 @@ from marketlake import schema
 from marketlake.plans import runner
 from marketlake.sources.tables import LakeTable
 from marketlake.streaming import loads
+from marketlake.queries import REGISTRY, Tables
 from tests.conftest import rows
 
 SIDE = "symbol string, day date, v int"
@@ -74,3 +75,24 @@ def test_revisions_and_repeated_micro_batches(spark, lake, context, monkeypatch)
     got = rows(runner.stored_rows(context(), spec), "symbol", "trade_date", "close")
     assert [(s, d.day, float(c)) for s, d, c in got] == [("1", 1, 5.0), ("1", 2, 5.5), ("1", 3, 6.0), ("2", 1, 1.0), ("2", 2, 2.0), ("2", 3, 3.0)]
     assert len(rows(lake.committed(spec.name))) == 3
+
+
+def test_last_bars_are_written_before_they_meet_all_bars(spark, tmp_path, monkeypatch):
+    """stream_revisions joins every bar with the last one of its symbol, whose size a written table tells."""
+    line = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string"
+    trades = [(n, 1, 1, symbol, 2.0, 10.0 + n, "N", "O", day) for n, (symbol, day) in enumerate([
+        (6, "1998-12-30"), (6, "1998-12-31"), (6, "1999-01-04"), (7, "1998-12-31"), (7, "1999-01-05"), (8, "1999-01-05"), (6, "1999-01-04"), (9, "1998-12-29"),
+    ])]
+    moment = F.col("day").cast("timestamp_ntz")
+    lines = spark.createDataFrame(trades, f"{line}, day string")
+    lines.withColumn("l_shipdate", moment).drop("day").write.parquet(str(tmp_path / "lineitem.parquet"))
+    lines.select(moment.alias("o_orderdate")).write.parquet(str(tmp_path / "orders.parquet"))
+    staged, write = {}, Tables.staged
+    monkeypatch.setattr(Tables, "staged", lambda t, df, label: staged.setdefault(label, write(t, df, label)))
+    got = rows(REGISTRY["stream_revisions"].run(Tables(spark, str(tmp_path))).select("symbol", F.col("trade_date").cast("string"), "volume", "close"))
+    assert got == [
+        ("6", "1998-12-30", 2, 10.0), ("6", "1998-12-31", 2, 11.0), ("6", "1999-01-04", 4, 16.0), ("7", "1998-12-31", 2, 26.0),
+        ("7", "1999-01-05", 2, 28.0), ("8", "1999-01-05", 2, 15.0), ("9", "1998-12-29", 2, 17.0),
+    ]
+    last = rows(staged["marks"].select("symbol", F.col("last_date").cast("string")))
+    assert last == [("6", "1998-12-31"), ("7", "1998-12-31"), ("9", "1998-12-29")]
