@@ -92,9 +92,13 @@ class Tables:
         )
 
     def daily_bars(self, symbol: str = "l_suppkey") -> DataFrame:
+        """Bars of a symbol's days. Nearly every trade is a bar of its own, so a task that combines before the shuffle
+        holds all of its rows, more than fit at size: trades are dealt by bar first, and combine behind it. One bar's
+        trades meet in one task, which keeps one row of them; a symbol's days are spread."""
         other = "l_partkey" if symbol == "l_suppkey" else "l_suppkey"  # the symbol is one within a bar
-        order = ["l_orderkey", "l_linenumber", other, "volume"]
-        return bar_plans.from_trades(self.trades(symbol), ["symbol", "trade_date"], order, digits=(13, 1, 11, 2, 11))
+        order, keys = ["l_orderkey", "l_linenumber", other, "volume"], ["symbol", "trade_date"]
+        trades = self.trades(symbol).repartition(*keys)
+        return bar_plans.from_trades(trades, keys, order, digits=(13, 1, 11, 2, 11))
 
     def orders_by_day(self) -> DataFrame:
         return self.orders.withColumn("o_orderdate", F.to_date("o_orderdate"))

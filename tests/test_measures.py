@@ -1,5 +1,6 @@
 """Measures: the documented sample of adjusted bars, gaps, zero guards, skewed keys."""
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import numbers
 from marketlake.operators import aggregates, reshape
 from marketlake.plans import bars, boards, funds, markets, statements
+from marketlake.queries import Tables
 from tests.conftest import rows
 
 # Eight forward-adjusted bars with negative prices
@@ -130,3 +132,21 @@ def test_packed_order_keys(spark):
         bars.from_trades(wide, ["symbol"], ["ts", "event_id"], digits=bars.TICK_DIGITS).collect()
     with pytest.raises(ValueError):
         numbers.packed([(F.lit(1), 20), (F.lit(1), 19)])
+
+
+def test_trades_are_dealt_by_bar_before_they_combine(spark, tmp_path, capsys):
+    line = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string"
+    trades = [(n, 1, 1, symbol, 2.0, price, "N", "O", day) for n, (symbol, price, day) in enumerate([
+        (6, 3.0, "1998-12-30"), (6, 1.0, "1998-12-30"), (6, 4.0, "1998-12-31"), (7, 5.0, "1998-12-30"), (6, 2.0, "1998-12-30"), (None, 9.0, "1998-12-30"),
+    ])]
+    lines = spark.createDataFrame(trades, f"{line}, day string").withColumn("l_shipdate", F.col("day").cast("timestamp_ntz"))
+    lines.drop("day").write.parquet(str(tmp_path / "lineitem.parquet"))
+    daily = Tables(spark, str(tmp_path)).daily_bars()
+    got = rows(daily.select("symbol", F.col("trade_date").cast("string"), *[F.col(c).cast("double") for c in ("open", "close", "high", "low", "amount")], "volume"))
+    assert got == [
+        (6, "1998-12-30", 3.0, 2.0, 3.0, 1.0, 6.0, 6), (6, "1998-12-31", 4.0, 4.0, 4.0, 4.0, 4.0, 2),
+        (7, "1998-12-30", 5.0, 5.0, 5.0, 5.0, 5.0, 2), (None, "1998-12-30", 9.0, 9.0, 9.0, 9.0, 9.0, 2),
+    ]
+    daily.explain()
+    steps = re.findall("HashAggregate|Exchange", capsys.readouterr().out)
+    assert steps == ["HashAggregate", "HashAggregate", "Exchange"]
