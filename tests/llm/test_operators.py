@@ -635,6 +635,49 @@ def test_gradient_and_fast_states(small_model):
     assert np.allclose(small_model._states(ids).reshape(-1, scoring.WIDTH), scoring._attention(small_model.weights, ids)[0], atol=1e-4)
 
 
+def test_scoring_makes_states_of_scored_places_only(small_model, monkeypatch):
+    made, states = [], scoring.Model._states
+
+    def counted(self, *given):
+        out = states(self, *given)
+        made.append(out.shape[0] * out.shape[1])
+        return out
+
+    monkeypatch.setattr(scoring.Model, "_states", counted)
+    small_model.score([np.arange(scoring.CONTEXT + 20 * scoring.STRIDE - 1, dtype="<u4").tobytes()])
+    assert sum(made) == scoring.CONTEXT + 20 * scoring.STRIDE
+
+
+def test_states_from_a_place_on(small_model):
+    ids = np.random.default_rng(1).integers(0, 350, (5, scoring.CONTEXT))
+    whole = small_model._states(ids).copy()
+    for begin in (1, 16, 31):
+        assert np.allclose(small_model._states(ids, begin), whole[:, begin:], atol=1e-4)
+
+
+def test_attention_with_exponents_above_single_precision(small_model):
+    ids = np.random.default_rng(2).integers(0, 350, (4, scoring.CONTEXT))
+    small_model.weights["qkv"] *= 30
+    got, kept = scoring._attention(small_model.weights, ids)
+    exact, doubles = scoring._attention({k: v.astype(np.float64) for k, v in small_model.weights.items()}, ids)
+    scores = doubles[2] @ doubles[3].transpose(0, 1, 3, 2)
+    assert scores.max() > 100  # exp of it is infinite in single precision
+    assert np.allclose(got, exact, atol=1e-2 * abs(exact).max()) and np.allclose(kept[5].sum(-1), 1, atol=1e-4)
+
+
+def test_steps_write_over_their_own_arrays_only(small_model):
+    rng = np.random.default_rng(3)
+    steps = [(rng.integers(0, 350, (n, scoring.CONTEXT)), rng.integers(0, 1100, (n, scoring.CONTEXT)), rng.random((n, scoring.CONTEXT)) < 0.8) for n in (6, 3, 6)]
+    spare = scoring.Spare()
+    for step in steps:
+        loss, again = scoring.gradient(small_model.weights, *step, spare)
+        fresh_loss, fresh = scoring.gradient(small_model.weights, *step)
+        assert loss == fresh_loss and again.keys() == fresh.keys()
+        for name in again:
+            pairs = zip(again[name], fresh[name]) if isinstance(again[name], tuple) else [(again[name], fresh[name])]
+            assert all(np.array_equal(a, b) for a, b in pairs)
+
+
 def plain_shares(model, ids):
     """Probability of every id of the vocabulary after ``ids``, place by place and head by head."""
     w = {k: v.astype(np.float64) for k, v in model.weights.items()}
